@@ -11,6 +11,14 @@ from pyspark.sql import functions as F
 INF = float("inf")
 
 
+def rounded(value: Column, digits: int) -> Column:
+    """Half-up rounding of the value as written with eight decimals.
+
+    A mean that lies half-way in exact arithmetic is not pushed down by float noise.
+    """
+    return F.round(F.round(value, 8), digits)
+
+
 def ratio(top: Column, bottom: Column) -> Column:
     """Division that gives null on a zero or missing denominator."""
     return F.try_divide(top.cast("double"), bottom.cast("double"))
@@ -151,7 +159,7 @@ def percent_text(share: Column) -> Column:
 
 def error_margin(rate: Column, n: Column, z: float = 1.645) -> Column:
     """Half-width of the 90 % interval of a rate, three decimals."""
-    return F.round(z * F.sqrt(F.try_divide(rate * (1 - rate), n)), 3)
+    return rounded(z * F.sqrt(F.try_divide(rate * (1 - rate), n)), 3)
 
 
 def renamed(columns: Mapping[str, Column]) -> list[Column]:

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskrules.functions.measures import ratio
+from riskrules.functions.measures import ratio, rounded
 
 # The comparison signs a rule text may use.
 COMPARISONS = {
@@ -202,9 +202,9 @@ def coverage(rule_table: DataFrame, order: Sequence[Column], n: str = "n", posit
     return rule_table.withColumns(
         {
             "payers_covered": ratio(rows, all_n),
-            "payers_covered_to_point": F.round(ratio(F.sum(rows).over(upto), all_n), 4),
-            "disputes_covered": F.round(ratio(hits, all_p), 5),
-            "disputes_covered_to_point": F.round(ratio(F.sum(hits).over(upto), all_p), 3),
+            "payers_covered_to_point": rounded(ratio(F.sum(rows).over(upto), all_n), 4),
+            "disputes_covered": rounded(ratio(hits, all_p), 5),
+            "disputes_covered_to_point": rounded(ratio(F.sum(hits).over(upto), all_p), 3),
         }
     )
 

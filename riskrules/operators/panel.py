@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskrules.functions import timeunits as tu
+from riskrules.functions.measures import rounded
 from riskrules.operators.joins import after_registration, maturity_spine
 from riskrules.operators.rollups import daily_activity, daily_payments, daily_tickets, daily_withdrawals
 
@@ -65,8 +66,8 @@ def opening_average(value: Column, ahead: int, fixed: int | None = None) -> Colu
     With ``fixed`` the average is over the first ``fixed`` days instead, whatever today is.
     """
     if fixed is not None:
-        return F.round(F.avg(F.when(F.col("matuirity_day") < fixed, value)).over(_account()), 2)
-    return F.round(F.avg(value).over(_by_day().rowsBetween(Window.unboundedPreceding, ahead)), 2)
+        return rounded(F.avg(F.when(F.col("matuirity_day") < fixed, value)).over(_account()), 2)
+    return rounded(F.avg(value).over(_by_day().rowsBetween(Window.unboundedPreceding, ahead)), 2)
 
 
 def history(value: Column) -> Column:
@@ -84,8 +85,8 @@ def payment_features() -> dict[str, Column]:
     for d in (14, 7, 3):
         out[f"payments_last_{d}d"] = trailing(n, d)
         out[f"spent_last_{d}d"] = trailing(spent, d)
-    out["daily_spent_to_date"] = F.round(to_date(spent, F.avg), 2)
-    out["daily_spent_last_7_d"] = F.round(trailing(spent, 7, F.avg), 2)
+    out["daily_spent_to_date"] = rounded(to_date(spent, F.avg), 2)
+    out["daily_spent_last_7_d"] = rounded(trailing(spent, 7, F.avg), 2)
     for label, ahead in ((14, 13), (7, 7), (1, 0)):
         out[f"daily_spent_first_{label}d"] = opening_average(spent, ahead)
     out["max_daily_spent"] = to_date(spent, F.max)
@@ -102,8 +103,8 @@ def activity_features() -> dict[str, Column]:
     for d in (14, 7):
         out[f"games_last_{d}d"] = trailing(games, d)
         out[f"money_games_last_{d}d"] = trailing(money, d)
-        out[f"bet_money_last_{d}d"] = F.round(trailing(bet, d), 1)
-        out[f"win_amount_last_{d}d"] = F.round(trailing(win, d), 2)
+        out[f"bet_money_last_{d}d"] = rounded(trailing(bet, d), 1)
+        out[f"win_amount_last_{d}d"] = rounded(trailing(win, d), 2)
     out["max_games_daily_games"] = to_date(games, F.max)
     for label, ahead in ((14, 13), (7, 7), (1, 0)):
         out[f"daily_games_first_{label}d"] = opening_average(games, ahead)
@@ -111,8 +112,8 @@ def activity_features() -> dict[str, Column]:
     out["games_sequence"] = history(F.coalesce(games, F.lit(0)))
     out["days_betting_money_sequence"] = history(_flag(bet > 0))
     out["days_50_usd_bet_money_sequence"] = history(_flag(bet > 50))
-    out["bet_money_to_date"] = F.round(to_date(bet), 1)
-    out["win_amount_to_date"] = F.round(to_date(win), 2)
+    out["bet_money_to_date"] = rounded(to_date(bet), 1)
+    out["win_amount_to_date"] = rounded(to_date(win), 2)
     out["max_bet_to_date"] = to_date(F.col("max_bet"), F.max)
     for part in ("before_6", "6_to_12", "12_to_18", "after_18"):
         out[f"local_time_{part}"] = F.coalesce(to_date(F.col(f"games_{part}")), F.lit(0))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskrules.functions.measures import exceeds, finite, ratio
+from riskrules.functions.measures import exceeds, finite, ratio, rounded
 from riskrules.functions.timeunits import add_days, at_night, complete_units
 from riskrules.operators.joins import WEEK_MINUTES, in_first_week, with_disputes
 from riskrules.operators.sessions import session_losses
@@ -81,7 +81,7 @@ def play_measures(plays: DataFrame, paid: DataFrame) -> DataFrame:
     machines = fine.groupBy("account_id", "machine_id").agg(F.max("week").alias("week"), *sums)
     per_account = machines.groupBy("account_id").agg(F.count_if(F.col("week") & F.col("machine_id").isNotNull()).alias("game_types"), *sums)
     days = fine.filter("week").select("account_id", "day").distinct().groupBy("account_id").agg(F.count("day").alias("days_played_score"))
-    growth = F.round(ratio(F.col("later"), F.col("first")), 1)
+    growth = rounded(ratio(F.col("later"), F.col("first")), 1)
     return per_account.join(days, "account_id", "left").select(
         "account_id",
         "game_types",
@@ -123,7 +123,7 @@ def withdrew(applied: DataFrame, paid: DataFrame) -> DataFrame:
 def bet_volatility(plays: DataFrame, paid: DataFrame) -> DataFrame:
     rows = in_first_week(plays, paid.select("account_id", "first_pay_time").distinct())
     spread = F.stddev_samp(F.when(F.col("bet_money") > 0, F.col("bet_money")))
-    return rows.groupBy("account_id").agg(F.round(ratio(spread, F.sum("bet_money")), 2).alias("fluctuating_wagers"))
+    return rows.groupBy("account_id").agg(rounded(ratio(spread, F.sum("bet_money")), 2).alias("fluctuating_wagers"))
 
 
 def time_played(starts: DataFrame, results: DataFrame, paid: DataFrame) -> DataFrame:
