@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskrules.functions.measures import ratio
-from riskrules.operators.binning import edge_counts
+from riskrules.operators.binning import edge_counts, quantile_edges
+from riskrules.operators.matching import known_number
 
 Combos = Sequence[tuple[str, ...]]
 
@@ -88,6 +89,41 @@ def rules(
     # Absent cells count as zero, else the running sums would skip their thresholds.
     full = where.join(counted, [*by, "combo", *axes], "left").na.fill(0, list(measures))
 
+    return _from_cells(full, size, list(measures), by)
+
+
+def rules_by_group(df: DataFrame, features: Sequence[str], by: str, quantiles: int, measures: Mapping[str, Column]) -> DataFrame:
+    """One-condition rules per value of ``by``, each group with bins of its own. An action for the edges.
+
+    The groups are few (days of life); their thresholds are a small table joined back to the rows.
+    """
+    edges = quantile_edges(df, features, quantiles, by=by)
+    g_type = df.schema[by].dataType.simpleString()
+    spark = df.sparkSession
+    items = F.array(*[F.struct(F.lit(f).alias("f1"), known_number(f).alias("_v")) for f in features])
+    long = df.select(by, *[m.alias(n) for n, m in measures.items()], F.inline(items)).filter(F.col(by).isNotNull())
+
+    def placed(table: dict, inner: bool) -> DataFrame:
+        rows = [(g, f, ts[1:-1] if inner else ts) for g, fs in table.items() for f, ts in fs.items()]
+        small = F.broadcast(spark.createDataFrame(rows, f"{by} {g_type}, f1 string, t1 array<double>"))
+        below = F.size(F.filter("t1", lambda t: t < F.col("_v")))
+        return long.join(small, [by, "f1"]).withColumn("b1", F.when(F.col("_v").isNull(), 0).otherwise(below))
+
+    filled: dict = {}
+    for r in placed(edges, inner=True).filter(F.col("_v").isNotNull()).select(by, "f1", "b1").distinct().collect():
+        filled.setdefault(r[by], {}).setdefault(r["f1"], []).append(edges[r[by]][r["f1"]][r["b1"]])
+    thresholds = {g: {f: sorted(ts)[:-1] for f, ts in fs.items() if len(ts) > 1} for g, fs in filled.items()}
+    counted = placed(thresholds, inner=False).groupBy(by, "f1", "b1").agg(*[F.sum(m).alias(m) for m in measures])
+    rows = [(g, f, i, ts) for g, fs in thresholds.items() for i, (f, ts) in enumerate(sorted(fs.items()))]
+    where = spark.createDataFrame(rows, f"{by} {g_type}, f1 string, combo int, t1 array<double>")
+    where = where.withColumn("b1", F.explode(F.sequence(F.lit(0), F.size("t1"))))
+    full = where.join(counted, [by, "f1", "b1"], "left").na.fill(0, list(measures))
+    return _from_cells(full, 1, list(measures), [by])
+
+
+def _from_cells(full: DataFrame, size: int, measures: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """Rules from complete cells: along each axis in turn, the sum above a threshold and the rest."""
+    axes = [f"b{k}" for k in range(1, size + 1)]
     fixed = [*by, "combo", *[f"f{k}" for k in range(1, size + 1)], *[f"t{k}" for k in range(1, size + 1)]]
     done: list[str] = []
     for axis in axes:

@@ -218,14 +218,15 @@ def life_time_segments(r):
     return rows.groupBy("segment").agg(F.count("*").alias("n"), F.sum("new_disputer_30d").alias("positives"))
 
 
-@query("K9", oracle=f""",{BASE_SQL.replace(AS_OF, '2024-02-20')}
-SELECT account_id, matuirity_day FROM (SELECT *, min(first_pay_time) OVER {_ALL} AS fp FROM base) WHERE matuirity_day >= 14 AND fp IS NULL
+@query("K9", oracle=f""",{BASE_SQL}, w AS ({_select({**_FEATURES, **_TIMING})})
+SELECT account_id, matuirity_day FROM w WHERE matuirity_day >= 14 AND NOT max_payment > 150
 """)
 def rows_without_segment(r):
     from riskrules.operators.matching import without_value
 
-    # An earlier extract: some payers' first payment is in a day that is not closed yet.
-    rows = panel.user_day_panel(r, "2024-02-20").withColumn("segment", m.segment(F.col("matuirity_day"), F.col("paying_matuirity"), F.col("payments_to_date")))
+    # Paying life starts with the first large payment here, so accounts without one have no segment.
+    paying = F.when(F.col("max_payment") > 150, F.col("paying_matuirity"))
+    rows = panel_of(r).withColumn("segment", m.segment(F.col("matuirity_day"), paying, F.col("payments_to_date")))
     return without_value(rows, "segment").select("account_id", "matuirity_day")
 
 
