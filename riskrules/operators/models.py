@@ -1,6 +1,6 @@
 """Scored models: validation by time block, calibration, stacking and the grids around them.
 
-A model is a Spark ML estimator on ``features``; scores come back in long form with columns
+A model is an estimator on ``features`` (Spark ML, or ``trees.TreeEstimator``); scores come back in long form with columns
 model, row id, block, label and score. Folds are a handful, so loops over them run on the driver
 while every fit and every scoring is a distributed job. Tables that many fits read are written
 once (``session.cut``).
@@ -13,23 +13,17 @@ from functools import reduce
 from itertools import product
 
 from pyspark.ml import Estimator, Pipeline
-from pyspark.ml.classification import (
-    DecisionTreeClassifier,
-    LinearSVC,
-    LogisticRegression,
-    NaiveBayes,
-    RandomForestClassifier,
-)
+from pyspark.ml.classification import LinearSVC, LogisticRegression, NaiveBayes
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression
+from pyspark.ml.regression import IsotonicRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskrules.functions.measures import fill_gaps
-from riskrules.operators.trees import CRITERIA
+from riskrules.operators.trees import TreeEstimator
 from riskrules.session import cut
 
 
@@ -41,12 +35,20 @@ def assembled(df: DataFrame, features: Sequence[str], row_id: str, label: str, b
     return vector.select(F.col(row_id).alias("row_id"), F.col(label).cast("double").alias("label"), blocks.alias("block"), "features")
 
 
-def decision_tree(criterion: str = "log_loss", depth: int = 5, leaf_size: int = 100, seed: int = 42) -> DecisionTreeClassifier:
-    return DecisionTreeClassifier(impurity=CRITERIA[criterion], maxDepth=depth, minInstancesPerNode=leaf_size, seed=seed)
+def decision_tree(criterion: str = "log_loss", depth: int = 5, leaf_size: int = 100) -> TreeEstimator:
+    return TreeEstimator(criterion, depth, leaf_size)
 
 
-def random_forest(criterion: str = "gini", depth: int = 10, leaf_size: int = 20, trees: int = 100, seed: int = 42) -> RandomForestClassifier:
-    return RandomForestClassifier(impurity=CRITERIA[criterion], maxDepth=depth, minInstancesPerNode=leaf_size, numTrees=trees, seed=seed)
+def random_forest(criterion: str = "gini", depth: int = 10, leaf_size: int = 20, trees: int = 100, seed: int = 42) -> RandomForestRegressor:
+    """A forest whose score is the mean share of positives in the leaves.
+
+    On a 0/1 label the variance a regression tree splits on is half the Gini impurity, so the trees
+    are Gini trees, but leaves keep their share: classification trees would join leaves of equal
+    class (see ``operators.trees``).
+    """
+    if criterion != "gini":
+        raise ValueError("forests split on gini")
+    return RandomForestRegressor(maxDepth=depth, minInstancesPerNode=leaf_size, numTrees=trees, featureSubsetStrategy="sqrt", seed=seed)
 
 
 def logistic(penalty: float = 0.0, rounds: int = 100) -> LogisticRegression:
@@ -54,7 +56,7 @@ def logistic(penalty: float = 0.0, rounds: int = 100) -> LogisticRegression:
 
 
 def tuned_logistic(penalties: Sequence[float] = (0.0, 0.01, 0.1, 1.0), folds: int = 2, rounds: int = 100, seed: int = 42) -> CrossValidator:
-    """Logistic regression with its penalty chosen by cross-validation on log loss."""
+    """Logistic regression with its penalty chosen by cross-validation on the area under the ROC curve."""
     base = LogisticRegression(maxIter=rounds)
     grid = ParamGridBuilder().addGrid(base.regParam, list(penalties)).build()
     judge = BinaryClassificationEvaluator(metricName="areaUnderROC")
@@ -71,9 +73,11 @@ def scaled_svm(penalty: float = 0.01, rounds: int = 100) -> Pipeline:
 
 
 def score_of(scored: DataFrame) -> Column:
-    """Probability of the positive class; the margin for models without probabilities."""
-    column = "probability" if "probability" in scored.columns else "rawPrediction"
-    return F.coalesce(F.get(vector_to_array(F.col(column)), 1), F.lit(0.0))
+    """Probability of the positive class; the margin or the predicted share for models without."""
+    for column in ("probability", "rawPrediction"):
+        if column in scored.columns:
+            return F.coalesce(F.get(vector_to_array(F.col(column)), 1), F.lit(0.0))
+    return F.col("prediction")
 
 
 def scores(model, data: DataFrame, name: str) -> DataFrame:

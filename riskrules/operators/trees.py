@@ -1,110 +1,202 @@
 """Decision trees as a source of rules.
 
-Trees are trained by Spark ML. A fitted tree is a few hundred nodes, read on the driver; counts of
-its nodes on any table come from one pass over that table.
+Spark ML joins sibling leaves that predict the same class. With rare disputes every leaf predicts
+"no dispute", so its classification trees fold into their root. The trees here are grown level by
+level from counts instead: one pass per level counts rows and positives per (group, node, feature,
+bucket), windows over these cells rate every split, and only the best split of each node comes to
+the driver. The trees of all segments and days of life grow in the same passes.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import DecisionTreeClassificationModel, DecisionTreeClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskrules.functions.measures import fill_gaps
+from riskrules.operators.binning import edge_counts, quantile_edges
+from riskrules.operators.matching import Rule, per_rule
+from riskrules.session import cut
 
 CONDITIONS = "array<struct<feature:string,op:string,threshold:double>>"
-# The split criteria by their usual names; log loss and entropy are one criterion.
-CRITERIA = {"gini": "gini", "entropy": "entropy", "log_loss": "entropy"}
+
+
+def _entropy(n: Column, p: Column) -> Column:
+    """Rows times entropy of a node."""
+    def part(k: Column) -> Column:
+        return F.when(k > 0, -k * F.ln(k / n)).otherwise(0.0)
+
+    return part(p) + part(n - p)
+
+
+def _gini(n: Column, p: Column) -> Column:
+    return F.when(n > 0, 2 * p * (n - p) / n).otherwise(0.0)
+
+
+# The split criteria by their usual names; log loss and entropy are one criterion.
+CRITERIA = {"gini": _gini, "entropy": _entropy, "log_loss": _entropy}
 
 
 @dataclass(frozen=True)
 class Node:
+    """A node of a group's tree. ``node_id`` is 1 for the root and 2i, 2i + 1 for the children of i."""
+
+    group: tuple
     node_id: int
     conditions: tuple[tuple[str, str, float], ...]
     is_leaf: bool
-    n: float
-    positives: float
-    leaves: tuple[int, ...]
+    n: int
+    positives: int
+
+
+def grow(
+    df: DataFrame,
+    features: Sequence[str],
+    label: str,
+    by: Sequence[str] = (),
+    criterion: str = "log_loss",
+    depth: int = 7,
+    leaf_size: int = 100,
+    bins: int = 128,
+) -> list[Node]:
+    """Trees of every group (all values of ``by``; groups are few), parents before children. An action.
+
+    Split points are quantile edges of the whole table. Unknown values count as 0. Ties between
+    splits go to the earlier feature and the lower threshold.
+    """
+    features, by = list(features), list(by)
+    known = df.select(*by, *features, F.col(label).cast("int").alias("_y"))
+    for k in by:
+        known = known.filter(F.col(k).isNotNull())
+    filled = fill_gaps(known, features)
+    edges = {f: e[:-1] for f, e in quantile_edges(filled, features, bins).items()}
+    buckets = F.array(*[F.col(f"{f}_above").cast("short") for f in features])
+    # Every level reads this narrow table again, so it is written once.
+    table = cut(edge_counts(filled, edges).select(*by, "_y", buckets.alias("_b")))
+
+    tree: dict[tuple, dict] = {}
+    for r in table.groupBy(*by).agg(F.count("*").alias("n"), F.coalesce(F.sum("_y"), F.lit(0)).alias("p")).collect():
+        if r["n"]:
+            tree[(tuple(r[k] for k in by), 1)] = {"path": (), "n": r["n"], "p": r["p"], "split": None}
+    rows = table.withColumn("node", F.lit(1))
+    for level in range(depth):
+        splits = _best_splits(rows, by, CRITERIA[criterion], leaf_size)
+        for s in splits:
+            g, node = tuple(s[k] for k in by), s["node"]
+            feature, limit = features[s["f"]], float(edges[features[s["f"]]][s["bucket"] - 1])
+            parent = tree[g, node]
+            parent["split"] = True
+            low = {"path": (*parent["path"], (feature, "<=", limit)), "n": s["ln"], "p": s["lp"], "split": None}
+            high = {"path": (*parent["path"], (feature, ">", limit)), "n": parent["n"] - s["ln"], "p": parent["p"] - s["lp"], "split": None}
+            tree[g, 2 * node], tree[g, 2 * node + 1] = low, high
+        if not splits or level == depth - 1:
+            break
+        rows = _one_level_down(rows, by, splits)
+    return [Node(g, i, t["path"], t["split"] is None, int(t["n"]), int(t["p"])) for (g, i), t in sorted(tree.items())]
+
+
+def _best_splits(rows: DataFrame, by: list[str], impurity, leaf_size: int) -> list:
+    """The best split of each node that has one: at most one row per node comes back."""
+    at = [*by, "node"]
+    cells = rows.select(*at, "_y", F.posexplode("_b").alias("f", "bucket")).groupBy(*at, "f", "bucket").agg(F.count("*").alias("n"), F.sum("_y").alias("p"))
+    line = Window.partitionBy(*at, "f")
+    before = line.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    options = cells.select(
+        *at, "f", "bucket", F.sum("n").over(before).alias("ln"), F.sum("p").over(before).alias("lp"), F.sum("n").over(line).alias("an"), F.sum("p").over(line).alias("ap")
+    )
+    ln, lp, an, ap = (F.col(c) for c in ("ln", "lp", "an", "ap"))
+    fair = options.filter((ln >= leaf_size) & (an - ln >= leaf_size))
+    gain = F.round(impurity(an, ap) - impurity(ln, lp) - impurity(an - ln, ap - lp), 9)
+    rated = fair.withColumn("gain", gain).filter(F.col("gain") > 0)
+    best = F.max_by(F.struct("f", "bucket", "ln", "lp"), F.struct(F.col("gain"), -F.col("f"), -F.col("bucket")))
+    return rated.groupBy(*at).agg(best.alias("s")).select(*at, "s.*").collect()
+
+
+def _one_level_down(rows: DataFrame, by: list[str], splits: list) -> DataFrame:
+    """Rows of split nodes, moved to the child they fall in. The splits are at most one row per node."""
+    types = [f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in by]
+    schema = ", ".join([*types, "node int", "_f int", "_at int"])
+    table = rows.sparkSession.createDataFrame([(*[s[k] for k in by], s["node"], s["f"], s["bucket"]) for s in splits], schema)
+    moved = rows.join(F.broadcast(table), [*by, "node"])
+    child = F.col("node") * 2 + (F.get("_b", F.col("_f")) >= F.col("_at")).cast("int")
+    return moved.select(*by, "_y", "_b", child.alias("node"))
+
+
+def node_table(df: DataFrame, nodes: Sequence[Node], by: Sequence[str] = ()) -> DataFrame:
+    """Nodes as a rule table: group columns, node id, conditions, is_leaf, n, positives, rate."""
+    types = [f"`{k}` {df.schema[k].dataType.simpleString()}" for k in by]
+    schema = ", ".join([*types, "node_id int", f"conditions {CONDITIONS}", "is_leaf boolean", "n long", "positives long"])
+    rows = [(*x.group, x.node_id, list(x.conditions), x.is_leaf, x.n, x.positives) for x in nodes]
+    return df.sparkSession.createDataFrame(rows, schema).withColumn("rate", F.col("positives") / F.col("n"))
 
 
-def tree_pipeline(features: Sequence[str], label: str, criterion: str = "log_loss", depth: int = 7, leaf_size: int = 100, bins: int = 64, seed: int = 42) -> Pipeline:
-    tree = DecisionTreeClassifier(
-        labelCol=label, featuresCol="features", impurity=CRITERIA[criterion], maxDepth=depth, minInstancesPerNode=leaf_size, maxBins=bins, seed=seed
-    )
-    return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features"), tree])
+def leaf_rules(df: DataFrame, features: Sequence[str], label: str, by: Sequence[str] = (), **options) -> DataFrame:
+    """A rule per leaf of the tree of every segment and day of life named in ``by``. An action."""
+    nodes = [x for x in grow(df, features, label, by, **options) if x.is_leaf]
+    return node_table(df, nodes, by).drop("is_leaf")
 
 
-def fit_tree(df: DataFrame, features: Sequence[str], label: str, **options) -> PipelineModel:
-    """A tree on the features, unknown values as 0."""
-    return tree_pipeline(features, label, **options).fit(fill_gaps(df.select(*features, label), features))
+def node_metrics(nodes: Sequence[Node], df: DataFrame, label: str) -> DataFrame:
+    """Rows, positives and rate of every node of one tree on any table, from one pass.
 
+    Each row is counted in the leaf whose conditions it meets; leaves are then added up to their
+    ancestors.
+    """
+    features = sorted({f for x in nodes for f, _, _ in x.conditions})
+    leaves = [Rule(x.node_id, x.conditions) for x in nodes if x.is_leaf]
+    counts = per_rule(fill_gaps(df.select(*features, label), features), leaves, label).select(F.col("rule_id").alias("leaf"), "n", "positives")
+    spark = df.sparkSession
+    up = [(leaf.rule_id >> k, leaf.rule_id) for leaf in leaves for k in range(leaf.rule_id.bit_length())]
+    above = spark.createDataFrame(up, "node_id int, leaf int")
+    table = spark.createDataFrame([(x.node_id, list(x.conditions), x.is_leaf) for x in nodes], f"node_id int, conditions {CONDITIONS}, is_leaf boolean")
+    summed = above.join(counts, "leaf").groupBy("node_id").agg(F.sum("n").alias("n"), F.sum("positives").alias("positives"))
+    whole = table.join(summed, "node_id", "left").na.fill(0, ["n", "positives"])
+    return whole.withColumn("rate", F.try_divide(F.col("positives").cast("double"), "n"))
 
-def nodes(model: PipelineModel, features: Sequence[str]) -> list[Node]:
-    """All nodes of a fitted tree, parents before children, the left branch first."""
-    tree: DecisionTreeClassificationModel = model.stages[-1]
-    out: list[Node] = []
-    leaf_count = 0
 
-    def walk(java, path: tuple) -> tuple[int, ...]:
-        nonlocal leaf_count
-        stats = list(java.impurityStats().stats())
-        place = len(out)
-        out.append(None)  # type: ignore[arg-type]
-        leaf = java.subtreeDepth() == 0
-        if leaf:
-            below: tuple[int, ...] = (leaf_count,)
-            leaf_count += 1
-        else:
-            feature, limit = features[java.split().featureIndex()], float(java.split().threshold())
-            below = walk(java.leftChild(), (*path, (feature, "<=", limit))) + walk(java.rightChild(), (*path, (feature, ">", limit)))
-        out[place] = Node(place, path, leaf, float(sum(stats)), float(stats[1]) if len(stats) > 1 else 0.0, below)
-        return below
+def leaf_rate(nodes: Sequence[Node], column: Mapping[str, Column]) -> Column:
+    """The rate of the leaf a row falls in, as one nested expression."""
+    at = {x.node_id: x for x in nodes}
 
-    walk(tree._java_obj.rootNode(), ())
-    return out
+    def rate(i: int) -> Column:
+        node = at[i]
+        if node.is_leaf:
+            return F.lit(node.positives / node.n)
+        feature, _, limit = at[2 * i].conditions[-1]
+        return F.when(column[feature] <= limit, rate(2 * i)).otherwise(rate(2 * i + 1))
 
+    return rate(1)
 
-def leaf_rules(df: DataFrame, features: Sequence[str], label: str, segment: str | None = None, maturity: str | None = None, **options) -> DataFrame:
-    """A rule per leaf of a tree fitted in each (segment, day of life). An action.
 
-    Segments and days are few; each fit is distributed over its rows.
-    """
-    keys = [k for k in (segment, maturity) if k]
-    groups = df.select(*keys).distinct().orderBy(*keys).collect() if keys else [()]
-    rows = []
-    for g in groups:
-        part = df
-        for k, v in zip(keys, g):
-            part = part.filter(F.col(k).eqNullSafe(F.lit(v)))
-        for node in nodes(fit_tree(part, features, label, **options), features):
-            if node.is_leaf:
-                rows.append((*g, list(node.conditions), int(node.n), int(node.positives)))
-    types = {k: df.schema[k].dataType.simpleString() for k in keys}
-    schema = ", ".join([*[f"`{k}` {t}" for k, t in types.items()], f"conditions {CONDITIONS}", "n long", "positives long"])
-    return df.sparkSession.createDataFrame(rows, schema).withColumn("rate", F.col("positives") / F.col("n"))
+class TreeModel:
+    def __init__(self, nodes: list[Node]):
+        self.nodes = nodes
 
+    def transform(self, data: DataFrame) -> DataFrame:
+        """``data`` with ``prediction``, the rate of the leaf."""
+        wide = data.withColumn("_x", vector_to_array("features"))
+        used = {f for x in self.nodes for f, _, _ in x.conditions}
+        rate = leaf_rate(self.nodes, {f: F.get("_x", int(f[1:])) for f in used})
+        return wide.withColumn("prediction", rate).drop("_x")
 
-def node_metrics(model: PipelineModel, df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
-    """Rows, positives and rate of every node of a tree on any table, from one pass.
 
-    Each row is sent to its leaf; leaf counts are then added up to the ancestors.
-    """
-    found = nodes(model, features)
-    tree: DecisionTreeClassificationModel = model.stages[-1]
-    tree.setLeafCol("leaf")
-    placed = model.transform(fill_gaps(df.select(*features, label), features))
-    leaf_counts = placed.groupBy(F.col("leaf").cast("int").alias("leaf")).agg(F.count("*").alias("n"), F.sum(label).alias("positives"))
-    spark = df.sparkSession
-    above = spark.createDataFrame([(x.node_id, leaf) for x in found for leaf in x.leaves], "node_id int, leaf int")
-    table = spark.createDataFrame([(x.node_id, list(x.conditions), x.is_leaf) for x in found], f"node_id int, conditions {CONDITIONS}, is_leaf boolean")
-    summed = above.join(leaf_counts, "leaf").groupBy("node_id").agg(F.sum("n").alias("n"), F.sum("positives").alias("positives"))
-    whole = table.join(summed, "node_id", "left").na.fill(0, ["n", "positives"])
-    return whole.withColumn("rate", F.try_divide(F.col("positives").cast("double"), "n"))
+@dataclass(frozen=True)
+class TreeEstimator:
+    """A grown tree with the ``fit`` and ``transform`` of a model on ``features``."""
+
+    criterion: str = "log_loss"
+    depth: int = 5
+    leaf_size: int = 100
+    bins: int = 128
+
+    def fit(self, data: DataFrame) -> TreeModel:
+        size = data.select(F.size(vector_to_array("features"))).first()[0]
+        names = [f"x{i}" for i in range(size)]
+        wide = data.withColumn("_x", vector_to_array("features")).select("label", *[F.get("_x", i).alias(n) for i, n in enumerate(names)])
+        return TreeModel(grow(wide, names, "label", (), self.criterion, self.depth, self.leaf_size, self.bins))
 
 
 def pruned(node_table: DataFrame, rows: int = 150, positives: int = 10, path: str = "conditions") -> DataFrame:
