@@ -14,10 +14,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskrules.functions.measures import finite
+from riskrules.operators.ordered import cut_points
+from riskrules.session import small
 
 Edges = dict[str, list[float]]
-# Rows up to which one aggregate may hold every distinct value of a column.
-SINGLE_PASS_ROWS = 1_000_000
+# Rows up to which one aggregate holds the distinct values of a column; also the size of a slot.
+SINGLE_PASS_ROWS = 100_000
+MAX_SLOTS = 20_000
 
 
 def _plain(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
@@ -36,8 +39,8 @@ def exact_quantiles(
     """Quantiles with linear interpolation, exact at any size; an action.
 
     Returns column -> list of values, or group -> column -> list when ``by`` is given (groups must
-    be few). Up to ``single_pass_rows`` rows one aggregate does it. Beyond, (1) approximate
-    quantiles cut every column into slots of about that many rows, (2) slot counts tell which
+    be few). Up to ``single_pass_rows`` rows one aggregate does it. Beyond, (1) cut points
+    from a sample lay every column into slots of about that many rows, (2) slot counts tell which
     slots hold the wanted ranks, (3) only those slots are ordered, each by itself.
     """
     columns, probabilities = list(columns), list(probabilities)
@@ -50,15 +53,14 @@ def exact_quantiles(
         found = data.groupBy(*keys).agg(*[F.percentile(c, F.lit(probabilities)).alias(f"q_{c}") for c in columns]).collect()
         out = {r[by] if by else None: {c: list(r[f"q_{c}"] or []) for c in columns} for r in found}
         return out if by else out.get(None, {c: [] for c in columns})
-    out = _quantiles_by_slots(data, columns, probabilities, by, math.ceil(rows / single_pass_rows))
+    # With more slots than ranks most rows are out after the slot counts.
+    slots = max(math.ceil(rows / single_pass_rows), min(8 * len(probabilities), 1024))
+    out = _quantiles_by_slots(data, columns, probabilities, by, min(slots, MAX_SLOTS), rows)
     return out if by else out.get(None, {c: [] for c in columns})
 
 
-def _quantiles_by_slots(data: DataFrame, columns: list[str], probabilities: list[float], by: str | None, slots: int) -> dict:
-    slots = max(2, min(slots, 20_000))
-    shares = [i / slots for i in range(1, slots)]
-    cuts = data.agg(*[F.percentile_approx(c, shares, 10 * slots).alias(c) for c in columns]).first()
-    counted_slots = edge_counts(data, {c: sorted(set(cuts[c] or [])) for c in columns}, suffix="_slot")
+def _quantiles_by_slots(data: DataFrame, columns: list[str], probabilities: list[float], by: str | None, slots: int, rows: int) -> dict:
+    counted_slots = edge_counts(data, cut_points(data, columns, max(2, slots), rows), suffix="_slot")
     group = F.col(by) if by else F.lit(None).cast("string")
     long = counted_slots.select(
         group.alias("g"),
@@ -84,14 +86,19 @@ def _quantiles_by_slots(data: DataFrame, columns: list[str], probabilities: list
     g_type = long.schema["g"].dataType.simpleString()
     slots_wanted = spark.createDataFrame(wanted, f"g {g_type}, c string, s int, start long, ranks array<long>")
     # At most two slots per column, group and probability.
-    on = [long["g"].eqNullSafe(slots_wanted["g"]), long["c"] == slots_wanted["c"], long["s"] == slots_wanted["s"]]
-    near = long.join(F.broadcast(slots_wanted), on).select(long["g"], long["c"], long["s"], "v", "start", "ranks")
-    values = near.groupBy("g", "c", "s", "v").agg(F.count("*").alias("n"), F.first("start").alias("start"), F.first("ranks").alias("ranks"))
-    upto = Window.partitionBy("g", "c", "s").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    placed = values.withColumn("end", F.col("start") + F.sum("n").over(upto))
-    hits = placed.select(
-        "g", "c", "v", F.explode(F.filter("ranks", lambda r: (r >= F.col("end") - F.col("n")) & (r < F.col("end")))).alias("rank")
-    ).collect()
+    slots_wanted = small(slots_wanted, len(wanted))
+    key = ["g", "c", "s"]
+
+    def same(left: DataFrame) -> list[Column]:
+        return [left["g"].eqNullSafe(slots_wanted["g"]), left["c"] == slots_wanted["c"], left["s"] == slots_wanted["s"]]
+
+    near = long.join(slots_wanted, same(long), "left_semi")
+    values = near.groupBy(*key, "v").agg(F.count("*").alias("n"))
+    upto = Window.partitionBy(*key).orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    summed = values.withColumn("end", F.sum("n").over(upto))
+    first, last = F.col("start") + F.col("end") - F.col("n"), F.col("start") + F.col("end")
+    placed = summed.join(slots_wanted, same(summed)).select(summed["g"], summed["c"], "v", F.filter("ranks", lambda r: (r >= first) & (r < last)).alias("hit"))
+    hits = placed.select("g", "c", "v", F.explode("hit").alias("rank")).collect()
     at = {(r["g"], r["c"], r["rank"]): r["v"] for r in hits}
 
     out: dict = {}
@@ -261,7 +268,7 @@ def codes_by_group(df: DataFrame, columns: Sequence[str], by: str, quantiles: in
     g_type = df.schema[by].dataType.simpleString()
     schema = ", ".join([f"_g {g_type}", *[f"`_e_{c}` array<double>" for c in columns]])
     table = df.sparkSession.createDataFrame(rows, schema)
-    joined = df.join(F.broadcast(table), df[by] == table["_g"])
+    joined = df.join(small(table, len(rows)), df[by] == table["_g"])
 
     def code(c: str) -> Column:
         e, v = F.col(f"_e_{c}"), F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))

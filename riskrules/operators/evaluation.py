@@ -14,8 +14,18 @@ from pyspark.sql import functions as F
 from riskrules.functions.measures import ratio
 from riskrules.operators.binning import edge_counts, exact_quantiles
 from riskrules.operators.ordered import Running, running
+from riskrules.session import small
 
-SCORE_PARTS = 4096
+def score_slot(score: Column, parts: int = 256) -> Column:
+    """Slot of a score, monotone in it: even in log-odds, as rare events crowd scores near zero.
+
+    Margins outside [0, 1] lie in slots of their own beyond both ends.
+    """
+    far = 1_000_000
+    odds = F.floor(F.log2(score / (1 - score)) * parts)
+    below = -F.floor(F.log2(1 - score) * parts) - far
+    above = F.floor(F.log2(score) * parts) + far
+    return F.when(score <= 0, below).when(score >= 1, above).otherwise(odds)
 
 
 def by_score(scores: DataFrame) -> DataFrame:
@@ -24,7 +34,7 @@ def by_score(scores: DataFrame) -> DataFrame:
 
 
 def _ordered(counted: DataFrame, measures: dict[str, Running]) -> DataFrame:
-    return running(counted, ["model"], ["score"], measures, slot=F.floor(F.col("score") * SCORE_PARTS))
+    return running(counted, ["model"], ["score"], measures, slot=score_slot(F.col("score")))
 
 
 def auc(scores: DataFrame) -> DataFrame:
@@ -85,16 +95,19 @@ def roc_points(scores: DataFrame) -> DataFrame:
     True positive rate over false positive rate is the ROC curve, miss rate over it the DET curve.
     """
     counted = by_score(scores).withColumn("negatives", F.col("n") - F.col("positives"))
-    above = _ordered(
-        counted,
-        {"tp": Running("sum", F.col("positives"), forward=True), "fp": Running("sum", F.col("negatives"), forward=True)},
-    )
-    totals = counted.groupBy("model").agg(F.sum("positives").alias("p"), F.sum("negatives").alias("q"))
-    rates = above.join(F.broadcast(totals), "model")
-    tpr = ratio(F.col("tp"), F.col("p"))
-    return rates.select(
-        "model", F.col("score").alias("threshold"), ratio(F.col("fp"), F.col("q")).alias("fpr"), tpr.alias("tpr"), (1 - tpr).alias("fnr")
-    )
+    p, q = F.col("positives"), F.col("negatives")
+    sums = {
+        "tp": Running("sum", p, forward=True),
+        "fp": Running("sum", q, forward=True),
+        "p_below": Running("sum", p, with_current=False),
+        "q_below": Running("sum", q, with_current=False),
+    }
+    placed = _ordered(counted, sums)
+    # What lies at or above and what lies below make the whole: no join with totals.
+    all_p = F.col("tp") + F.coalesce("p_below", F.lit(0))
+    all_q = F.col("fp") + F.coalesce("q_below", F.lit(0))
+    tpr = ratio(F.col("tp"), all_p)
+    return placed.select("model", F.col("score").alias("threshold"), ratio(F.col("fp"), all_q).alias("fpr"), tpr.alias("tpr"), (1 - tpr).alias("fnr"))
 
 
 def threshold_sweep(scores: DataFrame, steps: int = 100, highest: float = 0.9) -> DataFrame:
@@ -116,10 +129,10 @@ def threshold_sweep(scores: DataFrame, steps: int = 100, highest: float = 0.9) -
     )
 
 
-def _at_or_above(scores: DataFrame, limits: DataFrame) -> DataFrame:
-    """Rows and positives with a score at or above each limit; ``limits`` (model, i, threshold) is small."""
+def _at_or_above(scores: DataFrame, limits: DataFrame, count: int) -> DataFrame:
+    """Rows and positives with a score at or above each of ``count`` limits (model, i, threshold)."""
     table = limits.groupBy("model").agg(F.array_sort(F.collect_list("threshold")).alias("_limits"))
-    counted = by_score(scores).join(F.broadcast(table), "model")
+    counted = by_score(scores).join(small(table, count), "model")
     reached = F.size(F.filter("_limits", lambda t: t <= F.col("score")))
     cells = counted.groupBy("model", reached.alias("reached")).agg(F.sum("n").alias("n"), F.sum("positives").alias("positives"))
     totals = Window.partitionBy("model")
@@ -139,16 +152,16 @@ def _at_or_above(scores: DataFrame, limits: DataFrame) -> DataFrame:
     return summed.filter(F.col("is_cell") == 0)
 
 
-def _limits(scores: DataFrame, probabilities: Sequence[float]) -> DataFrame:
+def _limits(scores: DataFrame, probabilities: Sequence[float]) -> tuple[DataFrame, int]:
     found = exact_quantiles(scores, ["score"], probabilities, by="model")
     rows = [(m, i, float(t)) for m, qs in found.items() for i, t in enumerate(qs["score"])]
-    return scores.sparkSession.createDataFrame(rows, "model string, i int, threshold double")
+    return scores.sparkSession.createDataFrame(rows, "model string, i int, threshold double"), len(rows)
 
 
 def gains(scores: DataFrame, points: int = 51) -> DataFrame:
     """Percent of rows and of positives at or above evenly spaced score quantiles. An action for the quantiles."""
     limits = _limits(scores, [i / (points - 1) for i in range(points)])
-    return _at_or_above(scores, limits).select(
+    return _at_or_above(scores, *limits).select(
         "model",
         "i",
         "threshold",
@@ -174,7 +187,7 @@ def percentile_bands(scores: DataFrame, bands: int = 100) -> DataFrame:
     percentile are in no band, as published. An action for the percentiles.
     """
     limits = _limits(scores, [i / bands for i in range(1, bands + 1)])
-    sums = _at_or_above(scores, limits).withColumns({"band": F.col("i") + 1})
+    sums = _at_or_above(scores, *limits).withColumns({"band": F.col("i") + 1})
     line = Window.partitionBy("model").orderBy("band")
     n = F.col("met_n") - F.coalesce(F.lead("met_n").over(line), F.lit(0))
     hits = F.col("met_positives") - F.coalesce(F.lead("met_positives").over(line), F.lit(0))
@@ -217,8 +230,13 @@ def one_proportion(wide: DataFrame, texts: Sequence[str], shares: Sequence[str])
 def linear_fit(df: DataFrame, x: str, y: str, by: str) -> DataFrame:
     """Least-squares line of ``y`` on ``x`` per group, unknown ``x`` as 0, and the slope left in its residual."""
     known = df.withColumn("_x", F.coalesce(F.col(x).cast("double"), F.lit(0.0))).withColumn("_y", F.col(y).cast("double"))
-    first = known.groupBy(by).agg(F.regr_slope("_y", "_x").alias("slope"), F.regr_intercept("_y", "_x").alias("intercept"), F.count("*").alias("n"))
-    # Groups are few.
-    rest = known.join(F.broadcast(first), by).withColumn("_r", F.col("_y") - (F.col("intercept") + F.col("slope") * F.col("_x")))
-    again = rest.groupBy(by).agg(F.regr_slope("_r", "_x").alias("residual_slope"))
-    return first.join(again, by)
+    fit = known.groupBy(by).agg(
+        F.regr_slope("_y", "_x").alias("slope"),
+        F.regr_intercept("_y", "_x").alias("intercept"),
+        F.count("*").alias("n"),
+        F.covar_pop("_y", "_x").alias("_cov"),
+        F.var_pop("_x").alias("_var"),
+    )
+    # The residual's slope is (cov(y, x) - slope var(x)) / var(x): the same sums give it.
+    rest = ratio(F.col("_cov") - F.col("slope") * F.col("_var"), F.col("_var"))
+    return fit.select(by, "slope", "intercept", "n", rest.alias("residual_slope"))

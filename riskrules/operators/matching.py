@@ -1,12 +1,13 @@
 """Applying rule tables to data and checking them.
 
-A rule set is small next to the data: it goes to the driver and comes back as a constant, either
-as one predicate or, for many rules, as an array that each row is tested against. Rows are never
-joined with rules and never multiplied except for the rules they meet.
+A rule set is small next to the data: it goes to the driver and comes back as a constant, as one
+predicate for a handful of rules or as an array that each row is tested against. Counts per rule
+come from cells of the table, so rows are never joined with rules.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -15,6 +16,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskrules.functions.measures import ratio, rounded
+from riskrules.operators.binning import edge_counts
+from riskrules.session import small
 
 # The comparison signs a rule text may use.
 COMPARISONS = {
@@ -152,17 +155,70 @@ def per_rule(
 ) -> DataFrame:
     """Rows, positives and rate of every rule on any table; rules without rows are left out.
 
-    More rules than fit one constant are tested in several passes over the data.
+    Rules of up to three features are counted from the cells their thresholds cut the table into:
+    a row adds to one cell per set of features, whatever the number of rules. Longer rules are
+    tested row by row, as many at a time as fit one constant.
     """
-    rules = list(rules)
-    parts = []
-    for start in range(0, len(rules), rules_per_pass):
-        hit = rule_hits(df, rules[start : start + rules_per_pass], maturity_column)
-        parts.append(hit.select(F.col(label).alias("_y"), F.explode("rule_ids").alias("rule_id")).groupBy("rule_id").agg(F.count("*").alias("n"), F.sum("_y").alias("positives")))
+    short = [r for r in rules if len({f for f, _, _ in r.conditions}) <= 3]
+    long = [r for r in rules if len({f for f, _, _ in r.conditions}) > 3]
+    parts = [_counted_by_cells(df, short, label, maturity_column)] if short else []
+    for start in range(0, len(long), rules_per_pass):
+        hit = rule_hits(df, long[start : start + rules_per_pass], maturity_column)
+        met = hit.select(F.col(label).alias("_y"), F.explode("rule_ids").alias("rule_id"))
+        parts.append(met.groupBy("rule_id").agg(F.count("*").alias("n"), F.sum("_y").alias("positives")))
     whole = reduce(DataFrame.unionByName, parts)
     return whole.withColumn("rate", F.col("positives") / F.col("n"))
 
 
+def _bounds(op: str, t: float) -> tuple[float | None, float | None]:
+    """A comparison as (strictly above, not above), on the double just below ``t`` where it must include ``t``."""
+    before = math.nextafter(t, -math.inf)
+    return {">": (t, None), ">=": (before, None), "<=": (None, t), "<": (None, before), "==": (before, t)}[op]
+
+
+def _counted_by_cells(df: DataFrame, rules: Sequence[Rule], label: str, maturity_column: str | None) -> DataFrame:
+    sets = sorted({tuple(sorted({f for f, _, _ in r.conditions})) for r in rules})
+    edges: dict[str, set[float]] = {}
+    for r in rules:
+        for f, op, t in r.conditions:
+            edges.setdefault(f, set()).update(b for b in _bounds(op, t) if b is not None)
+    ordered = {f: sorted(ts) for f, ts in edges.items()}
+    features = sorted(ordered)
+    day = F.col(maturity_column).cast("int") if maturity_column is not None else F.lit(None).cast("int")
+    # Bucket: number of edges below the value, -1 when it is unknown.
+    counted = edge_counts(df, ordered)
+    buckets = F.array(*[F.when(known_number(f).isNull(), -1).otherwise(F.col(f"{f}_above")) for f in features])
+    spots = F.array(
+        *[
+            F.struct(F.lit(i).alias("s"), *[F.lit(features.index(c[k]) if k < len(c) else -1).alias(f"p{k}") for k in range(3)])
+            for i, c in enumerate(sets)
+        ]
+    )
+    base = counted.select(F.col(label).alias("_y"), day.alias("day"), buckets.alias("_b")).select("_y", "day", "_b", F.inline(spots))
+    at = [F.when(F.col(f"p{k}") >= 0, F.get("_b", F.col(f"p{k}"))).alias(f"b{k}") for k in range(3)]
+    cells = base.select("_y", "day", "s", *at).groupBy("s", "day", "b0", "b1", "b2").agg(F.count("*").alias("n"), F.sum("_y").alias("p"))
+
+    # A rule is a range of buckets per feature; cells and rules meet on the set of features.
+    rows = []
+    for r in rules:
+        names = tuple(sorted({f for f, _, _ in r.conditions}))
+        low, high = {f: 0 for f in names}, {f: len(ordered[f]) for f in names}
+        for f, op, t in r.conditions:
+            over, upto = _bounds(op, t)
+            if over is not None:
+                low[f] = max(low[f], ordered[f].index(over) + 1)
+            if upto is not None:
+                high[f] = min(high[f], ordered[f].index(upto))
+        spans = [(low[f], high[f]) for f in names] + [(None, None)] * (3 - len(names))
+        rows.append((r.rule_id, sets.index(names), r.maturity if maturity_column is not None else None, *[x for span in spans for x in span]))
+    schema = "rule_id int, s int, only_day int, " + ", ".join(f"l{k} int, h{k} int" for k in range(3))
+    spans = small(df.sparkSession.createDataFrame(rows, schema), len(rows))
+    inside = reduce(lambda a, b: a & b, [F.col(f"l{k}").isNull() | F.col(f"b{k}").between(F.col(f"l{k}"), F.col(f"h{k}")) for k in range(3)])
+    in_day = F.col("only_day").isNull() | (F.col("only_day") == F.col("day"))
+    met = cells.join(spans, "s").filter(inside & F.coalesce(in_day, F.lit(False)))
+    return met.groupBy("rule_id").agg(F.sum("n").alias("n"), F.sum("p").alias("positives"))
+
+
 def rule_set_rates(tables: Mapping[str, DataFrame], predicate: Column, label: str) -> DataFrame:
     """Rows and rate, overall and where the rule set holds, for several tables (train, test, new)."""
     def one(name: str, df: DataFrame) -> DataFrame:

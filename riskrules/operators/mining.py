@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from riskrules.functions.measures import ratio
 from riskrules.operators.binning import edge_counts, quantile_edges
 from riskrules.operators.matching import known_number
+from riskrules.session import small
 
 Combos = Sequence[tuple[str, ...]]
 
@@ -85,7 +86,7 @@ def rules(
     axes = [f"b{k}" for k in range(1, size + 1)]
     where = grid(df, used, combos)
     if by:
-        where = where.join(F.broadcast(counted.select(*by, "combo").distinct()), "combo")
+        where = where.join(counted.select(*by, "combo").distinct(), "combo")
     # Absent cells count as zero, else the running sums would skip their thresholds.
     full = where.join(counted, [*by, "combo", *axes], "left").na.fill(0, list(measures))
 
@@ -105,9 +106,9 @@ def rules_by_group(df: DataFrame, features: Sequence[str], by: str, quantiles: i
 
     def placed(table: dict, inner: bool) -> DataFrame:
         rows = [(g, f, ts[1:-1] if inner else ts) for g, fs in table.items() for f, ts in fs.items()]
-        small = F.broadcast(spark.createDataFrame(rows, f"{by} {g_type}, f1 string, t1 array<double>"))
+        edges_of = small(spark.createDataFrame(rows, f"{by} {g_type}, f1 string, t1 array<double>"), len(rows))
         below = F.size(F.filter("t1", lambda t: t < F.col("_v")))
-        return long.join(small, [by, "f1"]).withColumn("b1", F.when(F.col("_v").isNull(), 0).otherwise(below))
+        return long.join(edges_of, [by, "f1"]).withColumn("b1", F.when(F.col("_v").isNull(), 0).otherwise(below))
 
     filled: dict = {}
     for r in placed(edges, inner=True).filter(F.col("_v").isNotNull()).select(by, "f1", "b1").distinct().collect():

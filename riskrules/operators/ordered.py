@@ -129,6 +129,19 @@ def grouped_median(df: DataFrame, key: str, value: str, parts_per_octave: int =
     return ranked.groupBy(key).agg(((at(low) + at(high)) / 2).alias("median"))
 
 
+def cut_points(df: DataFrame, columns: Sequence[str], parts: int, rows: int, per_part: int = 50) -> dict[str, list]:
+    """Values that cut each column into about ``parts`` equal shares, from a sample; an action.
+
+    Only the balance of the parts hangs on them, never a result, so a sample of ``per_part`` rows
+    per part is enough and its sketch stays small however large the table is.
+    """
+    fraction = min(1.0, per_part * parts / max(rows, 1))
+    some = df.select(*columns) if fraction >= 1.0 else df.select(*columns).sample(fraction, seed=7)
+    shares = [i / parts for i in range(1, parts)]
+    found = some.agg(*[F.percentile_approx(c, shares, 10 * parts).alias(c) for c in columns]).first()
+    return {c: sorted(set(found[c] or [])) for c in columns}
+
+
 def global_ntile(df: DataFrame, value: str, tie: str, tiles: int, parts: int = 256) -> DataFrame:
     """``ntile(tiles) over (order by value, tie)`` without one global window.
 
@@ -136,9 +149,8 @@ def global_ntile(df: DataFrame, value: str, tie: str, tiles: int, parts: int = 2
     its own is laid out further by quantiles of the tie-break. Row numbers run inside a part, on
     top of the sizes of the parts before. The cut points are the only rows the driver sees.
     """
-    shares = [i / parts for i in range(1, parts)]
-    cuts = df.agg(F.percentile_approx(value, shares, 10 * parts), F.percentile_approx(tie, shares, 10 * parts)).first()
-    value_cuts, tie_cuts = (sorted(set(c or [])) for c in cuts)
+    cuts = cut_points(df, [value, tie], parts, df.count())
+    value_cuts, tie_cuts = cuts[value], cuts[tie]
 
     def below(column: str, edges: list) -> Column:
         return F.size(F.filter(F.array(*[F.lit(e) for e in edges]), lambda e: e < F.col(column))) if edges else F.lit(0)

@@ -9,7 +9,7 @@ the driver. The trees of all segments and days of life grow in the same passes.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.functions import vector_to_array
@@ -18,8 +18,7 @@ from pyspark.sql import functions as F
 
 from riskrules.functions.measures import fill_gaps
 from riskrules.operators.binning import edge_counts, quantile_edges
-from riskrules.operators.matching import Rule, per_rule
-from riskrules.session import cut
+from riskrules.session import cut, small
 
 CONDITIONS = "array<struct<feature:string,op:string,threshold:double>>"
 
@@ -120,7 +119,7 @@ def _one_level_down(rows: DataFrame, by: list[str], splits: list) -> DataFrame:
     types = [f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in by]
     schema = ", ".join([*types, "node int", "_f int", "_at int"])
     table = rows.sparkSession.createDataFrame([(*[s[k] for k in by], s["node"], s["f"], s["bucket"]) for s in splits], schema)
-    moved = rows.join(F.broadcast(table), [*by, "node"])
+    moved = rows.join(small(table, len(splits)), [*by, "node"])
     child = F.col("node") * 2 + (F.get("_b", F.col("_f")) >= F.col("_at")).cast("int")
     return moved.select(*by, "_y", "_b", child.alias("node"))
 
@@ -142,14 +141,15 @@ def leaf_rules(df: DataFrame, features: Sequence[str], label: str, by: Sequence[
 def node_metrics(nodes: Sequence[Node], df: DataFrame, label: str) -> DataFrame:
     """Rows, positives and rate of every node of one tree on any table, from one pass.
 
-    Each row is counted in the leaf whose conditions it meets; leaves are then added up to their
+    A row finds its leaf by walking down one nested expression; leaves are then added up to their
     ancestors.
     """
     features = sorted({f for x in nodes for f, _, _ in x.conditions})
-    leaves = [Rule(x.node_id, x.conditions) for x in nodes if x.is_leaf]
-    counts = per_rule(fill_gaps(df.select(*features, label), features), leaves, label).select(F.col("rule_id").alias("leaf"), "n", "positives")
+    filled = fill_gaps(df.select(*features, label), features)
+    leaf = walk(nodes, {f: F.col(f) for f in features}, lambda x: F.lit(x.node_id))
+    counts = filled.groupBy(leaf.alias("leaf")).agg(F.count("*").alias("n"), F.sum(label).alias("positives"))
     spark = df.sparkSession
-    up = [(leaf.rule_id >> k, leaf.rule_id) for leaf in leaves for k in range(leaf.rule_id.bit_length())]
+    up = [(x.node_id >> k, x.node_id) for x in nodes if x.is_leaf for k in range(x.node_id.bit_length())]
     above = spark.createDataFrame(up, "node_id int, leaf int")
     table = spark.createDataFrame([(x.node_id, list(x.conditions), x.is_leaf) for x in nodes], f"node_id int, conditions {CONDITIONS}, is_leaf boolean")
     summed = above.join(counts, "leaf").groupBy("node_id").agg(F.sum("n").alias("n"), F.sum("positives").alias("positives"))
@@ -157,18 +157,17 @@ def node_metrics(nodes: Sequence[Node], df: DataFrame, label: str) -> DataFrame:
     return whole.withColumn("rate", F.try_divide(F.col("positives").cast("double"), "n"))
 
 
-def leaf_rate(nodes: Sequence[Node], column: Mapping[str, Column]) -> Column:
-    """The rate of the leaf a row falls in, as one nested expression."""
+def walk(nodes: Sequence[Node], column: Mapping[str, Column], at_leaf: Callable[[Node], Column]) -> Column:
+    """What ``at_leaf`` gives for the leaf a row falls in, as one nested expression."""
     at = {x.node_id: x for x in nodes}
 
-    def rate(i: int) -> Column:
-        node = at[i]
-        if node.is_leaf:
-            return F.lit(node.positives / node.n)
+    def down(i: int) -> Column:
+        if at[i].is_leaf:
+            return at_leaf(at[i])
         feature, _, limit = at[2 * i].conditions[-1]
-        return F.when(column[feature] <= limit, rate(2 * i)).otherwise(rate(2 * i + 1))
+        return F.when(column[feature] <= limit, down(2 * i)).otherwise(down(2 * i + 1))
 
-    return rate(1)
+    return down(1)
 
 
 class TreeModel:
@@ -179,7 +178,7 @@ class TreeModel:
         """``data`` with ``prediction``, the rate of the leaf."""
         wide = data.withColumn("_x", vector_to_array("features"))
         used = {f for x in self.nodes for f, _, _ in x.conditions}
-        rate = leaf_rate(self.nodes, {f: F.get("_x", int(f[1:])) for f in used})
+        rate = walk(self.nodes, {f: F.get("_x", int(f[1:])) for f in used}, lambda x: F.lit(x.positives / x.n))
         return wide.withColumn("prediction", rate).drop("_x")
 
 

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -42,19 +44,37 @@ def local_session(app: str = "riskrules", cores: str = "*", shuffle_partitions:
     return configure(spark)
 
 
+# Rows up to which a table made on the driver is sent to every task.
+BROADCAST_ROWS = 100_000
+
+
+def small(table: DataFrame, rows: int) -> DataFrame:
+    """A table of a known number of rows for a join: broadcast when that is few, else joined as it is."""
+    return F.broadcast(table) if rows <= BROADCAST_ROWS else table
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
+
+    Only a local-mode session without that setting (tests) gets a temporary folder; elsewhere a
+    missing setting is an error.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if named is not None:
+        return named
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+    made = tempfile.mkdtemp(prefix="riskrules-")
+    spark.conf.set("spark.checkpoint.dir", made)
+    return made
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the cluster's checkpoint folder and read it back from there.
+    """Write ``df`` as a table in the shared folder and read it back from there.
 
-    The folder is the one named in ``spark.checkpoint.dir``. Only a local-mode session without
-    that setting (tests) gets a temporary folder; elsewhere a missing setting is an error.
+    Used where several jobs read the same derived rows: the lineage ends at files that outlive any
+    executor, and later jobs read only the columns they need.
     """
-    spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        if shared is None:
-            if not sc.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-            shared = tempfile.mkdtemp(prefix="riskrules-ckpt-")
-        sc.setCheckpointDir(shared)
-    return df.checkpoint(eager=True)
+    path = f"{shared_folder(df.sparkSession).rstrip('/')}/riskrules-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

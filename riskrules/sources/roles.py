@@ -42,21 +42,14 @@ class EventRoles:
     def of_type(self, event_type: str) -> DataFrame:
         return self.events.filter(F.col("event_type") == event_type)
 
-    @cached_property
-    def linked(self) -> DataFrame:
-        """Events with what follows them for the same user and item."""
-        def kind(name: str) -> Column:
-            return F.col("event_type") == name
-
-        return next_after(
-            self.events.filter(F.col("event_type").isin("purchase", "click", "view", "error")),
-            keys=["account_id", "item"],
-            found={
-                "next_error": (kind("error"), F.struct("event_time")),
-                "next_view": (kind("view"), F.struct("value")),
-                "next_click": (kind("click"), F.struct("event_time", "value")),
-            },
-        )
+    def followed(self, first: str, then: str, *take: str) -> DataFrame:
+        """Events of one type with the next event of another, for the same user and item.
+
+        Only these two types are shuffled.
+        """
+        both = self.events.filter(F.col("event_type").isin(first, then))
+        found = {"following": (F.col("event_type") == then, F.struct(*take))}
+        return next_after(both, ["account_id", "item"], found).filter(F.col("event_type") == first)
 
     @cached_property
     def users(self) -> DataFrame:
@@ -84,24 +77,24 @@ class EventRoles:
     @cached_property
     def disputes(self) -> DataFrame:
         """At most one dispute per payment."""
-        disputed = self.linked.filter((F.col("event_type") == "purchase") & F.col("next_error").isNotNull())
+        disputed = self.followed("purchase", "error", "event_time").filter(F.col("following").isNotNull())
         return disputed.select(
             F.col("event_id").alias("pay_id"),
             "account_id",
-            F.col("next_error.event_time").alias("dispute_time"),
+            F.col("following.event_time").alias("dispute_time"),
             F.when(F.col("item") % 4 == 0, "fraud").otherwise("pay_dispute").alias("kind"),
         )
 
     @cached_property
     def plays(self) -> DataFrame:
         on_chips = F.col("item") % 5 == 0
-        return self.linked.filter(F.col("event_type") == "click").select(
+        return self.followed("click", "view", "value").select(
             F.col("event_id").alias("spin_id"),
             "account_id",
             "event_time",
             F.when(on_chips, F.col("value")).otherwise(0.0).alias("bet_chips"),
             F.when(on_chips, 0.0).otherwise(F.col("value")).alias("bet_money"),
-            F.coalesce("next_view.value", F.lit(0.0)).alias("win_amount"),
+            F.coalesce("following.value", F.lit(0.0)).alias("win_amount"),
             F.col("item").alias("machine_id"),
             F.col("item").alias("session_id"),
         )
@@ -122,12 +115,12 @@ class EventRoles:
 
     @cached_property
     def withdrawals_paid(self) -> DataFrame:
-        paid = self.linked.filter((F.col("event_type") == "view") & F.col("next_click").isNotNull())
+        paid = self.followed("view", "click", "event_time", "value").filter(F.col("following").isNotNull())
         return paid.select(
             F.col("event_id").alias("withdraw_id"),
             "account_id",
-            F.col("next_click.event_time").alias("event_time"),
-            F.col("next_click.value").alias("amount"),
+            F.col("following.event_time").alias("event_time"),
+            F.col("following.value").alias("amount"),
             F.lit(0.0).alias("withdraw_fee"),
         )
 
