@@ -13,15 +13,18 @@ from riskrules.functions import timeunits as tu
 from riskrules.functions.measures import rounded
 from riskrules.operators.joins import after_registration, maturity_spine
 from riskrules.operators.rollups import daily_activity, daily_payments, daily_tickets, daily_withdrawals
+from riskrules.session import cut
 
 OUTCOME_MINUTES = 30 * 24 * 60
 
 
-def payment_days(payments: DataFrame, users: DataFrame, disputes: DataFrame, as_of: str) -> DataFrame:
-    """Spine with the day's payments; days without payments are there with zeros."""
-    registered = after_registration(payments, users)
+def payment_days(registered: DataFrame, disputes: DataFrame, as_of: str) -> DataFrame:
+    """Spine with the day's payments; days without payments are there with zeros.
+
+    ``registered`` holds the payments after registration with their day of life.
+    """
     spine = maturity_spine(payers_of(registered), registered, as_of)
-    facts = daily_payments(payments, users, disputes)
+    facts = daily_payments(registered, disputes)
     counts = ["new_payments", "payments_working_hours", "payments_sleeptime", "payments_weekend"]
     return spine.join(facts, ["account_id", "matuirity_day"], "left").na.fill(0, counts + ["spent", "highest_payment", "disputed_payments"])
 
@@ -34,8 +37,10 @@ def payers_of(registered_payments: DataFrame) -> DataFrame:
 def base_panel(roles, as_of: str) -> DataFrame:
     """Spine with the four daily fact tables, all unique on (account, day)."""
     key = ["account_id", "matuirity_day"]
-    base = payment_days(roles.payments, roles.users, roles.disputes, as_of)
-    payers = payers_of(after_registration(roles.payments, roles.users))
+    # Five parts of the plan start from these payments: they are joined with the users once.
+    registered = cut(after_registration(roles.payments, roles.users))
+    base = payment_days(registered, roles.disputes, as_of)
+    payers = payers_of(registered)
     activity = daily_activity(roles.plays, payers).withColumnRenamed("bundle_id", "played_bundle")
     moved = daily_withdrawals(roles.withdrawals_applied, roles.withdrawals_paid, payers)
     contacts = daily_tickets(roles.tickets, payers)

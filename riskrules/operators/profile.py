@@ -9,6 +9,7 @@ from riskrules.functions.measures import exceeds, finite, ratio, rounded
 from riskrules.functions.timeunits import add_days, at_night, complete_units
 from riskrules.operators.joins import WEEK_MINUTES, in_first_week, with_disputes
 from riskrules.operators.sessions import session_losses
+from riskrules.session import cut
 
 DAY_37 = 37 * 24 * 60
 
@@ -66,7 +67,7 @@ def payment_measures(paid: DataFrame, disputes: DataFrame) -> DataFrame:
 
 def play_measures(plays: DataFrame, paid: DataFrame) -> DataFrame:
     """Machines, days and night share of the first week, and the growth of bets in the second."""
-    rows = plays.join(paid.select("account_id", "first_pay_time").distinct(), "account_id")
+    rows = plays.join(paid.select("account_id", "first_pay_time"), "account_id")
     week, bet = _age() <= WEEK_MINUTES, F.col("bet_money")
     next_week = _age().between(WEEK_MINUTES, 2 * WEEK_MINUTES)
     # One row per account, machine and day holds both distinct counts: neither explodes.
@@ -93,7 +94,7 @@ def play_measures(plays: DataFrame, paid: DataFrame) -> DataFrame:
 
 def session_measures(plays: DataFrame, results: DataFrame, paid: DataFrame) -> DataFrame:
     """Long sessions and losses of winnings among sessions with a result in the first week."""
-    week_results = in_first_week(results, paid.select("account_id", "first_pay_time").distinct())
+    week_results = in_first_week(results, paid.select("account_id", "first_pay_time"))
     ends = week_results.groupBy("account_id", "session_id").agg(F.max("event_time").alias("last_result"))
     rounds = plays.join(ends, ["account_id", "session_id"])
     scored = session_losses(rounds)
@@ -115,13 +116,13 @@ def session_measures(plays: DataFrame, results: DataFrame, paid: DataFrame) -> D
 
 def withdrew(applied: DataFrame, paid: DataFrame) -> DataFrame:
     """1 when anything was withdrawn in the first week."""
-    rows = in_first_week(applied, paid.select("account_id", "first_pay_time").distinct())
+    rows = in_first_week(applied, paid.select("account_id", "first_pay_time"))
     flag = F.when(F.sum("amount") > 0, 1).otherwise(0)
     return rows.groupBy("account_id").agg(flag.alias("user_withdrawed"))
 
 
 def bet_volatility(plays: DataFrame, paid: DataFrame) -> DataFrame:
-    rows = in_first_week(plays, paid.select("account_id", "first_pay_time").distinct())
+    rows = in_first_week(plays, paid.select("account_id", "first_pay_time"))
     spread = F.stddev_samp(F.when(F.col("bet_money") > 0, F.col("bet_money")))
     return rows.groupBy("account_id").agg(rounded(ratio(spread, F.sum("bet_money")), 2).alias("fluctuating_wagers"))
 
@@ -129,7 +130,7 @@ def bet_volatility(plays: DataFrame, paid: DataFrame) -> DataFrame:
 def time_played(starts: DataFrame, results: DataFrame, paid: DataFrame) -> DataFrame:
     """Seconds between the first and last event of a session, summed over sessions."""
     columns = ["account_id", "session_id", "event_time"]
-    rows = in_first_week(starts.select(columns).unionByName(results.select(columns)), paid.select("account_id", "first_pay_time").distinct())
+    rows = in_first_week(starts.select(columns).unionByName(results.select(columns)), paid.select("account_id", "first_pay_time"))
     sessions = rows.groupBy("account_id", "session_id").agg(
         complete_units("SECOND", F.min("event_time"), F.max("event_time")).alias("playtime")
     )
@@ -139,12 +140,13 @@ def time_played(starts: DataFrame, results: DataFrame, paid: DataFrame) -> DataF
 def payer_profile(roles, as_of: str) -> DataFrame:
     """One row per payer with every measure; payers without activity are kept."""
     paid = payers(roles.payments.filter(F.col("is_true").isNull() | F.col("is_true")), roles.users, roles.disputes, as_of)
-    profile = payment_measures(paid, roles.disputes)
+    # One row per payer; every part below joins its events with this table.
+    profile = cut(payment_measures(paid, roles.disputes))
     for part in (
-        play_measures(roles.plays, profile),
+        play_measures(roles.bets, profile),
         session_measures(roles.plays, roles.results, profile),
         withdrew(roles.withdrawals_applied, profile),
-        bet_volatility(roles.plays, profile),
+        bet_volatility(roles.bets, profile),
         time_played(roles.starts, roles.results, profile),
     ):
         profile = profile.join(part, "account_id", "left")

@@ -55,9 +55,9 @@ def daily_activity(plays: DataFrame, users: DataFrame) -> DataFrame:
     )
 
 
-def daily_payments(payments: DataFrame, users: DataFrame, disputes: DataFrame) -> DataFrame:
-    """Payments per account and day of life, joined with their disputes."""
-    paid = with_disputes(after_registration(payments, users), disputes)
+def daily_payments(registered: DataFrame, disputes: DataFrame) -> DataFrame:
+    """Payments after registration per account and day of life, with their disputes."""
+    paid = with_disputes(registered, disputes)
     time, positive = F.col("event_time"), F.col("pay_amount") > 0
     def count(test: Column) -> Column:
         return F.sum(F.when(test, 1).otherwise(0))

@@ -8,6 +8,7 @@ from riskrules.functions.measures import binary_label
 from riskrules.functions.timeunits import day_number, day_text, in_waking_hours, in_working_hours, on_weekend, shift_hours
 from riskrules.operators import profile, reports, rollups, sequences, sessions
 from riskrules.operators.binning import time_blocks
+from riskrules.operators.joins import after_registration, with_disputes
 from riskrules.plans.registry import query, rd, rds, sql_rd, sql_rds, sql_time, when_text
 from riskrules.sources.roles import AS_OF
 
@@ -77,7 +78,7 @@ SELECT account_id, matuirity_day, {_big(_PAY_COUNTS)}, {sql_rds(['disputed_payme
   {sql_time('first_pay_time')} AS first_pay, {sql_time('first_dispute_time')} AS first_dispute FROM pday
 """)
 def daily_payments(r):
-    days = rollups.daily_payments(r.payments, r.users, r.disputes)
+    days = rollups.daily_payments(after_registration(r.payments, r.users), r.disputes)
     return days.select(
         "account_id", "matuirity_day", *_PAY_COUNTS, *rds(["disputed_payments", "spent", "highest_payment"], 2),
         when_text("first_pay_time").alias("first_pay"), when_text("first_dispute_time").alias("first_dispute"),
@@ -336,8 +337,6 @@ lab AS (SELECT r.*, CASE WHEN d.dispute_time IS NULL THEN 0 ELSE 1 END AS label
 
 
 def labelled_payments(r):
-    from riskrules.operators.joins import after_registration, with_disputes
-
     paid = with_disputes(after_registration(r.payments, r.users), r.disputes)
     return paid.withColumn("label", binary_label(F.col("dispute_time").isNotNull().cast("int")))
 

@@ -85,19 +85,28 @@ class EventRoles:
             F.when(F.col("item") % 4 == 0, "fraud").otherwise("pay_dispute").alias("kind"),
         )
 
-    @cached_property
-    def plays(self) -> DataFrame:
+    @property
+    def _bet_columns(self) -> list[Column]:
         on_chips = F.col("item") % 5 == 0
-        return self.followed("click", "view", "value").select(
+        return [
             F.col("event_id").alias("spin_id"),
-            "account_id",
-            "event_time",
+            F.col("account_id"),
+            F.col("event_time"),
             F.when(on_chips, F.col("value")).otherwise(0.0).alias("bet_chips"),
             F.when(on_chips, 0.0).otherwise(F.col("value")).alias("bet_money"),
-            F.coalesce("following.value", F.lit(0.0)).alias("win_amount"),
             F.col("item").alias("machine_id"),
             F.col("item").alias("session_id"),
-        )
+        ]
+
+    @cached_property
+    def bets(self) -> DataFrame:
+        """Rounds without what they won: no need to look for it."""
+        return self.of_type("click").select(*self._bet_columns)
+
+    @cached_property
+    def plays(self) -> DataFrame:
+        won = F.coalesce("following.value", F.lit(0.0)).alias("win_amount")
+        return self.followed("click", "view", "value").select(*self._bet_columns, won)
 
     @cached_property
     def starts(self) -> DataFrame:
