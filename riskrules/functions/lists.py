@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -24,36 +24,33 @@ def parse_words(text: Column) -> Column:
     return F.transform(F.split(bare, ","), lambda item: F.trim(item))
 
 
-def has_null(items: Column) -> Column:
-    return F.exists(items, lambda x: x.isNull())
-
-
-def median(items: Column) -> Column:
-    ordered = F.sort_array(items)
-    n = F.size(items)
-    low = F.get(ordered, F.floor((n - 1) / 2).cast("int"))
-    high = F.get(ordered, F.floor(n / 2).cast("int"))
-    return (low + high) / 2
-
-
 def mean(items: Column) -> Column:
     total = F.aggregate(items, F.lit(0.0), lambda acc, x: acc + x)
     return F.try_divide(total, F.size(items))
 
 
-def payment_stats(items: Column) -> dict[str, Column]:
-    """Median, mean, extremes and their ratios; a list with a missing item has no statistics."""
-    known = ~has_null(items) & (F.size(items) > 0)
-    middle, average = F.when(known, median(items)), F.when(known, mean(items))
-    top, bottom = F.when(known, F.array_max(items)), F.when(known, F.array_min(items))
-    return {
-        "median_payment": middle,
-        "average_payment": average,
-        "maximum_payment": top,
-        "rel_maximum_payment": F.try_divide(top, average),
-        "minimum_payment": bottom,
-        "rel_payment_range": F.try_divide(top - bottom, bottom),
-    }
+def with_payment_stats(df: DataFrame, column: str) -> DataFrame:
+    """Median, mean, extremes and their ratios; a list with a missing item has no statistics.
+
+    The list is sorted once, nulls first: the ends give the extremes and tell of missing items.
+    """
+    line, n = F.col("_line"), F.size("_line")
+    sorted_once = df.withColumn("_line", F.sort_array(F.col(column)))
+    bottom = F.get(line, 0)
+    middle = (F.get(line, F.floor((n - 1) / 2).cast("int")) + F.get(line, F.floor(n / 2).cast("int"))) / 2
+    known = F.when(bottom.isNotNull(), F.struct(middle.alias("median"), mean(line).alias("mean"), F.get(line, n - 1).alias("top"), bottom.alias("bottom")))
+    parts = sorted_once.withColumn("_of", known)
+    top, average, low = F.col("_of.top"), F.col("_of.mean"), F.col("_of.bottom")
+    return parts.withColumns(
+        {
+            "median_payment": F.col("_of.median"),
+            "average_payment": average,
+            "maximum_payment": top,
+            "rel_maximum_payment": F.try_divide(top, average),
+            "minimum_payment": low,
+            "rel_payment_range": F.try_divide(top - low, low),
+        }
+    ).drop("_line", "_of")
 
 
 def pick(items: Column, position: int) -> Column:

@@ -138,8 +138,7 @@ def _zero_filled(df: DataFrame, horizons: Sequence[Horizon]) -> DataFrame:
 def spend_horizons(payments: DataFrame, users: DataFrame, join_days: int = 90) -> DataFrame:
     """Amount and number of payments up to each horizon, for every user.
 
-    Payments later than ``join_days`` never join, so horizons beyond it stop growing there. A user
-    without payments counts as one empty row in ``cp*`` in the published query; here it is 0.
+    Payments later than ``join_days`` never join, so horizons beyond it stop growing there.
     """
     rows = within_horizon(payments, users, join_days)
     one = F.lit(1).cast("double")
@@ -149,9 +148,8 @@ def spend_horizons(payments: DataFrame, users: DataFrame, join_days: int = 90) -
 
 def withdrawal_horizons(applied: DataFrame, paid: DataFrame, users: DataFrame, join_days: int = 30) -> DataFrame:
     """Amount paid out up to each horizon; payouts before ``join_days`` after registration."""
-    # An application is unique on its id, so the payout's own row is enough and the pair is an
-    # existence check.
-    done = paid.join(applied.select("withdraw_id").distinct(), "withdraw_id", "left_semi")
+    # The account is the applicant's; the payout is found by id alone.
+    done = withdrawals(applied, paid, same_account=False).select("account_id", F.col("paid_time").alias("event_time"), F.col("paid_amount").alias("amount"))
     rows = done.join(users, "account_id").filter(
         (F.col("event_time") > F.col("register_time")) & (F.col("event_time") < tu.add_days(F.col("register_time"), join_days))
     )

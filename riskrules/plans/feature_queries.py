@@ -54,7 +54,7 @@ SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_extendedprice, CAST(len
 def list_statistics(r):
     rows = _lists(r).withColumn("items", lists.parse_numbers(F.col("payment_history")))
     items = F.col("items")
-    stats = rows.withColumns(lists.payment_stats(items))
+    stats = lists.with_payment_stats(rows, "items")
     return stats.select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", F.size(items).alias("number_payments"), lists.pick(items, 1).alias("first_payment"),
         rd(lists.pick(items, 2), 4).alias("second_payment"), rd(lists.pick(items, 3), 4).alias("third_payment"), *rds(_STATS, 4),

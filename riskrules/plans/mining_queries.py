@@ -131,7 +131,7 @@ def one_hot_status(r):
 
 
 @query("I6", oracle=f"""
-, e AS (SELECT list_sort(list_distinct([round(x, 1) for x in quantile_cont(o_totalprice, {_shares(5)})])) AS es FROM orders),
+, e AS (SELECT list_sort(list_distinct([round_even(x, 1) for x in quantile_cont(o_totalprice, {_shares(5)})])) AS es FROM orders),
 b AS (SELECT es[1 + len(list_filter(es[2:len(es) - 1], lambda x: x < o_totalprice))] AS left_edge, o_totalprice FROM orders, e WHERE o_totalprice BETWEEN es[1] AND es[len(es)])
 SELECT {sql_rd('left_edge', 1)} AS left_edge, CAST(count(*) AS BIGINT) AS n FROM b GROUP BY b.left_edge
 """)

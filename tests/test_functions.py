@@ -33,11 +33,15 @@ def test_clock_parts(spark):
 
 
 def test_short_lists(spark):
-    stats = lists.payment_stats(numbers(4, 1, 3))
-    assert one(spark, *stats.values()) == (3.0, pytest.approx(8 / 3), 4.0, 1.5, 1.0, 3.0)
-    assert one(spark, *lists.payment_stats(numbers(4, None)).values()) == (None,) * 6
-    assert one(spark, *lists.payment_stats(F.array().cast("array<double>")).values()) == (None,) * 6
-    assert one(spark, lists.median(numbers(5, 1, 2, 10)), lists.pick(numbers(7), 2), lists.last_item(numbers(7, 8))) == (3.5, None, 8.0)
+    names = ["median_payment", "average_payment", "maximum_payment", "rel_maximum_payment", "minimum_payment", "rel_payment_range"]
+
+    def stats(items):
+        return tuple(lists.with_payment_stats(spark.range(1).select(items.alias("items")), "items").select(*names).first())
+
+    assert stats(numbers(4, 1, 3)) == (3.0, pytest.approx(8 / 3), 4.0, 1.5, 1.0, 3.0)
+    assert stats(numbers(5, 1, 2, 10))[0] == 3.5
+    assert stats(numbers(4, None)) == stats(F.array().cast("array<double>")) == (None,) * 6
+    assert one(spark, lists.pick(numbers(7), 2), lists.last_item(numbers(7, 8))) == (None, 8.0)
 
 
 def test_tail_takes_what_there_is(spark):
