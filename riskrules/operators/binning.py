@@ -21,6 +21,9 @@ Edges = dict[str, list[float]]
 # Rows up to which one aggregate holds the distinct values of a column; also the size of a slot.
 SINGLE_PASS_ROWS = 100_000
 MAX_SLOTS = 20_000
+# Groups and slot counts the driver holds.
+MAX_GROUPS = 10_000
+MAX_SLOT_COUNTS = 2_000_000
 
 
 def _plain(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
@@ -45,8 +48,12 @@ def exact_quantiles(
     """
     columns, probabilities = list(columns), list(probabilities)
     data = _plain(df, columns, [by] if by else [])
+    groups = 1
     if by:
         data = data.filter(F.col(by).isNotNull())
+        groups = max(1, data.select(by).distinct().count())
+        if groups > MAX_GROUPS:
+            raise ValueError(f"{by} has {groups} values; quantiles by group are for few groups")
     keys = [by] if by else []
     rows = data.count()
     if rows <= single_pass_rows:
@@ -55,7 +62,8 @@ def exact_quantiles(
         return out if by else out.get(None, {c: [] for c in columns})
     # With more slots than ranks most rows are out after the slot counts.
     slots = max(math.ceil(rows / single_pass_rows), min(8 * len(probabilities), 1024))
-    out = _quantiles_by_slots(data, columns, probabilities, by, min(slots, MAX_SLOTS), rows)
+    slots = min(slots, MAX_SLOTS, MAX_SLOT_COUNTS // (groups * len(columns)))
+    out = _quantiles_by_slots(data, columns, probabilities, by, slots, rows)
     return out if by else out.get(None, {c: [] for c in columns})
 
 
@@ -86,7 +94,7 @@ def _quantiles_by_slots(data: DataFrame, columns: list[str], probabilities: list
     g_type = long.schema["g"].dataType.simpleString()
     slots_wanted = spark.createDataFrame(wanted, f"g {g_type}, c string, s int, start long, ranks array<long>")
     # At most two slots per column, group and probability.
-    slots_wanted = small(slots_wanted, len(wanted))
+    slots_wanted = small(slots_wanted, len(wanted), 4 + 2 * len(probabilities))
     key = ["g", "c", "s"]
 
     def same(left: DataFrame) -> list[Column]:
@@ -268,7 +276,7 @@ def codes_by_group(df: DataFrame, columns: Sequence[str], by: str, quantiles: in
     g_type = df.schema[by].dataType.simpleString()
     schema = ", ".join([f"_g {g_type}", *[f"`_e_{c}` array<double>" for c in columns]])
     table = df.sparkSession.createDataFrame(rows, schema)
-    joined = df.join(small(table, len(rows)), df[by] == table["_g"])
+    joined = df.join(small(table, len(rows), 1 + len(columns) * (quantiles + 1)), df[by] == table["_g"])
 
     def code(c: str) -> Column:
         e, v = F.col(f"_e_{c}"), F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))

@@ -89,8 +89,9 @@ def maturity_spine(users: DataFrame, days: DataFrame, as_of: str, outcome_days:
     """
     closed = F.datediff(F.lit(as_of).cast("date"), F.to_date("register_time")) - (outcome_days + 1)
     spine = users.filter(closed >= 0).withColumn("matuirity_day", F.explode(F.sequence(F.lit(0), closed)))
+    # Distinct days of life: at most one row per calendar day covered by the log, so it is broadcast.
     known = days.select("matuirity_day").filter(F.col("matuirity_day").isNotNull()).distinct()
-    return spine.join(known, "matuirity_day", "left_semi")
+    return spine.join(F.broadcast(known), "matuirity_day", "left_semi")
 
 
 def outcome_closed(panel: DataFrame, as_of: str, outcome_days: int = 30) -> DataFrame:

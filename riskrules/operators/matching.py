@@ -28,6 +28,8 @@ COMPARISONS = {
     "==": lambda a, b: a == b,
 }
 MAX_RULES_PER_PASS = 2000
+# Meetings of cells and rules up to which counting by cells pays.
+MAX_CELL_TESTS = 200_000_000
 
 
 @dataclass(frozen=True)
@@ -156,11 +158,11 @@ def per_rule(
     """Rows, positives and rate of every rule on any table; rules without rows are left out.
 
     Rules of up to three features are counted from the cells their thresholds cut the table into:
-    a row adds to one cell per set of features, whatever the number of rules. Longer rules are
-    tested row by row, as many at a time as fit one constant.
+    a row adds to one cell per set of features, whatever the number of rules. Longer rules, and
+    sets of features with too many cells, are tested row by row, as many rules at a time as fit
+    one constant.
     """
-    short = [r for r in rules if len({f for f, _, _ in r.conditions}) <= 3]
-    long = [r for r in rules if len({f for f, _, _ in r.conditions}) > 3]
+    short, long = _by_size(rules)
     parts = [_counted_by_cells(df, short, label, maturity_column)] if short else []
     for start in range(0, len(long), rules_per_pass):
         hit = rule_hits(df, long[start : start + rules_per_pass], maturity_column)
@@ -170,6 +172,22 @@ def per_rule(
     return whole.withColumn("rate", F.col("positives") / F.col("n"))
 
 
+def _by_size(rules: Sequence[Rule]) -> tuple[list[Rule], list[Rule]]:
+    """Rules to count from cells, and rules to test row by row."""
+    sets: dict[tuple, list[Rule]] = {}
+    for r in rules:
+        sets.setdefault(tuple(sorted({f for f, _, _ in r.conditions})), []).append(r)
+    edges: dict[str, set] = {}
+    for r in rules:
+        for f, op, t in r.conditions:
+            edges.setdefault(f, set()).add((op in (">", "<="), t))
+    short, long = [], []
+    for features, members in sets.items():
+        cells = math.prod(len(edges[f]) + 2 for f in features)
+        (short if len(features) <= 3 and cells * len(members) <= MAX_CELL_TESTS else long).extend(members)
+    return short, long
+
+
 def _bounds(op: str, t: float) -> tuple[float | None, float | None]:
     """A comparison as (strictly above, not above), on the double just below ``t`` where it must include ``t``."""
     before = math.nextafter(t, -math.inf)
@@ -212,7 +230,7 @@ def _counted_by_cells(df: DataFrame, rules: Sequence[Rule], label: str, maturity
         spans = [(low[f], high[f]) for f in names] + [(None, None)] * (3 - len(names))
         rows.append((r.rule_id, sets.index(names), r.maturity if maturity_column is not None else None, *[x for span in spans for x in span]))
     schema = "rule_id int, s int, only_day int, " + ", ".join(f"l{k} int, h{k} int" for k in range(3))
-    spans = small(df.sparkSession.createDataFrame(rows, schema), len(rows))
+    spans = small(df.sparkSession.createDataFrame(rows, schema), len(rows), 9)
     inside = reduce(lambda a, b: a & b, [F.col(f"l{k}").isNull() | F.col(f"b{k}").between(F.col(f"l{k}"), F.col(f"h{k}")) for k in range(3)])
     in_day = F.col("only_day").isNull() | (F.col("only_day") == F.col("day"))
     met = cells.join(spans, "s").filter(inside & F.coalesce(in_day, F.lit(False)))

@@ -106,7 +106,7 @@ def rules_by_group(df: DataFrame, features: Sequence[str], by: str, quantiles: i
 
     def placed(table: dict, inner: bool) -> DataFrame:
         rows = [(g, f, ts[1:-1] if inner else ts) for g, fs in table.items() for f, ts in fs.items()]
-        edges_of = small(spark.createDataFrame(rows, f"{by} {g_type}, f1 string, t1 array<double>"), len(rows))
+        edges_of = small(spark.createDataFrame(rows, f"{by} {g_type}, f1 string, t1 array<double>"), len(rows), quantiles + 3)
         below = F.size(F.filter("t1", lambda t: t < F.col("_v")))
         return long.join(edges_of, [by, "f1"]).withColumn("b1", F.when(F.col("_v").isNull(), 0).otherwise(below))
 

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskrules.functions.measures import fill_gaps
-from riskrules.operators.binning import edge_counts, quantile_edges
+from riskrules.operators.binning import MAX_GROUPS, edge_counts, quantile_edges
 from riskrules.session import cut, small
 
 CONDITIONS = "array<struct<feature:string,op:string,threshold:double>>"
@@ -77,7 +77,10 @@ def grow(
     table = cut(edge_counts(filled, edges).select(*by, "_y", buckets.alias("_b")))
 
     tree: dict[tuple, dict] = {}
-    for r in table.groupBy(*by).agg(F.count("*").alias("n"), F.coalesce(F.sum("_y"), F.lit(0)).alias("p")).collect():
+    groups = table.groupBy(*by).agg(F.count("*").alias("n"), F.coalesce(F.sum("_y"), F.lit(0)).alias("p")).limit(MAX_GROUPS + 1).collect()
+    if len(groups) > MAX_GROUPS:
+        raise ValueError(f"more than {MAX_GROUPS} groups; trees are for segments and days")
+    for r in groups:
         if r["n"]:
             tree[(tuple(r[k] for k in by), 1)] = {"path": (), "n": r["n"], "p": r["p"], "split": None}
     rows = table.withColumn("node", F.lit(1))
@@ -119,7 +122,7 @@ def _one_level_down(rows: DataFrame, by: list[str], splits: list) -> DataFrame:
     types = [f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in by]
     schema = ", ".join([*types, "node int", "_f int", "_at int"])
     table = rows.sparkSession.createDataFrame([(*[s[k] for k in by], s["node"], s["f"], s["bucket"]) for s in splits], schema)
-    moved = rows.join(small(table, len(splits)), [*by, "node"])
+    moved = rows.join(small(table, len(splits), len(by) + 3), [*by, "node"])
     child = F.col("node") * 2 + (F.get("_b", F.col("_f")) >= F.col("_at")).cast("int")
     return moved.select(*by, "_y", "_b", child.alias("node"))
 

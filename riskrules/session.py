@@ -44,13 +44,13 @@ def local_session(app: str = "riskrules", cores: str = "*", shuffle_partitions:
     return configure(spark)
 
 
-# Rows up to which a table made on the driver is sent to every task.
-BROADCAST_ROWS = 100_000
+# Numbers up to which a table made on the driver is sent to every task (8 MB of doubles).
+BROADCAST_VALUES = 1_000_000
 
 
-def small(table: DataFrame, rows: int) -> DataFrame:
-    """A table of a known number of rows for a join: broadcast when that is few, else joined as it is."""
-    return F.broadcast(table) if rows <= BROADCAST_ROWS else table
+def small(table: DataFrame, rows: int, width: int = 4) -> DataFrame:
+    """A table of a known number of rows and values per row, for a join: broadcast when that is little."""
+    return F.broadcast(table) if rows * width <= BROADCAST_VALUES else table
 
 
 def shared_folder(spark: SparkSession) -> str:

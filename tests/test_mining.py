@@ -146,6 +146,20 @@ def test_many_rules_in_one_pass(planted, planted_rows):
         assert got.get(i, 0) == sum(r[1] > i / 100 and r[2] <= 5 for r in planted_rows)
 
 
+def test_rules_with_too_many_cells_are_tested_row_by_row(planted, monkeypatch):
+    rules = [Rule(i, (("x", ">=", float(i)), ("y", "<", 5.0 + i / 10))) for i in range(8)]
+    rules.append(Rule(99, (("x", ">", 1.0), ("y", ">", 1.0), ("z", "<=", 1.0), ("amount", "<", 50.0))))
+    by_cells = sorted(map(tuple, matching.per_rule(planted, rules, "label").collect()))
+    monkeypatch.setattr(matching, "MAX_CELL_TESTS", 10)
+    assert sorted(map(tuple, matching.per_rule(planted, rules, "label").collect())) == by_cells and len(by_cells) == 9
+
+
+def test_groups_must_be_few(planted, monkeypatch):
+    monkeypatch.setattr(binning, "MAX_GROUPS", 100)
+    with pytest.raises(ValueError):
+        binning.exact_quantiles(planted, ["x"], [0.5], by="id")
+
+
 def test_rule_texts(spark):
     df = spark.createDataFrame([("a > 5", None, "0.25"), ("b <= 1e3", "a == 2", "7 rows here x")], "c1 string, c2 string, c3 string")
     got = [[tuple(c) for c in r["conditions"]] for r in matching.from_text(df, ["c1", "c2", "c3"]).collect()]
