@@ -9,6 +9,7 @@ once (``session.cut``).
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from itertools import product
 
@@ -60,7 +61,7 @@ def tuned_logistic(penalties: Sequence[float] = (0.0, 0.01, 0.1, 1.0), folds: in
     base = LogisticRegression(maxIter=rounds)
     grid = ParamGridBuilder().addGrid(base.regParam, list(penalties)).build()
     judge = BinaryClassificationEvaluator(metricName="areaUnderROC")
-    return CrossValidator(estimator=base, estimatorParamMaps=grid, evaluator=judge, numFolds=folds, seed=seed)
+    return CrossValidator(estimator=base, estimatorParamMaps=grid, evaluator=judge, numFolds=folds, seed=seed, parallelism=4)
 
 
 def gaussian_bayes() -> NaiveBayes:
@@ -89,13 +90,20 @@ def blocks_of(data: DataFrame) -> list[int]:
     return sorted(r[0] for r in data.filter(F.col("block").isNotNull()).select("block").distinct().collect())
 
 
-def out_of_block_scores(data: DataFrame, models: Mapping[str, Estimator]) -> DataFrame:
-    """Every row scored by every model fitted on the other blocks. An action per fit."""
+def out_of_block_scores(data: DataFrame, models: Mapping[str, Estimator], parallelism: int = 4) -> DataFrame:
+    """Every row scored by every model fitted on the other blocks. An action per fit.
+
+    Fits do not depend on each other; ``parallelism`` of them are submitted at a time.
+    """
     data = cut(data)
-    parts = []
-    for block in blocks_of(data):
+
+    def fitted(task: tuple[int, str]) -> DataFrame:
+        block, name = task
         train, test = data.filter(F.col("block") != block), data.filter(F.col("block") == block)
-        parts += [scores(estimator.fit(train), test, name) for name, estimator in models.items()]
+        return scores(models[name].fit(train), test, name)
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        parts = list(pool.map(fitted, product(blocks_of(data), models)))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -63,7 +63,7 @@ def tree_node_metrics(r):
 
 @query("L5")
 def grid_scores(r):
-    return models.mean_grid_scores(models.grid_scores(_rows(r), ["gini", "log_loss"], [4], [100]))
+    return models.mean_grid_scores(models.grid_scores(_rows(r), ["gini", "log_loss"], [3], [100]))
 
 
 @query("L6", "L12")
