@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -125,7 +123,3 @@ def recharge_and_loss_flags(times: Column, losses: Column, days: int = 2, step:
         return F.when(i == 0, 0).otherwise(F.coalesce(close & grew, F.lit(False)).cast("int"))
 
     return F.transform(times, flag)
-
-
-def flags_of(text: Column, words: Sequence[str]) -> dict[str, Column]:
-    return {word: text_flag(text, word) for word in words}

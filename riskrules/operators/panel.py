@@ -16,6 +16,8 @@ from riskrules.operators.rollups import daily_activity, daily_payments, daily_ti
 from riskrules.session import cut
 
 OUTCOME_MINUTES = 30 * 24 * 60
+# Days after its own that a row's features read at most.
+LONGEST_LOOK_AHEAD = 13
 
 
 def payment_days(registered: DataFrame, disputes: DataFrame, as_of: str) -> DataFrame:
@@ -92,7 +94,7 @@ def payment_features() -> dict[str, Column]:
         out[f"spent_last_{d}d"] = trailing(spent, d)
     out["daily_spent_to_date"] = rounded(to_date(spent, F.avg), 2)
     out["daily_spent_last_7_d"] = rounded(trailing(spent, 7, F.avg), 2)
-    for label, ahead in ((14, 13), (7, 7), (1, 0)):
+    for label, ahead in ((14, LONGEST_LOOK_AHEAD), (7, 7), (1, 0)):
         out[f"daily_spent_first_{label}d"] = opening_average(spent, ahead)
     out["max_daily_spent"] = to_date(spent, F.max)
     out["max_payment"] = to_date(F.col("highest_payment"), F.max)
@@ -111,7 +113,7 @@ def activity_features() -> dict[str, Column]:
         out[f"bet_money_last_{d}d"] = rounded(trailing(bet, d), 1)
         out[f"win_amount_last_{d}d"] = rounded(trailing(win, d), 2)
     out["max_games_daily_games"] = to_date(games, F.max)
-    for label, ahead in ((14, 13), (7, 7), (1, 0)):
+    for label, ahead in ((14, LONGEST_LOOK_AHEAD), (7, 7), (1, 0)):
         out[f"daily_games_first_{label}d"] = opening_average(games, ahead)
     out["retention_sequence"] = history(_flag(games > 0))
     out["games_sequence"] = history(F.coalesce(games, F.lit(0)))
@@ -134,37 +136,42 @@ def contact_features() -> dict[str, Column]:
 
 
 def withdrawal_features() -> dict[str, Column]:
-    first = F.min("first_withdrawn_attempt").over(_account())
-    paid = F.min("first_pay_time").over(_account())
     return {
         "withdrawn_attempted_ammount_to_date": F.coalesce(to_date(F.col("total_withdrawn_applied")), F.lit(0.0)),
         "withdrawn_attempt_to_date": F.coalesce(to_date(F.col("count_withdraw_apply")), F.lit(0)),
-        "minutes_to_withdraw_since_first_payment": tu.complete_units("MINUTE", paid, first),
     }
 
 
-def timing_features() -> dict[str, Column]:
-    register, day = F.col("register_time"), F.col("matuirity_day")
-    paid = F.min("first_pay_time").over(_account())
-    played = F.min("first_game").over(_account())
-    to_play = tu.complete_units("MINUTE", register, played)
-    to_pay = tu.complete_units("MINUTE", register, paid)
+def account_facts() -> dict[str, Column]:
+    """What is fixed per account: firsts over all its days, whatever the row's day."""
     return {
-        "first_payment": paid,
+        "first_payment": F.min("first_pay_time").over(_account()),
+        "first_game_ever": F.min("first_game").over(_account()),
         "first_dispute": F.min("first_dispute_time").over(_account()),
+        "first_withdrawal": F.min("first_withdrawn_attempt").over(_account()),
         "played_bundle_id": F.max("played_bundle").over(_account()),
+    }
+
+
+def timing_features() -> dict[str, Column]:
+    register, day, paid = F.col("register_time"), F.col("matuirity_day"), F.col("first_payment")
+    to_play = tu.complete_units("MINUTE", register, F.col("first_game_ever"))
+    to_pay = tu.complete_units("MINUTE", register, paid)
+    days_to_pay = tu.complete_units("DAY", register, paid)
+    return {
         "minutes_to_play": to_play,
         "minutes_to_payment": to_pay,
         "minutes_to_pay_since_first_game": to_pay - to_play,
-        "pay_matuirity": day - tu.complete_units("DAY", register, paid),
-        "paying_matuirity": day - F.ceil(tu.complete_units("DAY", register, paid)).cast("int"),
+        "pay_matuirity": day - days_to_pay,
+        "paying_matuirity": day - F.ceil(days_to_pay).cast("int"),
+        "minutes_to_withdraw_since_first_payment": tu.complete_units("MINUTE", paid, F.col("first_withdrawal")),
     }
 
 
 def outcome_labels() -> dict[str, Column]:
     """Disputed before the day's end, and disputed within 30 days from it."""
     limit = tu.add_days(F.col("register_time"), F.col("matuirity_day") + 1)
-    wait = tu.complete_units("MINUTE", limit, F.min("first_dispute_time").over(_account()))
+    wait = tu.complete_units("MINUTE", limit, F.col("first_dispute"))
     return {
         "limit_time": limit,
         "past_disputer": _flag(wait < 0),
@@ -172,9 +179,15 @@ def outcome_labels() -> dict[str, Column]:
     }
 
 
-def user_day_panel(roles, as_of: str) -> DataFrame:
-    """All running features and labels per account and day of life."""
-    base = base_panel(roles, as_of)
+def user_day_panel(roles, as_of: str, last_day: int | None = None) -> DataFrame:
+    """All running features and labels per account and day of life.
+
+    With ``last_day`` only rows up to that day come back, and the running histories are never built
+    for later ones: their arrays grow with the day.
+    """
+    base = base_panel(roles, as_of).withColumns(account_facts())
+    if last_day is not None:
+        base = base.filter(F.col("matuirity_day") <= last_day + LONGEST_LOOK_AHEAD)
     features = {
         **timing_features(),
         **payment_features(),
@@ -184,8 +197,9 @@ def user_day_panel(roles, as_of: str) -> DataFrame:
         **outcome_labels(),
     }
     # One select: every window hangs on the same exchange and sort of (account, day).
-    keep = ["account_id", "bundle_id", "register_time", "matuirity_day"]
-    return base.select(*keep, *[c.alias(n) for n, c in features.items()])
+    keep = ["account_id", "bundle_id", "register_time", "matuirity_day", "first_payment", "first_dispute", "played_bundle_id"]
+    wide = base.select(*keep, *[c.alias(n) for n, c in features.items()])
+    return wide if last_day is None else wide.filter(F.col("matuirity_day") <= last_day)
 
 
 def not_yet_payers(panel: DataFrame, last_day: int = 35) -> DataFrame:

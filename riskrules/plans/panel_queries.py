@@ -95,8 +95,8 @@ def _select(parts: dict[str, str], more: str = "") -> str:
     return f"SELECT account_id, matuirity_day, {', '.join(f'{e} AS {n}' for n, e in parts.items())}{more} FROM base"
 
 
-def panel_of(r):
-    return panel.user_day_panel(r, AS_OF)
+def panel_of(r, last_day=None):
+    return panel.user_day_panel(r, AS_OF, last_day)
 
 
 @query("C5", "C6", "B2", "B6", oracle=f"""
@@ -158,7 +158,7 @@ _FULL = {**_FEATURES, **_ACTIVITY, **_TIMING, **_LABELS}
 
 @query("B3", oracle=f",{BASE_SQL}, w AS ({_select(_FULL)})\nSELECT account_id, matuirity_day, new_disputer_30d FROM w WHERE spent_to_date = 0 AND matuirity_day BETWEEN 0 AND 35 AND past_disputer = 0")
 def not_yet_payers(r):
-    return panel.not_yet_payers(panel_of(r)).select("account_id", "matuirity_day", "new_disputer_30d")
+    return panel.not_yet_payers(panel_of(r, 35)).select("account_id", "matuirity_day", "new_disputer_30d")
 
 
 @query("B5", "H21", oracle=f""",{BASE_SQL},
@@ -168,7 +168,7 @@ SELECT account_id, CAST(n1 AS BIGINT) AS day_1_count_payment, {sql_rd('d1', 2)}
 FROM d WHERE d1 > 0
 """)
 def first_week_growth(r):
-    week = panel_of(r).filter(F.col("matuirity_day") == 6)
+    week = panel_of(r, 6).filter(F.col("matuirity_day") == 6)
     history = F.col("daily_spent_history_count")
     parts = week.select(
         "account_id",

@@ -115,6 +115,15 @@ def test_the_planted_rule_ranks_first(planted):
     assert 0.75 < best["rate"] < 0.85
 
 
+def test_rule_tables_as_text_and_matrix(planted):
+    found = mining.rules(planted, {"x": [3.0, 7.0], "y": [3.0]}, mining.label_measures("label"), 2)
+    texts = {(r["column_1"], r["column_2"]) for r in mining.as_columns(found, 2, 1).collect()}
+    assert ("x > 7.0", "y <= 3.0") in texts and len(texts) == 8
+    long = mining.threshold_grid(found, "x", "y", value="n")
+    matrix = mining.grid_matrix(long, [3.0], "n").orderBy("threshold_1").collect()
+    assert [r["threshold_1"] for r in matrix] == [3.0, 7.0] and matrix[0]["3.0"] > matrix[1]["3.0"]
+
+
 def test_rules_by_group(planted, planted_rows):
     found = mining.rules_by_group(planted, ["x", "z"], "block", 4, mining.label_measures("label")).collect()
     assert {r["block"] for r in found} == {0, 1, 2}

@@ -91,6 +91,14 @@ def test_outcome_window_must_be_closed(spark):
     assert kept == [0, 1, 2]
 
 
+def test_early_days_do_not_depend_on_the_cut(spark):
+    payments = [(at(d, hours=1), float(d + 1)) for d in range(3, 40)]
+    roles = world(spark, payments, disputes=[(20, at(25))], plays=[(at(d, hours=3), 1.0 + d, 0.5) for d in (4, 30)])
+    whole = {d: r for d, r in days_of(spark, roles).items() if d <= 6}
+    early = {r["matuirity_day"]: r for r in panel.user_day_panel(roles, AS_OF, last_day=6).collect()}
+    assert early == whole and whole[3]["daily_spent_first_14d"] == pytest.approx(sum(range(4, 18)) / 14)
+
+
 def test_horizons_beyond_the_join_stop_growing(spark):
     roles = world(spark, [(at(10), 1.0), (at(89), 2.0), (at(120), 4.0)])
     row = rollups.spend_horizons(roles.payments, roles.users).first()
