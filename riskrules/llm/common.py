@@ -138,3 +138,21 @@ def components(edges: DataFrame) -> DataFrame:
         labels = cut(labels.join(moved.withColumnRenamed("old", "label"), "label", "left").select("node", F.coalesce("new", "label").alias("label")))
     smallest = labels.groupBy("label").agg(F.min("node").alias("component"))
     return cut(labels.join(smallest, "label").select("node", "component"))
+
+
+def kept_rows(docs: DataFrame, text: str, keep: Callable[[Iterator[list[bytes]]], Iterator[list[bool]]]) -> DataFrame:
+    """The rows of ``docs`` that ``keep`` is true for, with all columns as they are."""
+    place = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def texts():
+            for b in batches:
+                held.append(b)
+                yield [t or b"" for t in b.column(place).cast(pa.binary()).to_pylist()]
+
+        for mask in keep(texts()):
+            yield held.pop(0).filter(pa.array(mask, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
