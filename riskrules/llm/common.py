@@ -6,6 +6,9 @@ ASCII blanks x09-x0D and x20 only, which is the definition of a word in several
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -16,19 +19,48 @@ from pyspark.sql import functions as F
 
 from riskrules.session import configure, cut
 
-# Rows per Arrow batch: with texts of megabytes a batch of Spark's default 10,000 rows is too large.
+# Rows and bytes per Arrow batch: with texts of megabytes a batch of Spark's default 10,000 rows is too large.
 BATCH_ROWS = 512
+BATCH_BYTES = 8 << 20
 # Entries a worker remembers of a word function; beyond that words are computed again.
 REMEMBERED = 250_000
 
 
+def _ship(spark: SparkSession) -> None:
+    """Hand the library's sources to the Python workers, once per application: they need not have it."""
+    context, root = spark.sparkContext, os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if getattr(context, "_riskrules_shipped", False):
+        return
+    made = os.path.join(tempfile.mkdtemp(prefix="riskrules-"), "riskrules.zip")  # only the driver reads it, to serve it
+    with zipfile.ZipFile(made, "w") as out:
+        for base, _, files in sorted(os.walk(root)):
+            for name in sorted(f for f in files if f.endswith(".py")):
+                out.write(os.path.join(base, name), os.path.join("riskrules", os.path.relpath(os.path.join(base, name), root)))
+    context.addPyFile(made)
+    context._riskrules_shipped = True
+
+
 def prepared(spark: SparkSession) -> SparkSession:
-    """The session with the run-time settings of the library and small Arrow batches."""
+    """The session with the run-time settings of the library, small Arrow batches, and Bloom filters in
+    front of shuffles at any size: documents are often joined with a part of their ids."""
     configure(spark)
+    _ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "0")
+    spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold", "1g")
     return spark
 
 
+def chosen_rows(rows: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
+    """The rows whose id is among ``ids`` (a written table of one column).
+
+    The comparison on the ids is always true; the optimizer builds a Bloom filter only from a side that
+    it takes for selective. Rows that the filter rules out are not shuffled.
+    """
+    return rows.join(ids.filter(F.col(key) >= F.lit(-(2**63))), key, "left_semi")
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return prepared(spark).read.parquet(f"{folder}/{name}.parquet")
 
