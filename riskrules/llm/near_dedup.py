@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskrules.llm.common import components, cut, keyed_texts, mixed, per_text, window_hashes, word_hashes
+from riskrules.llm.common import chosen_rows, components, cut, keyed_texts, mixed, per_text, window_hashes, word_hashes
 
 SHINGLE_WORDS = 5
 SIMILARITY_PERCENT = 75
@@ -196,8 +196,8 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     first = cut(known.groupBy("print").agg(F.min("doc_id").alias("first")))
     chosen = known.join(first.select(F.col("first").alias("doc_id")), "doc_id", "left_semi")
     cells = cut(_met(chosen))
-    wanted = cells.select("doc_id").union(cells.select("hub")).distinct()
-    sets = cut(per_text(texts.join(wanted, "doc_id", "left_semi"), _sets, "doc_id long, shingles array<long>").withColumn("n", F.size("shingles")))
+    wanted = cut(cells.select("doc_id").union(cells.select("hub")).distinct())
+    sets = cut(per_text(chosen_rows(texts, wanted), _sets, "doc_id long, shingles array<long>").withColumn("n", F.size("shingles")))
     left = sets.select(F.col("doc_id").alias("hub"), F.col("shingles").alias("s1"))
     sizes = sets.select("doc_id", "n")
     hub_sizes = sizes.select(F.col("doc_id").alias("hub"), F.col("n").alias("n1"))
