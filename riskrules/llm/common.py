@@ -22,8 +22,8 @@ from riskrules.session import configure, cut
 # Rows and bytes per Arrow batch: with texts of megabytes a batch of Spark's default 10,000 rows is too large.
 BATCH_ROWS = 512
 BATCH_BYTES = 8 << 20
-# Entries a worker remembers of a word function; beyond that words are computed again.
-REMEMBERED = 250_000
+# Entries a worker remembers of a word function, twice: those of late and those before them.
+REMEMBERED = 200_000
 
 
 def _ship(spark: SparkSession) -> None:
@@ -94,16 +94,18 @@ def per_text(df: DataFrame, work: Callable[[Iterator[tuple[list, list]]], Iterat
 
 
 class Remembered(dict):
-    """A function of a word, remembered for the first words seen."""
+    """A function of a word, remembered for the words met lately."""
 
-    def __init__(self, function: Callable):
+    def __init__(self, function: Callable, size: int = REMEMBERED):
         super().__init__()
-        self.function = function
+        self.function, self.size, self.before = function, size, {}
 
     def __missing__(self, word):
-        value = self.function(word)
-        if len(self) < REMEMBERED:
-            self[word] = value
+        value = self.before[word] if word in self.before else self.function(word)
+        if len(self) >= self.size:
+            self.before = dict(self)
+            self.clear()
+        self[word] = value
         return value
 
 

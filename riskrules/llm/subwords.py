@@ -10,11 +10,11 @@ composed Latin letters goes to the merge model directly, everything else through
 from __future__ import annotations
 
 import re
+import sys
 import unicodedata
+from array import array
 
-import numpy as np
-
-from riskrules.llm.common import REMEMBERED
+from riskrules.llm.common import Remembered
 
 _RUNS = re.compile(r"[^\W\d_]+|[\W\d_]+")
 
@@ -36,7 +36,9 @@ class Encoder:
         self.model = self.tokenizer.model
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.kind = "<u2" if self.size <= 1 << 16 else "<u4"
-        self.known: dict[bytes, bytes] = {}
+        self.code = "H" if self.kind == "<u2" else "I"
+        self.pieces = Remembered(self._piece)
+        self.chunks = Remembered(self._chunk)
         self.letters = _byte_letters()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         # Both hold for lower-casing byte-level tokenizers with letter runs as words; else all goes the long way.
@@ -44,35 +46,38 @@ class Encoder:
         self.short = self.tokenizer.encode(probe, add_special_tokens=False).ids == [i for w in probe.lower().split() for i in self._merged(w)]
 
     def _merged(self, word: str) -> list[int]:
-        return [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))]
-
-    def _ids(self, piece: str) -> list[int]:
-        if self.short and piece.isalpha() and max(piece) < "ɐ" and unicodedata.is_normalized("NFC", piece):
-            return self._merged(piece.lower())
-        return self.tokenizer.encode(piece, add_special_tokens=False).ids
-
-    def _part(self, piece: str) -> bytes:
-        key = piece.encode()
-        if (found := self.known.get(key)) is None:
-            found = np.array(self._ids(piece), self.kind).tobytes()
-            if len(self.known) < REMEMBERED:
-                self.known[key] = found
-        return found
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(self.letters)
+        return [t.id for t in self.model.tokenize(word)]
+
+    def _bytes(self, ids: list[int]) -> bytes:
+        out = array(self.code, ids)
+        if sys.byteorder == "big":
+            out.byteswap()
+        return out.tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        """Ids of a run or chunk; runs of Latin letters are composed, as their chunk is."""
+        if self.short and piece.isalpha() and (piece.isascii() or max(piece) < "ɐ" and unicodedata.is_normalized("NFC", piece)):
+            return self._bytes(self._merged(piece.lower()))
+        return self._bytes(self.tokenizer.encode(piece, add_special_tokens=False).ids)
+
+    def _chunk(self, data: bytes) -> bytes:
+        text = data.decode()
+        if text.isalpha():
+            return self._piece(text)
+        if not self.short or "'" in text or not unicodedata.is_normalized("NFC", text) or any(s in text for s in self.special):
+            return self._piece(text)
+        return b"".join(map(self.pieces.__getitem__, _RUNS.findall(text)))
 
     def chunk(self, data: bytes) -> bytes:
-        if (found := self.known.get(data)) is None:
-            text = data.decode()
-            whole = not self.short or "'" in text or not unicodedata.is_normalized("NFC", text) or any(s in text for s in self.special)
-            found = self._part(text) if whole or text.isalpha() else b"".join(map(self._part, _RUNS.findall(text)))
-            if len(self.known) < REMEMBERED:
-                self.known[data] = found
-        return found
+        """The ids of one blank-free chunk."""
+        return self.chunks[data]
 
     def encode(self, text: bytes) -> bytes:
         # A special token's text must not arise by lower-casing.
         chunks = text.split() if not self.short or b"<" in text else text.lower().split()
-        known = self.known
-        return b"".join([known.get(c) or self.chunk(c) for c in chunks])
+        return b"".join(map(self.chunks.__getitem__, chunks))
 
 
 _ENCODERS: dict[str, Encoder] = {}

@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import DataFrame
 
-from riskrules.llm.common import REMEMBERED, keyed_texts, per_text
+from riskrules.llm.common import Remembered, keyed_texts, per_text
 
 MARK = "▁"
 
@@ -59,7 +59,7 @@ class Counter:
         self.cuts = exact and vocabulary.bytes_known
         before_mark = self.cuts and not any(pair[1] == MARK and pair[0] != MARK for pair in self.inside)
         self.words = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+") if before_mark else None
-        self.known: dict[str, tuple[float, int]] = {}
+        self.parts, self.found = Remembered(self.search), Remembered(self._word)
 
     def search(self, part: str) -> tuple[float, int]:
         """The dynamic program over one part."""
@@ -83,19 +83,11 @@ class Counter:
             score[end + 1], count[end + 1] = best, count[begin] + 1
         return score[n], count[n]
 
-    def _remember(self, part: str, value: tuple[float, int]) -> tuple[float, int]:
-        if len(self.known) < REMEMBERED:
-            self.known[part] = value
-        return value
-
     def _word(self, word: str) -> tuple[float, int]:
-        at, total, count = 0, 0.0, 0
-        for i in range(1, len(word) + 1):
-            if i == len(word) or word[i - 1 : i + 1] not in self.inside:
-                part = word[at:i]
-                s, c = self.known.get(part) or self._remember(part, self.search(part))
-                total, count, at = total + s, count + c, i
-        return self._remember(word, (total, count))
+        """A word cut where no piece reaches across."""
+        cuts = [0, *[i for i in range(1, len(word)) if word[i - 1 : i + 1] not in self.inside], len(word)]
+        found = [self.parts[word[a:b]] for a, b in zip(cuts, cuts[1:])] if len(cuts) > 2 else [self.search(word)]
+        return sum([f[0] for f in found]), sum([f[1] for f in found])
 
     def count(self, text: str) -> tuple[float, int]:
         if not text:
@@ -103,8 +95,7 @@ class Counter:
         text = MARK + text.replace(" ", MARK)
         if not self.cuts:
             return self.search(text)
-        known = self.known
-        found = [known.get(w) or self._word(w) for w in (self.words.findall(text) if self.words else [text])]
+        found = list(map(self.found.__getitem__, self.words.findall(text) if self.words else [text]))
         return sum([f[0] for f in found]), sum([f[1] for f in found])
 
 

@@ -32,7 +32,7 @@ from riskrules.session import shared_folder
 MAGIC, VERSION = b"TIDB", 1
 END_ID = 1
 BLOCK_BYTES = 1 << 20  # compressed bytes after which a block is closed
-LEVEL = 6
+LEVEL = 3
 DICTIONARY_BYTES = 64 << 10
 SAMPLE_DOCS = 1_000  # documents the dictionary is trained on, the first by hash of their ids
 SAMPLE_PIECE = 32 << 10  # bytes of serialized ids that one sample document may add
@@ -87,7 +87,7 @@ class Block:
 
 def _sample(texts: DataFrame, path: str) -> list[bytes]:
     """Serialized ids of the sample's documents, at most 32 MB in all."""
-    chosen = texts.filter("text IS NOT NULL").select("doc_id", F.xxhash64("doc_id").alias("h")).orderBy("h", "doc_id").limit(SAMPLE_DOCS)
+    chosen = texts.select("doc_id", F.xxhash64("doc_id").alias("h")).orderBy("h", "doc_id").limit(SAMPLE_DOCS)
     chosen = texts.join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id", "left_semi")  # at most SAMPLE_DOCS numbers
 
     def work(batches):
