@@ -2,13 +2,16 @@
 
 The lexicon is a given list of insults plus words and word beginnings learned from labelled rows. It is
 kept as a trie; a word runs through the deterministic automaton of (trie node, edits so far) states,
-whose transitions are made when first needed, so most words leave it after two or three letters. Terms
-of five to eight letters allow one edit, longer ones two, shorter ones and beginnings none.
+whose transitions are made when first needed, so most words leave it after two or three letters. Given
+terms and the strongest learned ones allow one edit from five letters on and two from nine; shorter and
+weaker ones and beginnings none.
 
 Every hit is weighed by the words around it: enclosing quotation marks and words of reporting lower it,
 words of address raise it. Sums of weights, distinct terms and the share of hits feed a logistic score.
 
-The fit reads a bounded sample of labelled rows (``SAMPLE_ROWS``); scores are made of whole texts.
+The fit reads a bounded sample of labelled rows (``SAMPLE_ROWS``), of copies and near copies (equal least
+shingle hash) one, so that the words of one much copied text are no evidence. Scores are made of whole
+texts.
 """
 
 from __future__ import annotations
@@ -21,7 +24,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskrules.llm.common import Remembered, cut, doc_crc, kept_rows, per_text
+from riskrules.llm.common import Remembered, cut, doc_crc, kept_rows, keyed_texts, per_text, word_hashes
+from riskrules.llm.near_dedup import shingle_set
 
 # Given insults (fixed values); the rest is learned.
 INSULTS = """idiot moron stupid loser trash scum pathetic worthless disgusting clown dumb fool jerk creep imbecile
@@ -32,9 +36,11 @@ ADDRESS = "you your you're youre yours u ur du dich dir ihr tu te vous toi eres
 QUOTES = "\"'“”„‟«»‘’‹›`"
 EDGES = QUOTES + ".,;:!?()[]{}<>…-–—_/\\|&%$#*=+~"
 SAMPLE_ROWS = 20_000
-MAX_TERMS = 5_000  # candidate terms that reach the driver, those of the strongest evidence
+MAX_TERMS = 2_000  # candidate terms that reach the driver, those of the strongest evidence
 EVIDENCE = 20.0  # least G-statistic of a learned term
 LEAST_ODDS = 2.0  # and its least log odds
+NEAR_TERMS = 200  # learned terms that allow edits, the strongest
+MAX_STATES = 30_000  # of the automaton, after which it starts anew
 WINDOW = 6
 BEGINNINGS = range(3, 7)
 
@@ -42,16 +48,19 @@ BEGINNINGS = range(3, 7)
 class Automaton:
     """The trie of a lexicon intersected with Levenshtein automata, made deterministic step by step."""
 
-    def __init__(self, words: list[str], beginnings: list[str]):
+    def __init__(self, words: list[str], beginnings: list[str], exact: frozenset[str] = frozenset()):
         self.children: list[dict[str, int]] = [{}]
         self.ends: dict[int, tuple[str, int]] = {}  # node -> (term, edits allowed)
         self.opens: dict[int, str] = {}  # node of a beginning -> term
         self.allowed = [0]  # most edits allowed by a term at or below the node
         for term in sorted(set(words)):
-            edits = 0 if len(term) < 5 else 1 if len(term) < 9 else 2
+            edits = 0 if len(term) < 5 or term in exact else 1 if len(term) < 9 else 2
             self.ends[self._add(term, edits)] = (term, edits)
         for term in sorted(set(beginnings)):
             self.opens[self._add(term, 0)] = term
+        self._restart()
+
+    def _restart(self) -> None:
         self.states: list[tuple] = []
         self.numbers: dict[tuple, int] = {}
         self.steps: list[dict[str, int]] = []
@@ -107,6 +116,8 @@ class Automaton:
 
     def match(self, word: str) -> tuple[str, int] | None:
         """(term, edits): the word itself, else its longest beginning (with "-" at the end), else the nearest term."""
+        if len(self.states) > MAX_STATES:
+            self._restart()
         state, opened = self.start, None
         for letter in word:
             to = self.steps[state].get(letter)
@@ -126,6 +137,7 @@ def plain(token: bytes) -> str:
 @dataclass(frozen=True)
 class Model:
     terms: dict[str, float]  # weight of a term; beginnings end with "-"
+    exact: frozenset[str]  # terms that allow no edit
     harmless: frozenset[str]  # spellings near a term that clean labelled rows use
     weights: tuple[float, ...]  # the constant first
 
@@ -145,14 +157,14 @@ def _context(tokens: list[bytes], at: int) -> float:
 class Scanner:
     """Hits and features of whole texts."""
 
-    def __init__(self, terms: dict[str, float], harmless=frozenset()):
-        automaton = Automaton([t for t in terms if t[-1] != "-"], [t[:-1] for t in terms if t[-1] == "-"])
-        self.terms = terms
+    def __init__(self, terms: dict[str, float], exact: frozenset[str]):
+        automaton = Automaton([t for t in terms if t[-1] != "-"], [t[:-1] for t in terms if t[-1] == "-"], exact)
+        self.terms, self.harmless = terms, frozenset()
 
         def look(token: bytes):
             word = plain(token)
             found = automaton.match(word) if word else None
-            return None if found is None or found[1] and word in harmless else (*found, word)
+            return found and (*found, word)
 
         self.look = Remembered(look).__getitem__
 
@@ -160,32 +172,56 @@ class Scanner:
         """Number of tokens, and (term, edits, spelling, weight of term and context) per hit."""
         tokens = text.lower().split()
         found = list(map(self.look, tokens))
-        return len(tokens), [(*f, self.terms[f[0]] * _context(tokens, i)) for i, f in enumerate(found) if f] if any(found) else []
+        if not any(found):
+            return len(tokens), []
+        met = [(i, f) for i, f in enumerate(found) if f and not (f[1] and f[2] in self.harmless)]
+        return len(tokens), [(*f, self.terms[f[0]] * _context(tokens, i)) for i, f in met]
 
-    def features(self, text: bytes) -> list[float]:
-        n, hits = self.hits(text)
+    def measured(self, n: int, hits: list) -> list[float]:
+        """Features of a text of ``n`` tokens with these hits."""
         if not hits:
             return [0.0, 0.0, 0.0, 0.0]
         exact, near = (sum(w for _, e, _, w in hits if bool(e) == b) for b in (False, True))
         return [np.log1p(exact), np.log1p(near), np.log1p(sum({s: w for *_, s, w in hits}.values())), min(1.0, 10 * (exact + near) / n)]
 
 
+_SCANNERS: dict[tuple, Scanner] = {}
+
+
+def scanner(terms: dict[str, float], exact: frozenset[str], harmless: frozenset[str] = frozenset()) -> Scanner:
+    """A worker's scanner of these terms; it keeps the last few, with the words that they remember."""
+    key = (tuple(sorted(terms.items())), exact)
+    if key not in _SCANNERS:
+        while len(_SCANNERS) > 1:
+            del _SCANNERS[next(iter(_SCANNERS))]
+        _SCANNERS[key] = Scanner(terms, exact)
+    _SCANNERS[key].harmless = harmless
+    return _SCANNERS[key]
+
+
+def _sketches(batches) -> Iterator[dict]:
+    """The least shingle hash of each text; copies share it, near copies mostly."""
+    hashes = word_hashes()
+    for ids, texts in batches:
+        yield {"doc_id": ids, "sketch": [int(s[0]) >> 1 if len(s := shingle_set(t, hashes)) else -1 for t in texts]}
+
+
 def _terms(batches) -> Iterator[dict]:
-    """Documents per word and word beginning, by label; ids are the labels here."""
-    counts = Counter(), Counter()
+    """Documents per word and word beginning, by mark (label, plus two in the second fold; in place of ids)."""
+    counts = tuple(Counter() for _ in range(4))
 
     def out():
-        keys = list(counts[0].keys() | counts[1].keys())
-        made = {"term": keys, "clean": [counts[0][k] for k in keys], "toxic": [counts[1][k] for k in keys]}
+        keys = list(set().union(*counts))
+        made = {"term": keys, **{f"n{m}": [c[k] for k in keys] for m, c in enumerate(counts)}}
         for c in counts:
             c.clear()
         return made
 
-    for labels, texts in batches:
-        for label, text in zip(labels, texts):
+    for marks, texts in batches:
+        for mark, text in zip(marks, texts):
             words = {w for w in map(plain, set(text.lower().split())) if w}
-            counts[label].update(words | {w[:k] + "-" for k in BEGINNINGS for w in words if len(w) > k})
-        if sum(map(len, counts)) > 400_000:
+            counts[mark].update(words | {w[:k] + "-" for k in BEGINNINGS for w in words if len(w) > k})
+        if sum(map(len, counts)) > 250_000:
             yield out()
     yield out()
 
@@ -207,11 +243,10 @@ def lexicon(terms: list[tuple[str, int, float]]) -> dict[str, float]:
     return {t: min(1.0, (odds - LEAST_ODDS + 0.5) / 3.5) for t, _, odds in terms if t[-1] != "-" or stays(t)}
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, penalty: float = 0.02) -> np.ndarray:
-    """Newton steps; classes weigh the same, the constant is free."""
-    x = np.column_stack([np.ones(len(x)), x])
-    weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y <= 0).sum()))
-    w, ridge = np.zeros(x.shape[1]), np.diag([1e-6] + [penalty / 10] * (x.shape[1] - 1))
+def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1e-3) -> np.ndarray:
+    """Newton steps on weighted rows with a ridge on all but the constant."""
+    x, weight = np.column_stack([np.ones(len(x)), x]), weight / weight.sum()
+    w, ridge = np.zeros(x.shape[1]), np.diag([1e-6] + [penalty] * (x.shape[1] - 1))
     for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         g = x.T @ (weight * (p - y)) + ridge @ w
@@ -224,68 +259,93 @@ def _logistic(x: np.ndarray, y: np.ndarray, penalty: float = 0.02) -> np.ndarray
 
 
 def labelled(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> DataFrame:
-    """(label, text) of a bounded sample of the labelled rows that may be learned from (crc32(id) mod 5 > 0)."""
-    known = labels.select(F.col(key).cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
+    """(mark, text) of a bounded sample of the labelled rows that may be learned from (crc32(id) mod 5 > 0);
+    the mark is the label, plus two in the second of two folds, which copies share."""
+    known = labels.select(F.col(key).cast("long").alias("doc_id"), (F.col(label).cast("int") > 0).cast("int").alias("label"))
     known = known.filter("doc_id IS NOT NULL AND label IS NOT NULL").filter(doc_crc() % 5 != 0).groupBy("doc_id").agg(F.max("label").alias("label"))
     known = cut(known)
     share = SAMPLE_ROWS / max(1, known.count())
     if share < 1:
         known = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
     # At most about SAMPLE_ROWS pairs of numbers are broadcast: 300 kB.
-    return cut(rows.join(F.broadcast(known), "doc_id").select("label", "text"))
+    rows = cut(keyed_texts(docs, key, text).join(F.broadcast(known), "doc_id"))
+    sketches = per_text(rows.select("doc_id", "text"), _sketches, "doc_id long, sketch long")
+    chosen = sketches.join(F.broadcast(known), "doc_id").groupBy("label", "sketch").agg(F.min("doc_id").alias("doc_id"))
+    chosen = chosen.select("doc_id", (F.col("label") + 2 * F.pmod("sketch", F.lit(2))).cast("int").alias("mark"))
+    return cut(rows.join(F.broadcast(chosen), "doc_id").select("mark", "text"))
+
+
+def _learned(counts: DataFrame, sizes: dict[int, int], marks: tuple[int, ...]) -> tuple[dict[str, float], frozenset[str]]:
+    """Terms with weights, and those that allow no edit, from the rows of some marks."""
+    terms = dict.fromkeys(INSULTS, 1.0)
+    size = [float(sum(sizes.get(m, 0) for m in marks if m % 2 == label)) for label in (0, 1)]
+    if not all(size):
+        return terms, frozenset()
+    clean, toxic = (sum([F.col(f"n{m}") for m in marks if m % 2 == label], F.lit(0)) for label in (0, 1))
+    both, share = clean + toxic, size[1] / sum(size)
+    part = lambda n, p: F.when(n > 0, n * F.log(n / (both * p))).otherwise(0.0)
+    g = 2 * (part(toxic, share) + part(clean, 1 - share))
+    odds = F.log((toxic + 0.5) / (size[1] + 1)) - F.log((clean + 0.5) / (size[0] + 1))
+    strong = counts.select("term", toxic.alias("toxic"), odds.alias("odds"), g.alias("g")).filter((F.col("g") >= EVIDENCE) & (F.col("odds") >= LEAST_ODDS))
+    found = strong.orderBy(F.desc("g"), "term").limit(MAX_TERMS).select("term", "toxic", "odds").collect()
+    learned = lexicon([tuple(r) for r in found])
+    exact = frozenset([t for t in learned if t[-1] != "-" and t not in terms][NEAR_TERMS:])
+    return learned | terms, exact
 
 
 def fitted(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> Model:
-    """Lexicon and weights from the labelled sample. Without both classes only the given insults count."""
+    """Lexicon and weights from the labelled sample. Without both classes only the given insults count.
+
+    The weights are fitted to features that each fold gets from the other's lexicon, as terms look better
+    on the rows they were chosen by; the final lexicon is learned from both.
+    """
     sample = labelled(docs, labels, key, text, label)
-    sizes = {r.label: r.n for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    clean, toxic = float(sizes.get(0, 0)), float(sizes.get(1, 0))
-    terms = dict.fromkeys(INSULTS, 1.0)
-    if clean and toxic:
-        counts = per_text(sample, _terms, "term string, clean long, toxic long").groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-        both, share = F.col("clean") + F.col("toxic"), toxic / (clean + toxic)
-        part = lambda n, p: F.when(n > 0, n * F.log(n / (both * p))).otherwise(0.0)
-        counts = counts.withColumn("g", 2 * (part(F.col("toxic"), share) + part(F.col("clean"), 1 - share)))
-        odds = F.log((F.col("toxic") + 0.5) / (toxic + 1)) - F.log((F.col("clean") + 0.5) / (clean + 1))
-        strong = counts.filter((F.col("g") >= EVIDENCE) & (odds >= LEAST_ODDS)).orderBy(F.desc("g"), "term").limit(MAX_TERMS)
-        terms = lexicon([tuple(r) for r in strong.select("term", "toxic", odds.alias("odds")).collect()]) | terms
-    scanner = Scanner(terms)
+    sizes = {r.mark: r.n for r in sample.groupBy("mark").agg(F.count("*").alias("n")).collect()}
+    counts = per_text(sample, _terms, "term string, n0 long, n1 long, n2 long, n3 long")
+    counts = cut(counts.groupBy("term").agg(*[F.sum(f"n{m}").alias(f"n{m}") for m in range(4)]).filter("n1 + n3 > 1"))
+    terms, exact = _learned(counts, sizes, (0, 1, 2, 3))
+    others = {0: _learned(counts, sizes, (2, 3)), 1: _learned(counts, sizes, (0, 1))}
 
     def seen(batches):
+        look = scanner(terms, exact)
         near = Counter(), Counter()
         for marks, texts in batches:
             for mark, one in zip(marks, texts):
-                near[mark].update({w for _, e, w, _ in scanner.hits(one)[1] if e})
+                near[mark % 2].update({w for _, e, w, _ in look.hits(one)[1] if e})
         keys = list(near[0].keys() | near[1].keys())
         yield {"word": keys, "clean": [near[0][k] for k in keys], "toxic": [near[1][k] for k in keys]}
 
     # Spellings within the edits of some term: as many as the sample's words near the lexicon.
     near = per_text(sample, seen, "word string, clean long, toxic long").groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    ratio = clean / toxic if toxic else 1.0
+    ratio = sum(sizes.get(m, 0) for m in (0, 2)) / max(1, sum(sizes.get(m, 0) for m in (1, 3)))
     harmless = frozenset(r.word for r in near.filter(F.col("clean") > F.col("toxic") * ratio / 10).orderBy(F.desc("clean"), "word").limit(100_000).collect())
-    final = Scanner(terms, harmless)
 
     def measure(batches):
         for marks, texts in batches:
-            rows = [final.features(t) for t in texts]
-            yield {"label": marks, **{f"f{k}": [float(r[k]) for r in rows] for k in range(4)}}
+            rows = [None] * len(marks)
+            for fold, lexicon_of in others.items():
+                own = scanner(*lexicon_of, harmless)
+                for i, (mark, one) in enumerate(zip(marks, texts)):
+                    if mark // 2 == fold:
+                        rows[i] = own.measured(*own.hits(one))
+            yield {"label": [m % 2 for m in marks], **{f"f{k}": [float(r[k]) for r in rows] for k in range(4)}}
 
     rows = per_text(sample, measure, "label int, f0 double, f1 double, f2 double, f3 double").groupBy("label", "f0", "f1", "f2", "f3").count()
     found = np.array([tuple(r) for r in rows.collect()], float).reshape(-1, 6)
     found = found[np.lexsort(found.T)]
     found = np.repeat(found[:, :5], found[:, 5].astype(int), axis=0)
     y, x = (found[:, 0] > 0).astype(float), found[:, 1:]
-    # The same insults misspelt: labelled rows have few, so every toxic row also counts with them.
-    misspelt = x[(y > 0) & (x[:, 0] > 0)][:, [1, 0, 2, 3]]
+    # The same insults misspelt: labelled rows have few, so half of a toxic row's weight counts with them.
+    both = (y > 0) & (x[:, 0] > 0)
+    misspelt = x[both][:, [1, 0, 2, 3]]
     # Without any hit a row is clean as far as this method sees; one row of each kind keeps the fit defined.
     x = np.vstack([x, misspelt, np.zeros((1, 4)), [[np.log1p(4), np.log1p(1), np.log1p(3), 0.5]]])
-    y = np.concatenate([y, np.ones(len(misspelt)), [0.0, 1.0]])
-    return Model(terms, harmless, tuple(float(w) for w in _logistic(x, y)))
+    y, weight = np.concatenate([y, np.ones(len(misspelt)), [0.0, 1.0]]), np.concatenate([np.where(both, 0.5, 1.0), np.full(len(misspelt), 0.5), [1.0, 1.0]])
+    return Model(terms, exact, harmless, tuple(float(w) for w in _logistic(x, y, weight)))
 
 
-def _score(model: Model, scanner: Scanner, text: bytes) -> float:
-    z = model.weights[0] + float(np.dot(model.weights[1:], scanner.features(text)))
+def _probability(model: Model, features: list[float]) -> float:
+    z = model.weights[0] + float(np.dot(model.weights[1:], features))
     return float(1 / (1 + np.exp(-max(-30.0, min(30.0, z)))))
 
 
@@ -294,15 +354,14 @@ def scored(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text
 
     ``terms`` are the distinct terms met, sorted. Repeated rows are scored each; ids may be null.
     """
-    from riskrules.llm.common import keyed_texts
-
     def work(batches):
-        scanner = Scanner(model.terms, model.harmless)
+        own = scanner(model.terms, model.exact, model.harmless)
         for ids, texts in batches:
-            hits = [scanner.hits(t)[1] for t in texts]
+            found = [own.hits(t) for t in texts]
+            hits = [h for _, h in found]
             yield {
                 "doc_id": ids,
-                "score": [_score(model, scanner, t) for t in texts],
+                "score": [_probability(model, own.measured(n, h)) for n, h in found],
                 "hits": [len(h) for h in hits],
                 "terms": [sorted({t for t, *_ in h}) for h in hits],
             }
@@ -315,8 +374,8 @@ def without_toxic(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
     model = fitted(docs, labels, key, text)
 
     def keep(batches):
-        scanner = Scanner(model.terms, model.harmless)
+        own = scanner(model.terms, model.exact, model.harmless)
         for texts in batches:
-            yield [_score(model, scanner, t) < 0.5 for t in texts]
+            yield [_probability(model, own.measured(*own.hits(t))) < 0.5 for t in texts]
 
     return kept_rows(docs, text, keep)
