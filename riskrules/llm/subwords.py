@@ -38,7 +38,7 @@ class Encoder:
         self.kind = "<u2" if self.size <= 1 << 16 else "<u4"
         self.code = "H" if self.kind == "<u2" else "I"
         self.pieces = Remembered(self._piece)
-        self.chunks = Remembered(self._chunk)
+        self.chunks = Remembered(self.one)
         self.letters = _byte_letters()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         # Both hold for lower-casing byte-level tokenizers with letter runs as words; else all goes the long way.
@@ -62,7 +62,8 @@ class Encoder:
             return self._bytes(self._merged(piece.lower()))
         return self._bytes(self.tokenizer.encode(piece, add_special_tokens=False).ids)
 
-    def _chunk(self, data: bytes) -> bytes:
+    def one(self, data: bytes) -> bytes:
+        """The ids of one blank-free chunk, worked out anew."""
         text = data.decode()
         if text.isalpha():
             return self._piece(text)
@@ -70,10 +71,6 @@ class Encoder:
             return self._piece(text)
         return b"".join(map(self.pieces.__getitem__, _RUNS.findall(text)))
 
-    def chunk(self, data: bytes) -> bytes:
-        """The ids of one blank-free chunk."""
-        return self.chunks[data]
-
     def encode(self, text: bytes) -> bytes:
         # A special token's text must not arise by lower-casing.
         chunks = text.split() if not self.short or b"<" in text else text.lower().split()
