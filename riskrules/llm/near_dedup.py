@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskrules.llm.common import chosen_rows, components, cut, keyed_texts, mixed, per_text, window_hashes, word_hashes
+from riskrules.session import small
 
 SHINGLE_WORDS = 5
 SIMILARITY_PERCENT = 75
@@ -219,8 +220,9 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     Of rows that share an id the one with the smallest text stays; rows without id all stay.
     """
     result = cut(classes(docs, key, text))
-    gone = result.filter("NOT kept").select(F.col("doc_id").alias(key)).distinct()
-    rest = docs.join(gone, key, "left_anti")
+    gone = cut(result.filter("NOT kept").select(F.col("doc_id").alias(key)).distinct())
+    # Up to a million ids are sent to the tasks; more are joined, which shuffles the texts.
+    rest = docs.join(small(gone, gone.count(), 1), key, "left_anti")
     again = result.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias(key))
     if not again.limit(1).count():
         return rest

@@ -59,7 +59,9 @@ class Encoder:
     def _piece(self, piece: str) -> bytes:
         """Ids of a run or chunk; runs of Latin letters are composed, as their chunk is."""
         if self.short and piece.isalpha() and (piece.isascii() or max(piece) < "ɐ" and unicodedata.is_normalized("NFC", piece)):
-            return self._bytes(self._merged(piece.lower()))
+            low = piece.lower()
+            if low.isalpha():  # one capital becomes a letter and a mark
+                return self._bytes(self._merged(low))
         return self._bytes(self.tokenizer.encode(piece, add_special_tokens=False).ids)
 
     def one(self, data: bytes) -> bytes:

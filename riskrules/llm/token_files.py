@@ -40,7 +40,9 @@ _HEAD = struct.Struct("<4sHHQ32s")
 
 
 def trained(samples: list[bytes]) -> bytes:
-    """A dictionary from serialized ids; with too few samples to train on, their raw content."""
+    """A dictionary from serialized ids; with too few samples to train on, their raw content, if any."""
+    if not samples:
+        return b""
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
     except zstandard.ZstdError:

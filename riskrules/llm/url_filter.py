@@ -117,12 +117,12 @@ def oracle() -> str:
     met = lambda t: f"CAST(regexp_matches({low('u')}, '(^|[^a-z0-9]){t}($|[^a-z0-9])') AS BIGINT)"
     rules = ", ".join(f"('{v}', '{r}', '{r.partition('/')[0]}', '/{r.partition('/')[2]}')" for v, r in RULES)
     return f"""
-WITH p AS (SELECT page_id, coalesce(url, '') AS u FROM pages),
-h AS (SELECT page_id, u, CASE WHEN contains(u, '://') THEN {low("regexp_extract(u, '://([^/?#]*)', 1)")} ELSE '' END AS host,
+WITH p AS (SELECT row_number() OVER () AS n, page_id, coalesce(url, '') AS u FROM pages),
+h AS (SELECT n, page_id, u, CASE WHEN contains(u, '://') THEN {low("regexp_extract(u, '://([^/?#]*)', 1)")} ELSE '' END AS host,
   CASE WHEN contains(u, '://') THEN regexp_extract(u, '://[^/?#]*([^?#]*)', 1) ELSE '' END AS path FROM p),
 r(v, rule, rh, rp) AS (VALUES {rules}),
-f AS (SELECT page_id, max_by(rule, length(rule)) AS rule, max_by(v, length(rule)) AS v
-  FROM h JOIN r ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY page_id),
+f AS (SELECT n, max_by(rule, length(rule)) AS rule, max_by(v, length(rule)) AS v
+  FROM h JOIN r ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY n),
 t AS (SELECT *, {" + ".join(map(met, STRICT))} AS n_strict, {" + ".join(map(met, SOFT))} AS n_soft FROM h)
 SELECT t.page_id, host, path, f.rule, coalesce(f.v, CASE WHEN n_strict * {LIMIT} + n_soft >= {LIMIT} THEN 'block' ELSE 'allow' END) AS verdict, n_strict, n_soft
-FROM t LEFT JOIN f ON t.page_id = f.page_id"""
+FROM t LEFT JOIN f ON t.n = f.n"""
