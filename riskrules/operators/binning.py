@@ -18,17 +18,14 @@ from riskrules.operators.ordered import cut_points
 from riskrules.session import small
 
 Edges = dict[str, list[float]]
-# Rows up to which one aggregate holds the distinct values of a column; also the size of a slot.
-SINGLE_PASS_ROWS = 100_000
+# Rows of a slot that one task orders.
+SLOT_ROWS = 100_000
 MAX_SLOTS = 20_000
-# Groups and slot counts the driver holds.
-MAX_GROUPS = 10_000
-MAX_SLOT_COUNTS = 2_000_000
 
 
 def _plain(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    """The columns as doubles with NaN as null."""
-    values = [F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in columns]
+    """The columns as doubles with NaN and the infinities as null."""
+    values = [finite(F.col(c).cast("double")).alias(c) for c in columns]
     return df.select(*keep, *values)
 
 
@@ -37,63 +34,45 @@ def exact_quantiles(
     columns: Sequence[str],
     probabilities: Sequence[float],
     by: str | None = None,
-    single_pass_rows: int = SINGLE_PASS_ROWS,
+    slot_rows: int = SLOT_ROWS,
 ) -> dict:
     """Quantiles with linear interpolation, exact at any size; an action.
 
-    Returns column -> list of values, or group -> column -> list when ``by`` is given (groups must
-    be few). Up to ``single_pass_rows`` rows one aggregate does it. Beyond, (1) cut points
-    from a sample lay every column into slots of about that many rows, (2) slot counts tell which
-    slots hold the wanted ranks, (3) only those slots are ordered, each by itself.
+    Returns column -> list of values, or group -> column -> list when ``by`` is given. Infinities and
+    NaN count as unknown; a column or group without known values has an empty list. The way is the
+    same at every size: (1) cut points from a sample lay every column into slots of at most about
+    ``slot_rows`` rows, (2) slot counts and their running sums tell which slots hold the wanted ranks,
+    (3) only those slots are ordered, each by itself. The driver gets the slots that hold ranks (at
+    most two per group, column and probability) and the values found.
     """
     columns, probabilities = list(columns), list(probabilities)
     data = _plain(df, columns, [by] if by else [])
-    groups = 1
     if by:
         data = data.filter(F.col(by).isNotNull())
-        groups = max(1, data.select(by).distinct().count())
-        if groups > MAX_GROUPS:
-            raise ValueError(f"{by} has {groups} values; quantiles by group are for few groups")
-    keys = [by] if by else []
+        out = {r[by]: {c: [] for c in columns} for r in data.select(by).distinct().collect()}
+    else:
+        out = {None: {c: [] for c in columns}}
     rows = data.count()
-    if rows <= single_pass_rows:
-        found = data.groupBy(*keys).agg(*[F.percentile(c, F.lit(probabilities)).alias(f"q_{c}") for c in columns]).collect()
-        out = {r[by] if by else None: {c: list(r[f"q_{c}"] or []) for c in columns} for r in found}
-        return out if by else out.get(None, {c: [] for c in columns})
     # With more slots than ranks most rows are out after the slot counts.
-    slots = max(math.ceil(rows / single_pass_rows), min(8 * len(probabilities), 1024))
-    slots = min(slots, MAX_SLOTS, MAX_SLOT_COUNTS // (groups * len(columns)))
-    out = _quantiles_by_slots(data, columns, probabilities, by, slots, rows)
-    return out if by else out.get(None, {c: [] for c in columns})
-
-
-def _quantiles_by_slots(data: DataFrame, columns: list[str], probabilities: list[float], by: str | None, slots: int, rows: int) -> dict:
-    counted_slots = edge_counts(data, cut_points(data, columns, max(2, slots), rows), suffix="_slot")
+    slots = min(max(math.ceil(rows / slot_rows), min(8 * len(probabilities), 1024), 2), MAX_SLOTS)
+    placed = edge_counts(data, cut_points(data, columns, slots, rows), suffix="_slot")
     group = F.col(by) if by else F.lit(None).cast("string")
-    long = counted_slots.select(
+    long = placed.select(
         group.alias("g"),
         F.inline(F.array(*[F.struct(F.lit(c).alias("c"), F.col(f"{c}_slot").alias("s"), F.col(c).alias("v")) for c in columns])),
     ).filter(F.col("v").isNotNull())
 
-    sizes: dict = {}
-    for r in long.groupBy("g", "c", "s").agg(F.count("*").alias("n")).collect():
-        sizes.setdefault((r["g"], r["c"]), []).append((r["s"], r["n"]))
-    wanted = []
-    for (g, c), parts in sizes.items():
-        parts.sort()
-        total = sum(n for _, n in parts)
-        ranks = sorted({r for p in probabilities for r in (math.floor((total - 1) * p), math.ceil((total - 1) * p))})
-        start = 0
-        for s, n in parts:
-            inside = [r for r in ranks if start <= r < start + n]
-            if inside:
-                wanted.append((g, c, s, start, inside))
-            start += n
-
-    spark = data.sparkSession
+    sizes = long.groupBy("g", "c", "s").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("g", "c").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0))).withColumn("total", F.sum("n").over(Window.partitionBy("g", "c")))
+    places = [(F.col("total") - 1) * F.lit(float(p)) for p in probabilities]
+    ranks = F.array_sort(F.array_distinct(F.array(*[f(x) for x in places for f in (F.floor, F.ceil)])))
+    inside = F.filter(ranks, lambda r: (r >= F.col("start")) & (r < F.col("start") + F.col("n")))
+    wanted = sizes.select("g", "c", "s", "start", "total", inside.alias("ranks")).filter(F.size("ranks") > 0).collect()
+    totals = {(r["g"], r["c"]): r["total"] for r in wanted}
+
     g_type = long.schema["g"].dataType.simpleString()
-    slots_wanted = spark.createDataFrame(wanted, f"g {g_type}, c string, s int, start long, ranks array<long>")
-    # At most two slots per column, group and probability.
+    slots_wanted = df.sparkSession.createDataFrame([tuple(r[k] for k in ("g", "c", "s", "start", "ranks")) for r in wanted], f"g {g_type}, c string, s int, start long, ranks array<long>")
     slots_wanted = small(slots_wanted, len(wanted), 4 + 2 * len(probabilities))
     key = ["g", "c", "s"]
 
@@ -105,15 +84,11 @@ def _quantiles_by_slots(data: DataFrame, columns: list[str], probabilities: list
     upto = Window.partitionBy(*key).orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     summed = values.withColumn("end", F.sum("n").over(upto))
     first, last = F.col("start") + F.col("end") - F.col("n"), F.col("start") + F.col("end")
-    placed = summed.join(slots_wanted, same(summed)).select(summed["g"], summed["c"], "v", F.filter("ranks", lambda r: (r >= first) & (r < last)).alias("hit"))
-    hits = placed.select("g", "c", "v", F.explode("hit").alias("rank")).collect()
-    at = {(r["g"], r["c"], r["rank"]): r["v"] for r in hits}
-
-    out: dict = {}
-    for (g, c), parts in sizes.items():
-        total = sum(n for _, n in parts)
-        out.setdefault(g, {k: [] for k in columns})[c] = [_between(at, g, c, (total - 1) * p) for p in probabilities]
-    return out
+    found = summed.join(slots_wanted, same(summed)).select(summed["g"], summed["c"], "v", F.filter("ranks", lambda r: (r >= first) & (r < last)).alias("hit"))
+    at = {(r["g"], r["c"], r["rank"]): r["v"] for r in found.select("g", "c", "v", F.explode("hit").alias("rank")).collect()}
+    for (g, c), total in totals.items():
+        out[g][c] = [_between(at, g, c, (total - 1) * p) for p in probabilities]
+    return out if by else out[None]
 
 
 def _between(at: dict, g, c: str, position: float) -> float:

@@ -155,7 +155,7 @@ def rule_hits(df: DataFrame, rules: Sequence[Rule], maturity_column: str | None
 def per_rule(
     df: DataFrame, rules: Sequence[Rule], label: str, maturity_column: str | None = None, rules_per_pass: int = MAX_RULES_PER_PASS
 ) -> DataFrame:
-    """Rows, positives and rate of every rule on any table; rules without rows are left out.
+    """Rows, positives and rate of every rule on any table; a rule that no row meets has n = 0 and no rate.
 
     Rules of up to three features are counted from the cells their thresholds cut the table into:
     a row adds to one cell per set of features, whatever the number of rules. Longer rules, and
@@ -168,8 +168,10 @@ def per_rule(
         hit = rule_hits(df, long[start : start + rules_per_pass], maturity_column)
         met = hit.select(F.col(label).alias("_y"), F.explode("rule_ids").alias("rule_id"))
         parts.append(met.groupBy("rule_id").agg(F.count("*").alias("n"), F.sum("_y").alias("positives")))
-    whole = reduce(DataFrame.unionByName, parts)
-    return whole.withColumn("rate", F.col("positives") / F.col("n"))
+    every = df.sparkSession.createDataFrame([(r.rule_id,) for r in rules], "rule_id int")
+    whole = every.join(reduce(DataFrame.unionByName, parts), "rule_id", "left") if parts else every.withColumn("n", F.lit(0)).withColumn("positives", F.lit(0))
+    whole = whole.withColumns({c: F.coalesce(c, F.lit(0)) for c in ("n", "positives")})
+    return whole.withColumn("rate", F.when(F.col("n") > 0, F.col("positives") / F.col("n")))
 
 
 def _by_size(rules: Sequence[Rule]) -> tuple[list[Rule], list[Rule]]:
@@ -202,7 +204,8 @@ def _counted_by_cells(df: DataFrame, rules: Sequence[Rule], label: str, maturity
             edges.setdefault(f, set()).update(b for b in _bounds(op, t) if b is not None)
     ordered = {f: sorted(ts) for f, ts in edges.items()}
     features = sorted(ordered)
-    day = F.col(maturity_column).cast("int") if maturity_column is not None else F.lit(None).cast("int")
+    # The day as it is, as in ``rule_hits``: day 3.5 is no row of a rule for day 3.
+    day = F.col(maturity_column).cast("double") if maturity_column is not None else F.lit(None).cast("double")
     # Bucket: number of edges below the value, -1 when it is unknown.
     counted = edge_counts(df, ordered)
     buckets = F.array(*[F.when(known_number(f).isNull(), -1).otherwise(F.col(f"{f}_above")) for f in features])

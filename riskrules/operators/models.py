@@ -91,19 +91,22 @@ def blocks_of(data: DataFrame) -> list[int]:
 
 
 def out_of_block_scores(data: DataFrame, models: Mapping[str, Estimator], parallelism: int = 4) -> DataFrame:
-    """Every row scored by every model fitted on the other blocks. An action per fit.
+    """Every row scored by every model fitted on the other blocks; rows without a block by one fitted on
+    all blocks. An action per fit.
 
     Fits do not depend on each other; ``parallelism`` of them are submitted at a time.
     """
     data = cut(data)
 
-    def fitted(task: tuple[int, str]) -> DataFrame:
+    def fitted(task: tuple[int | None, str]) -> DataFrame:
         block, name = task
-        train, test = data.filter(F.col("block") != block), data.filter(F.col("block") == block)
-        return scores(models[name].fit(train), test, name)
+        own = F.col("block").eqNullSafe(F.lit(block))
+        return scores(models[name].fit(data.filter(F.col("block").isNotNull() & ~own)), data.filter(own), name)
+
+    blocks = blocks_of(data) + [None] * data.filter(F.col("block").isNull()).limit(1).count()
 
     with ThreadPoolExecutor(parallelism) as pool:
-        parts = list(pool.map(fitted, product(blocks_of(data), models)))
+        parts = list(pool.map(fitted, product(blocks, models)))
     return reduce(DataFrame.unionByName, parts)
 
 

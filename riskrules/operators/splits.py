@@ -23,9 +23,14 @@ def recent_or_old(df: DataFrame, time: str, as_of: str, days: int = 60, side: st
     return df.filter(age < days if side == "recent" else age >= days)
 
 
+def drawn(key: Column, seed: int) -> Column:
+    """A hexadecimal number that hangs on seed and key alone, not on how rows are laid out."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit(""))).cast("binary"))
+
+
 def in_test_share(key: Column, share: float, seed: int = 42) -> Column:
     """True for a fixed pseudo-random share of keys; the same key always falls on the same side."""
-    return F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1_000_000)) < int(share * 1_000_000)
+    return F.substring(drawn(key, seed), 1, 8) < f"{min(int(share * 2**32), 2**32 - 1):08x}"
 
 
 def random_split(df: DataFrame, key: str, share: float, seed: int = 42) -> tuple[DataFrame, DataFrame]:
@@ -34,6 +39,9 @@ def random_split(df: DataFrame, key: str, share: float, seed: int = 42) -> tuple
     return df.filter(~test), df.filter(test)
 
 
-def random_rows(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
-    """``n`` rows at random; each task keeps its best ``n``, so nothing is sorted as a whole."""
-    return df.withColumn("_r", F.rand(seed)).orderBy("_r").limit(n).drop("_r")
+def random_rows(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
+    """``n`` rows at random, the same for a seed however the rows are laid out.
+
+    Each task keeps its best ``n``, so nothing is sorted as a whole.
+    """
+    return df.orderBy(drawn(F.col(key), seed), key).limit(n)

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskrules.functions.measures import fill_gaps
-from riskrules.operators.binning import MAX_GROUPS, edge_counts, quantile_edges
+from riskrules.operators.binning import edge_counts, quantile_edges
 from riskrules.session import cut, small
 
 CONDITIONS = "array<struct<feature:string,op:string,threshold:double>>"
@@ -60,8 +60,12 @@ def grow(
     depth: int = 7,
     leaf_size: int = 100,
     bins: int = 128,
+    max_groups: int | None = None,
 ) -> list[Node]:
-    """Trees of every group (all values of ``by``; groups are few), parents before children. An action.
+    """Trees of every group (all values of ``by``), parents before children. An action.
+
+    The driver holds the trees of all groups; a caller who wants to be stopped beyond some number of
+    groups gives ``max_groups``.
 
     Split points are quantile edges of the whole table. Unknown values count as 0. Ties between
     splits go to the earlier feature and the lower threshold.
@@ -77,9 +81,9 @@ def grow(
     table = cut(edge_counts(filled, edges).select(*by, "_y", buckets.alias("_b")))
 
     tree: dict[tuple, dict] = {}
-    groups = table.groupBy(*by).agg(F.count("*").alias("n"), F.coalesce(F.sum("_y"), F.lit(0)).alias("p")).limit(MAX_GROUPS + 1).collect()
-    if len(groups) > MAX_GROUPS:
-        raise ValueError(f"more than {MAX_GROUPS} groups; trees are for segments and days")
+    groups = table.groupBy(*by).agg(F.count("*").alias("n"), F.coalesce(F.sum("_y"), F.lit(0)).alias("p")).collect()
+    if max_groups is not None and len(groups) > max_groups:
+        raise ValueError(f"{len(groups)} groups, more than {max_groups}")
     for r in groups:
         if r["n"]:
             tree[(tuple(r[k] for k in by), 1)] = {"path": (), "n": r["n"], "p": r["p"], "split": None}

@@ -31,14 +31,15 @@ def user_scan(r):
 
 
 @query("A4", oracle="""
-SELECT o_orderkey, o_custkey, o_orderpriority FROM orders WHERE o_orderstatus = 'F'
-UNION ALL SELECT o_orderkey, o_custkey, NULL FROM orders WHERE o_orderstatus = 'P'
+SELECT o_orderkey, o_custkey, CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END AS o_orderpriority FROM orders
+WHERE o_orderstatus IN ('F', 'P', 'O')
 """)
 def extracts_as_one_table(r):
     orders = r.table("orders")
     old = orders.filter("o_orderstatus = 'F'").select("o_orderkey", "o_custkey", "o_orderpriority")
     new = orders.filter("o_orderstatus = 'P'").select("o_orderkey", "o_custkey")
-    return tables.one_table([old, new])
+    now = orders.filter("o_orderstatus = 'O'").select("o_orderpriority", "o_custkey", "o_orderkey")
+    return tables.one_table([old, new, now])
 
 
 @query("A6", oracle=f"""
@@ -173,9 +174,11 @@ def distinct_combinations(r):
     return r.table("lineitem").select("l_returnflag", "l_linestatus", "l_linenumber").dropDuplicates()
 
 
-@query("B14")
+@query("B14", oracle="""
+SELECT o_orderkey, o_custkey FROM orders ORDER BY md5('42:' || o_orderkey), o_orderkey LIMIT 100
+""")
 def random_rows(r):
-    return splits.random_rows(r.table("orders").select("o_orderkey", "o_custkey"), 100)
+    return splits.random_rows(r.table("orders").select("o_orderkey", "o_custkey"), 100, "o_orderkey")
 
 
 @query("C1", "H2", oracle="""
@@ -311,7 +314,9 @@ def temporal_split(r):
     return tables.one_table([d.select("o_orderkey", F.lit(n).alias("part")) for n, d in (("train", train), ("test", test))])
 
 
-@query("L22")
+@query("L22", oracle="""
+SELECT CASE WHEN substr(md5('42:' || o_custkey), 1, 8) < '33333333' THEN 'test' ELSE 'train' END AS part, CAST(count(*) AS BIGINT) AS n FROM orders GROUP BY 1
+""")
 def random_split(r):
     train, test = splits.random_split(r.table("orders"), "o_custkey", 0.2)
     sides = tables.one_table([d.select("o_orderkey", F.lit(n).alias("part")) for n, d in (("train", train), ("test", test))])

@@ -49,8 +49,8 @@ def rule_set_on_new_data(r):
 
 
 @query("K1", "K3", oracle=f"""{_TRAIN}
-SELECT p.rule_id, CAST(count(*) AS BIGINT) AS n, CAST(sum(d.label) AS BIGINT) AS positives, {sql_rd('avg(d.label)')} AS rate
-FROM picked p JOIN all_its d ON d.l_shipdate >= TIMESTAMP '{CUTOFF}' AND {_met()} GROUP BY 1
+SELECT p.rule_id, CAST(count(d.label) AS BIGINT) AS n, CAST(coalesce(sum(d.label), 0) AS BIGINT) AS positives, {sql_rd('avg(d.label)')} AS rate
+FROM picked p LEFT JOIN all_its d ON d.l_shipdate >= TIMESTAMP '{CUTOFF}' AND {_met()} GROUP BY 1
 """)
 def rules_on_test_rows(r):
     _, test, rules = trained(r)
@@ -75,7 +75,7 @@ _TEXT_SQL = {
 
 @query("K2", oracle=f"""
 ,{LABELLED}
-""" + " UNION ALL ".join(f"SELECT {i} AS rule_id, CAST(count(*) AS BIGINT) AS n, CAST(sum(label) AS BIGINT) AS positives FROM its WHERE {c}" for i, c in _TEXT_SQL.items()))
+""" + " UNION ALL ".join(f"SELECT {i} AS rule_id, CAST(count(*) AS BIGINT) AS n, CAST(coalesce(sum(label), 0) AS BIGINT) AS positives FROM its WHERE {c}" for i, c in _TEXT_SQL.items()))
 def text_rules(r):
     written = r.spark.createDataFrame(_TEXTS, "rule_number int, c1 string, c2 string, c3 string")
     rules = matching.to_driver(matching.from_text(written, ["c1", "c2", "c3"]), ["rule_number"])

@@ -57,12 +57,15 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
     Only a local-mode session without that setting (tests) gets a temporary folder; elsewhere a
-    missing setting is an error.
+    missing setting is an error, and so is a folder of one machine.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    local = spark.sparkContext.master.startswith("local")
     if named is not None:
+        if named.startswith("file:") and not local:
+            raise RuntimeError(f"spark.checkpoint.dir is {named}; executors on other machines cannot reach it")
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    if not local:
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     made = tempfile.mkdtemp(prefix="riskrules-")
     spark.conf.set("spark.checkpoint.dir", made)
@@ -77,4 +80,18 @@ def cut(df: DataFrame) -> DataFrame:
     """
     path = f"{shared_folder(df.sparkSession).rstrip('/')}/riskrules-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _WRITTEN.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_WRITTEN: list[str] = []
+
+
+def remove_written(spark: SparkSession) -> int:
+    """Delete the tables that ``cut`` has written so far; for a caller that needs no result of them any more."""
+    jvm, conf, paths = spark._jvm, spark._jsc.hadoopConfiguration(), list(_WRITTEN)
+    for path in paths:
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(conf).delete(target, True)
+        _WRITTEN.remove(path)
+    return len(paths)

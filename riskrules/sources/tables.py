@@ -63,26 +63,34 @@ def one_table(extracts: Sequence[DataFrame]) -> DataFrame:
 _BAD = "_undecodable"
 
 
-def json_result(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def json_result(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """Newline JSON as a query service returns it: an envelope line, then one object per line.
 
-    Lines that are not a JSON object are dropped; columns come back sorted by name. The envelope
-    line is the one with none of the asked columns.
+    The first line of every file is the envelope, whatever it holds; other lines that are not a JSON
+    object are dropped, blank lines too. An object without any of the columns is a row of nulls. Columns
+    come back sorted by name; without a schema they are the keys found, as text.
     """
     return _decoded(spark, path, schema).filter(F.col(_BAD).isNull()).drop(_BAD)
 
 
-def json_rejects(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def json_rejects(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """The lines ``json_result`` drops, as text."""
     return _decoded(spark, path, schema).filter(F.col(_BAD).isNotNull()).select(F.col(_BAD).alias("line"))
 
 
-def _decoded(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def _decoded(spark: SparkSession, path: str, schema: str | None) -> DataFrame:
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_at"))
+    lines = lines.withColumn("_line", F.monotonically_increasing_id())
+    # The line numbers of one split of a file ascend, and the first split begins at byte 0.
+    first = lines.filter("_at = 0").groupBy("_file").agg(F.min("_line").alias("_first"))
+    lines = lines.join(first, "_file", "left").filter(F.length(F.trim("value")) > 0)
+    envelope = F.coalesce(F.col("_line") == F.col("_first"), F.lit(False))
+    if schema is None:
+        keys = lines.filter(~envelope).select(F.explode(F.json_object_keys("value")).alias("key")).distinct()
+        schema = ", ".join(f"`{r.key}` string" for r in keys.collect()) or "nothing string"
     names = sorted(f.name for f in StructType.fromDDL(schema))
-    lines = spark.read.text(path).filter(F.length(F.trim("value")) > 0)
-    parsed = lines.select("value", F.from_json("value", f"{schema}, _corrupt string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}).alias("r"))
-    nothing = reduce(lambda a, b: a & b, [F.col(f"r.`{n}`").isNull() for n in names])
-    bad = F.col("r").isNull() | F.col("r._corrupt").isNotNull() | nothing
+    parsed = lines.select("value", envelope.alias("_envelope"), F.from_json("value", f"{schema}, _corrupt string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}).alias("r"))
+    bad = F.col("_envelope") | F.json_object_keys("value").isNull() | F.col("r").isNull() | F.col("r._corrupt").isNotNull()
     return parsed.select(*[F.col(f"r.`{n}`").alias(n) for n in names], F.when(bad, F.col("value")).alias(_BAD))
 
 

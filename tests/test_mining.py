@@ -33,14 +33,14 @@ def planted(spark, planted_rows):
 @pytest.mark.parametrize("limit", [10**9, 500, 40])
 def test_quantiles_are_numpy_quantiles(planted, planted_rows, limit):
     shares = [0.0, 0.01, 0.2, 0.5, 0.77, 1.0]
-    got = binning.exact_quantiles(planted, ["x", "y", "z"], shares, single_pass_rows=limit)
+    got = binning.exact_quantiles(planted, ["x", "y", "z"], shares, slot_rows=limit)
     for k, c in enumerate("xyz", 1):
         known = [r[k] for r in planted_rows if r[k] is not None and r[k] == r[k]]
         assert got[c] == pytest.approx(list(np.quantile(known, shares)), abs=1e-12)
 
 
 def test_quantiles_by_group(planted, planted_rows):
-    got = binning.exact_quantiles(planted, ["y"], [0.25, 0.5], by="block", single_pass_rows=100)
+    got = binning.exact_quantiles(planted, ["y"], [0.25, 0.5], by="block", slot_rows=100)
     for b in range(3):
         assert got[b]["y"] == pytest.approx(list(np.quantile([r[2] for r in planted_rows if r[6] == b], [0.25, 0.5])))
 
@@ -140,9 +140,10 @@ def test_rules_applied_either_way(planted, planted_rows):
     masks = {
         1: [r[1] > 7 and r[2] > 3 for r in planted_rows],
         2: [r[3] is not None and r[3] == r[3] and r[3] <= 0 and day(r) == 1 for r in planted_rows],
+        3: [False for _ in planted_rows],
     }
     any_hit = planted.filter(matching.any_rule(rules, "block")).count()
-    assert any_hit == sum(a or b for a, b in zip(masks[1], masks[2]))
+    assert any_hit == sum(a or b for a, b in zip(masks[1], masks[2], strict=True))
     for per_pass in (1, 2000):
         got = {r["rule_id"]: (r["n"], r["positives"]) for r in matching.per_rule(planted, rules, "label", "block", per_pass).collect()}
         assert got == {k: (sum(m), sum(r[4] for r, hit in zip(planted_rows, m) if hit)) for k, m in masks.items()}
@@ -163,10 +164,23 @@ def test_rules_with_too_many_cells_are_tested_row_by_row(planted, monkeypatch):
     assert sorted(map(tuple, matching.per_rule(planted, rules, "label").collect())) == by_cells and len(by_cells) == 9
 
 
-def test_groups_must_be_few(planted, monkeypatch):
-    monkeypatch.setattr(binning, "MAX_GROUPS", 100)
-    with pytest.raises(ValueError):
-        binning.exact_quantiles(planted, ["x"], [0.5], by="id")
+def test_one_answer_at_every_size(spark):
+    """Groups without values, infinities and fractional days, in slots of three rows and of all."""
+    inf, nan = float("inf"), float("nan")
+    rows = [(g, float(i % 7), 3.0 + (i % 3) / 10, i % 2) for g in "ab" for i in range(40)]
+    rows += [("a", inf, 3.0, 1), ("a", -inf, 3.0, 1), ("b", nan, 3.0, 0), ("c", None, 3.0, 0), ("c", nan, 3.5, 1), ("d", inf, 3.0, 1)]
+    df = spark.createDataFrame(rows, "g string, x double, day double, label int")
+    found = [binning.exact_quantiles(df, ["x"], [0.0, 0.3, 0.5, 1.0], by="g", slot_rows=n) for n in (3, 100_000)]
+    assert found[0] == found[1] and found[0].keys() == set("abcd")
+    assert found[0]["c"] == found[0]["d"] == {"x": []}
+    assert found[0]["a"]["x"] == pytest.approx(list(np.quantile([i % 7 for i in range(40)], [0.0, 0.3, 0.5, 1.0])))
+    whole = [binning.exact_quantiles(df, ["x"], [0.5], slot_rows=n) for n in (3, 100_000)]
+    assert whole[0] == whole[1] == {"x": [3.0]}
+    rules = [Rule(1, (("x", ">", 1.0),), maturity=3), Rule(2, (("x", ">", 99.0),), maturity=9), Rule(3, (("x", ">", 1.0),))]
+    short = sorted(map(tuple, matching.per_rule(df, rules, "label", "day").collect()))
+    assert [r[0] for r in short] == [1, 2, 3] and short[1] == (2, 0, 0, None)
+    day = [r for r in rows if r[2] == 3.0 and r[1] is not None and r[1] == r[1] and r[1] > 1]
+    assert short[0][1] == len(day)
 
 
 def test_rule_texts(spark):

@@ -22,13 +22,15 @@ def test_extracts_by_name(spark):
     assert sorted(map(tuple, tables.one_table([a, b]).select("id", "x", "extra").collect())) == [(1, 2.0, None), (4, 3.0, "z")]
 
 
-def test_json_result_drops_what_it_cannot_read(spark, tmp_path):
-    path = tmp_path / "result.json"
-    path.write_text('{"status": "ok"}\n{"b": 1, "a": "x"}\nnot json\n{"b": 2, "a": null}\n\n')
-    found = tables.json_result(spark, str(path), "b int, a string")
+def test_json_result_drops_the_first_line_and_what_it_cannot_read(spark, tmp_path):
+    for i in range(2):
+        (tmp_path / f"result{i}.json").write_text('{"a": "ok", "b": 9}\n{"b": 1, "a": "x"}\nnot json\n[1]\n{"b": null}\n{"c": 5}\n\n')
+    found = tables.json_result(spark, str(tmp_path), "b int, a string")
     assert found.columns == ["a", "b"]
-    assert sorted(map(tuple, found.collect()), key=lambda r: r[1]) == [("x", 1), (None, 2)]
-    assert sorted(r[0] for r in tables.json_rejects(spark, str(path), "b int, a string").collect()) == ["not json", '{"status": "ok"}']
+    assert sorted(map(str, found.collect())) == sorted(["Row(a='x', b=1)", "Row(a=None, b=None)", "Row(a=None, b=None)"] * 2)
+    assert sorted(r[0] for r in tables.json_rejects(spark, str(tmp_path), "b int, a string").collect()) == sorted(["not json", "[1]", '{"a": "ok", "b": 9}'] * 2)
+    free = tables.json_result(spark, str(tmp_path))
+    assert free.columns == ["a", "b", "c"] and sorted(r.b or "" for r in free.collect()) == ["", "", "", "", "1", "1"]
 
 
 def test_event_log_is_pruned_by_type_and_reads_few_columns(spark, tmp_path):
