@@ -37,7 +37,6 @@ class Encoder:
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.kind = "<u2" if self.size <= 1 << 16 else "<u4"
         self.code = "H" if self.kind == "<u2" else "I"
-        self.pieces = Remembered(self._piece)
         self.chunks = Remembered(self.one)
         self.letters = _byte_letters()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
@@ -71,7 +70,8 @@ class Encoder:
             return self._piece(text)
         if not self.short or "'" in text or not unicodedata.is_normalized("NFC", text) or any(s in text for s in self.special):
             return self._piece(text)
-        return b"".join(map(self.pieces.__getitem__, _RUNS.findall(text)))
+        runs = _RUNS.findall(text)
+        return b"".join([self.chunks[r.encode()] for r in runs]) if len(runs) > 1 else self._piece(text)
 
     def encode(self, text: bytes) -> bytes:
         # A special token's text must not arise by lower-casing.

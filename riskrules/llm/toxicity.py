@@ -166,7 +166,7 @@ class Scanner:
             found = automaton.match(word) if word else None
             return found and (*found, word)
 
-        self.look = Remembered(look).__getitem__
+        self.look = Remembered(look, 50_000).__getitem__
 
     def hits(self, text: bytes) -> tuple[int, list[tuple[str, int, str, float]]]:
         """Number of tokens, and (term, edits, spelling, weight of term and context) per hit."""
