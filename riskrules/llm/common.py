@@ -110,7 +110,7 @@ class Remembered(dict):
 
 
 def word_hashes() -> Remembered:
-    return Remembered(xxhash.xxh3_64_intdigest)
+    return Remembered(xxhash.xxh3_64_intdigest, 100_000)
 
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)  # an odd 64-bit multiplier (golden ratio)

@@ -221,7 +221,7 @@ def _terms(batches) -> Iterator[dict]:
         for mark, text in zip(marks, texts):
             words = {w for w in map(plain, set(text.lower().split())) if w}
             counts[mark].update(words | {w[:k] + "-" for k in BEGINNINGS for w in words if len(w) > k})
-        if sum(map(len, counts)) > 250_000:
+        if sum(map(len, counts)) > 150_000:
             yield out()
     yield out()
 
