@@ -2,8 +2,10 @@
 
 In each table a vector goes through pseudo-rotations, three rounds of random signs and a fast Hadamard
 transform, and is hashed to the nearest signed axis. With many rows a table key joins several such
-hashes, so that a cell keeps about ``CELL_ROWS`` rows. A query also looks into the cells of its next
-nearest axes. Rows and queries of a cell meet in blocks of bounded size, where exact cosines are
+hashes, the last over as many axes as leave ``CELL_ROWS`` to twice as many rows in a cell. A query also
+looks into the cells of its next nearest axes. How many is measured: the nearest rows of some queries
+are found by comparison with all rows, and the cells probed are as many as meet ``RECALL`` of them, at
+least ``PROBES``. Rows and queries of a cell meet in blocks of bounded size, where exact cosines are
 computed and only each query's best are given out.
 
 Equal vectors are one row with the smallest ids, as many as a result can need. A query that found too
@@ -12,7 +14,6 @@ few rows is compared with all, in the same blocks.
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -26,6 +27,9 @@ from riskrules.session import cut
 TABLES = 10
 PROBES = 16
 CELL_ROWS = 512
+RECALL = 0.98  # share of the measured queries' nearest rows that the probed cells must hold
+MEASURED = 128  # queries compared with all rows to learn how many cells to probe
+HASHED = 1 << 20  # values that one step of probing holds
 BLOCK_ROWS = 8_192
 SEED = 17
 
@@ -52,39 +56,60 @@ def rotated(x: np.ndarray, table: int, part: int) -> np.ndarray:
     return y
 
 
-def cells(x: np.ndarray, table: int, parts: int, probes: int) -> np.ndarray:
-    """(rows, probes) keys of the nearest cells; a cell is one signed axis per part.
+def layout(n: int, axes: int) -> tuple[int, int]:
+    """(hashes per table key, axes of the last one) for n rows; cells double when rows do."""
+    parts, last, rest = 1, axes, n / CELL_ROWS / axes
+    while axes > 1 and rest >= 2:
+        parts, last, rest = parts + 1, min(axes, 1 << int(np.log2(rest))), rest / axes
+    return parts, last
+
+
+def _axes(x: np.ndarray, table: int, part: int, parts: int, last: int | None) -> np.ndarray:
+    """Projections on the signed axes of one hash; the last of several may use fewer axes."""
+    y = rotated(x, table, part)
+    if last and parts > 1 and part == parts - 1:
+        y = y[:, : max(1, last // 2)]
+    return np.concatenate([y, -y], axis=1)
+
+
+def cells(x: np.ndarray, table: int, parts: int, probes: int, last: int | None = None) -> np.ndarray:
+    """(rows, at most probes) keys of the nearest cells; a cell is one signed axis per part.
 
     Cells are ordered by how much shorter the projections on their axes are than on the nearest ones.
     """
-    n = len(x)
-    best, loss = [], []
+    keys = loss = None
     for part in range(parts):
-        y = rotated(x, table, part)
-        both = np.concatenate([y, -y], axis=1)
-        few = min(probes, both.shape[1])
-        top = np.argsort(-both, axis=1, kind="stable")[:, :few]
+        both = _axes(x, table, part, parts, last)
+        top = np.argsort(-both, axis=1, kind="stable")[:, :probes]
         value = np.take_along_axis(both, top, axis=1)
-        best.append(top)
-        loss.append((value[:, :1] - value) ** 2 + value[:, :1] ** 2 * 0)
-    if parts == 1:
-        return best[0]
-    width, out = both.shape[1], np.empty((n, probes), np.int64)
-    for r in range(n):
-        heap, seen, found = [(0.0, (0,) * parts)], {(0,) * parts}, []
-        while heap and len(found) < probes:
-            cost, at = heapq.heappop(heap)
-            key = 0
-            for part, i in enumerate(at):
-                key = key * width + int(best[part][r, i])
-            found.append(key)
-            for part in range(parts):
-                if at[part] + 1 < best[part].shape[1]:
-                    nxt = at[:part] + (at[part] + 1,) + at[part + 1 :]
-                    if nxt not in seen:
-                        seen.add(nxt)
-                        heapq.heappush(heap, (sum(loss[p][r, i] for p, i in enumerate(nxt)), nxt))
-        out[r] = found + [found[0]] * (probes - len(found))
+        more = (value[:, :1] - value) ** 2
+        if keys is None:
+            keys, loss = top, more
+            continue
+        # The nearest cells extend the nearest of the parts so far, so these suffice.
+        total = (loss[:, :, None] + more[:, None]).reshape(len(x), -1)
+        joined = (keys[:, :, None] * both.shape[1] + top[:, None]).reshape(len(x), -1)
+        order = np.argsort(total, axis=1, kind="stable")[:, :probes]
+        keys, loss = np.take_along_axis(joined, order, axis=1), np.take_along_axis(total, order, axis=1)
+    return keys
+
+
+def probes_to(q: np.ndarray, x: np.ndarray, table: int, parts: int, last: int | None = None) -> np.ndarray:
+    """For every pair of rows of q and x the cells that q probes until it meets x."""
+    line, lost = [], np.zeros(len(q))
+    for part in range(parts):
+        both = _axes(q, table, part, parts, last)
+        more = (both.max(axis=1, keepdims=True) - both) ** 2
+        at = _axes(x, table, part, parts, last).argmax(axis=1)
+        lost += more[np.arange(len(q)), at]
+        line.append(np.sort(more, axis=1))
+    out = np.empty(len(q), np.int64)
+    for r in range(len(q)):
+        sums = np.zeros(1)
+        for more in line[:-1]:
+            sums = (sums[:, None] + more[r]).ravel()
+        sums.sort()
+        out[r] = np.searchsorted(sums, lost[r] + 1e-12 - line[-1][r], side="right").sum()
     return out
 
 
@@ -94,17 +119,20 @@ def _unit(column) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def _hashed(vectors: DataFrame, parts: int, probes: int) -> DataFrame:
+def _hashed(vectors: DataFrame, parts: int, probes: int, last: int) -> DataFrame:
     """One row per vector, table and probe: (row, width, table, cell)."""
 
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for width, same in frame.groupby("width"):
-                x = _unit(same.vector)
+                x, ids = _unit(same.vector), same.row.to_numpy()
+                axes = 2 << max(0, width - 1).bit_length()
+                step = max(1, HASHED // (min(probes, axes ** max(1, parts - 1)) * min(probes, axes)))
                 for table in range(TABLES):
-                    keys = cells(x, table, parts, probes)
-                    rows = pd.DataFrame({"row": np.repeat(same.row.to_numpy(), keys.shape[1]), "width": width, "table": table, "cell": keys.ravel()})
-                    yield rows.drop_duplicates()
+                    for i in range(0, len(x), step):
+                        keys = cells(x[i : i + step], table, parts, probes, last)
+                        rows = pd.DataFrame({"row": np.repeat(ids[i : i + step], keys.shape[1]), "width": width, "table": table, "cell": keys.ravel()})
+                        yield rows.drop_duplicates()
 
     return vectors.select("row", "width", "vector").mapInPandas(work, "row long, width int, table int, cell long")
 
@@ -159,6 +187,45 @@ def _first(df: DataFrame, group: str, n: int) -> DataFrame:
     return df.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n)
 
 
+def _probes(points: DataFrame, rows: DataFrame, parts: int, last: int, count: int) -> int:
+    """Cells to probe in every table, so that ``RECALL`` of the nearest rows of some queries are met.
+
+    The queries, a bounded number chosen by hash, are compared with all rows; a task keeps their nearest
+    and gives them out once. Their cells are then looked up in the order of probing.
+    """
+    some = points.orderBy(F.xxhash64("row"), "row").limit(MEASURED).toPandas()
+    own = {w: (same.row.to_numpy(), _unit(same.vector)) for w, same in some.groupby("width")}
+
+    def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        best: dict[int, list[tuple[float, int, list[float]]]] = {}
+        for frame in frames:
+            for width, same in frame.groupby("width"):
+                if width not in own:
+                    continue
+                ids, vectors = same.row.to_numpy(), same.vector.to_numpy()
+                for query, line in zip(own[width][0], own[width][1] @ _unit(same.vector).T):
+                    line[ids == query] = -np.inf
+                    at = np.argsort(-line, kind="stable")[:count]
+                    mine = best.get(int(query), []) + [(float(line[j]), int(ids[j]), vectors[j]) for j in at if line[j] > -np.inf]
+                    best[int(query)] = sorted(mine, key=lambda m: (-m[0], m[1]))[:count]
+        found = [(q, i, s, v) for q, mine in best.items() for s, i, v in mine]
+        yield pd.DataFrame(found, columns=["query", "vec_id", "score", "vector"]).astype({"query": "int64", "vec_id": "int64", "score": "float64"})
+
+    near = rows.select("row", "width", "vector").mapInPandas(work, "query long, vec_id long, score double, vector array<double>")
+    near = _first(near, "query", count).toPandas()  # count rows for each of the queries
+    needed = []
+    for ids, x in own.values():
+        place = {int(q): n for n, q in enumerate(ids)}
+        same = near[near["query"].isin(place.keys())]
+        if len(same):
+            q, y = x[[place[i] for i in same["query"]]], _unit(same.vector)
+            needed.append(np.min([probes_to(q, y, t, parts, last) for t in range(TABLES)], axis=0))
+    if not needed:
+        return PROBES
+    needed = np.sort(np.concatenate(needed))
+    return max(PROBES, int(needed[int(np.ceil(RECALL * len(needed))) - 1]))
+
+
 def nearest(vectors: DataFrame, queries, key: str = "vec_id", vector: str = "embedding", count: int = 5) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``count`` rows of largest cosine found for each query row.
 
@@ -181,10 +248,11 @@ def nearest(vectors: DataFrame, queries, key: str = "vec_id", vector: str = "emb
     points = cut(distinct.join(wanted, "vector", "left_semi").select("row", "width", "vector"))
     n, width = distinct.agg(F.count("*"), F.max("width")).first()
     axes = 2 << max(0, (width or 1) - 1).bit_length()
-    parts = max(1, round(np.log(max(1.0, n / CELL_ROWS)) / np.log(axes)))
+    parts, last = layout(n, axes)
+    probes = _probes(points, distinct, parts, last, count)
     own = distinct.select("row", "ids", "vector")
-    rows = cut(_hashed(distinct, parts, 1)).join(own, "row")
-    looked = cut(_hashed(points, parts, PROBES)).join(points.select("row", "vector"), "row")
+    rows = cut(_hashed(distinct, parts, 1, last)).join(own, "row")
+    looked = cut(_hashed(points, parts, probes, last)).join(points.select("row", "vector"), "row")
     found = cut(_meet(looked, rows, keep)).distinct()
     enough = found.groupBy("query").count().filter(F.col("count") >= keep).select(F.col("query").alias("row"))
     short = cut(points.join(enough, "row", "left_anti"))

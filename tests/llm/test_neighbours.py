@@ -78,3 +78,35 @@ def test_cells_of_several_parts():
     assert (one[:, 0] == many[:, 0]).all() and all(len(set(r)) == 12 for r in many)
     y = neighbours.rotated(x, 3, 1)
     assert np.allclose(y @ y.T, x @ x.T)
+
+
+def test_recall_with_several_hashes_a_key(spark, folder, monkeypatch):
+    """As many cells as two full hashes a key give; the share of neighbours met must not fall."""
+    data = table(spark, folder.replace("sf0.01", "sf0.1"), "embeddings")
+    rows = [(r.vec_id, r.embedding) for r in data.collect()]
+    monkeypatch.setattr(neighbours, "CELL_ROWS", len(rows) / 128**2)
+    found = found_of(neighbours.nearest(data, F.col("vec_id") % 10 == 0))
+    wanted = brute(rows, lambda ids: ids % 10 == 0)
+    hits = sum(len({v for v, _ in found[q]} & {v for v, _ in w}) for q, w in wanted.items())
+    recall = hits / sum(map(len, wanted.values()))
+    print("recall", recall, "of", sum(map(len, wanted.values())))
+    assert recall >= 0.9
+
+
+def test_layout_grows_without_a_jump():
+    """Twice the rows are at most twice the cells, at every size."""
+    for axes in (2, 16, 128):
+        count = lambda n: axes if (at := neighbours.layout(n, axes))[0] == 1 else axes ** (at[0] - 1) * at[1]  # noqa: B023, E731
+        sizes = [1000 * 2**i for i in range(20)]
+        assert all(count(n) <= count(2 * n) <= 2 * count(n) for n in sizes)
+        assert all(count(n) <= max(axes, n / neighbours.CELL_ROWS) for n in sizes)
+
+
+def test_probes_until_a_row_is_met():
+    rng = np.random.default_rng(2)
+    q = rng.standard_normal((30, 16))
+    x = q + rng.standard_normal((30, 16))
+    for parts, last in ((1, 32), (2, 8), (3, 2)):
+        needed, own = neighbours.probes_to(q, x, 1, parts, last), neighbours.cells(x, 1, parts, 1, last)
+        order = neighbours.cells(q, 1, parts, 32**parts, last)
+        assert (needed == [list(o).index(c) + 1 for o, c in zip(order, own[:, 0])]).all()
