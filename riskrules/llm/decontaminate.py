@@ -5,7 +5,8 @@ occurrence within the budget leaves at least one piece untouched, so every occur
 hit. One Aho-Corasick automaton finds the pieces of all items in one run over a whole text. Around each
 hit Myers' bit-parallel algorithm computes the least edit distance of the item to any part of the text.
 
-Texts and items are compared as lower-case (A-Z) bytes with ASCII punctuation and blanks as one blank.
+Texts and items are compared as UTF-8 bytes with case folded in all scripts and ASCII punctuation and
+blanks as one blank.
 """
 
 from __future__ import annotations
@@ -19,18 +20,20 @@ from pyspark.sql import functions as F
 from riskrules.llm.common import cut, kept_rows, keyed_texts, per_text
 
 ERROR_SHARE = 0.08  # edits allowed as a share of the item's bytes
-PIECE_BYTES = 16  # least piece; shorter ones would be met everywhere, so short items allow fewer edits
+PIECE_BYTES = int(1 / ERROR_SHARE) // 2  # least piece that the share leaves; every hit is verified
 BLOCK_BYTES = 4_000_000  # text of the items that one pass over the documents looks for
 
 _PLAIN = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 
 
 def plain(text: bytes) -> bytes:
+    if not text.isascii():
+        text = text.decode("utf-8", "surrogateescape").casefold().encode("utf-8", "surrogateescape")
     return b" ".join(text.translate(_PLAIN).split())
 
 
 def budget(size: int) -> int:
-    return max(0, min(int(size * ERROR_SHARE), size // PIECE_BYTES - 1))
+    return int(size * ERROR_SHARE)
 
 
 def pieces(item: bytes) -> list[tuple[int, bytes]]:
@@ -92,8 +95,8 @@ class Finder:
         if of:
             self.automaton.make_automaton()
 
-    def found(self, text: bytes) -> Iterator[tuple[int, int, list[tuple[int, int]]]]:
-        """(item id, least distance, [(end, distance)] of its places) of every item that occurs."""
+    def found(self, text: bytes) -> Iterator[tuple[int, int, int, list[tuple[int, int]]]]:
+        """(item id, least distance, bytes, [(end, distance)] of its places) of every item that occurs."""
         text = plain(text)
         windows: dict[int, list[list[int]]] = {}
         if not self.patterns or not text:
@@ -116,13 +119,13 @@ class Finder:
                 if distance <= p.limit:
                     ends[a + end] = min(distance, ends.get(a + end, distance))
             if ends:
-                yield self.ids[n], min(ends.values()), sorted(ends.items())
+                yield self.ids[n], min(ends.values()), p.size, sorted(ends.items())
 
 
 def blocks(items: DataFrame, key: str = "item_id", text: str = "text") -> Iterator[list[tuple[int, bytes]]]:
-    """The test items in blocks of bounded size; items that are null or blank are left out."""
+    """The test items in blocks of bounded size; null and blank texts are left out, null ids are not."""
     rows = items.select(F.col(key).cast("long").alias("k"), F.col(text).cast("binary").alias("t"))
-    rows = rows.filter("k IS NOT NULL AND t IS NOT NULL").distinct()
+    rows = rows.filter("t IS NOT NULL").distinct()
     block, size = [], 0
     for k, t in rows.sort("k", "t").toLocalIterator():
         t = plain(bytes(t))
@@ -140,8 +143,6 @@ _ROWS = "doc_id long, item_id long, distance long, item_bytes long, places array
 
 
 def _matches(texts: DataFrame, items: list[tuple[int, bytes]]) -> DataFrame:
-    sizes = dict((k, len(t)) for k, t in items)
-
     def work(batches):
         finder = Finder(items)
         kind = pa.list_(pa.struct([("end", pa.int64()), ("distance", pa.int64())]))
@@ -151,8 +152,8 @@ def _matches(texts: DataFrame, items: list[tuple[int, bytes]]) -> DataFrame:
                 "doc_id": [r[0] for r in rows],
                 "item_id": [r[1] for r in rows],
                 "distance": [r[2] for r in rows],
-                "item_bytes": [sizes[r[1]] for r in rows],
-                "places": pa.array([[{"end": e, "distance": d} for e, d in r[3]] for r in rows], kind),
+                "item_bytes": [r[3] for r in rows],
+                "places": pa.array([[{"end": e, "distance": d} for e, d in r[4]] for r in rows], kind),
             }
 
     return per_text(texts, work, _ROWS)
@@ -163,7 +164,7 @@ def matches(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str =
 
     ``distance`` is the least of all places; a place is the end of an occurrence in the plain text. Null
     and blank texts and items meet nothing. Rows are reported each: a repeated document row repeats its
-    matches; a null doc_id stays null. Repeated item rows count once; two texts under one item id give a
+    matches; a null doc_id or item_id stays null. Repeated item rows count once; two texts under one item id give a
     row each. With several blocks each is a pass over the documents and written before the next.
     """
     texts, out = keyed_texts(docs, key, text), None

@@ -81,3 +81,38 @@ def test_blocks_and_empty_tables(spark, docs_of, sentences, monkeypatch):
     none = spark.createDataFrame([], "item_id long, text string")
     assert d.matches(docs, none).count() == 0 and d.without_items(docs, none).count() == len(rows)
     assert d.matches(docs_of([]), table).count() == 0
+
+
+def test_budget_is_the_stated_share():
+    assert [d.budget(n) for n in (12, 13, 25, 31, 81, 100, 146)] == [0, 1, 2, 2, 6, 8, 11]
+    for n in range(1, 500):
+        parts = [p for _, p in d.pieces(bytes(n))]
+        assert sum(map(len, parts)) == n and len(parts) == n * 8 // 100 + 1 and min(map(len, parts)) >= min(n, d.PIECE_BYTES)
+
+
+def test_passages_of_the_stated_share(spark, docs_of, sentences):
+    """A replaced word, capitals of other scripts, short items and items without id; expectations are given, not computed."""
+    long = "the quiet harbour keeps seven wooden boats behind its stone wall while people mend their nets and wait"
+    accents = "ñandú y ciónñga óvalo señaló más íntima acción del otoño español según cada niño pequeño"
+    items = [(1, long), (2, accents), (3, "purple elephants knit at dawn"), (None, "an item that nobody has numbered"), (5, "ΟΔΟΣ ΚΑΙ ΠΟΛΗ ΤΗΣ ΝΥΧΤΑΣ")]
+    pad = sentences(40)
+    rows = [
+        (10, f"{pad} {long.replace('wooden', 'kayaks')} {pad}"),
+        (20, f"{pad} {accents.upper()} {pad}"),
+        (30, f"{pad} purple elephxnts knit at dawm {pad}"),
+        (40, f"{pad} An item that NOBODY has numbered {pad}"),
+        (50, f"{pad} οδος και πολη της νυχτας {pad}"),
+        (60, f"{pad} {long.replace('wooden boats', 'rather small craft')} {pad}"),
+        (70, pad),
+    ]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    docs = docs_of(rows)
+    assert {(r.doc_id, r.item_id) for r in d.matches(docs, table).collect()} == {(10, 1), (20, 2), (30, 3), (40, None), (50, 5)}
+    assert {r.doc_id for r in d.without_items(docs, table).collect()} == {60, 70}
+
+
+def test_bytes_of_two_texts_under_one_id(spark, docs_of, sentences):
+    one, two = "seven wooden boats", "a much longer text that stands under the same id"
+    table = spark.createDataFrame([(1, one), (1, two)], "item_id long, text string")
+    found = d.matches(docs_of([(1, f"{sentences(9)} {one} {sentences(9)} {two}")]), table).collect()
+    assert sorted(r.item_bytes for r in found) == [len(one), len(two)]
