@@ -16,6 +16,7 @@ decided exactly, while the rows written stay linear in the size of a group.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -214,21 +215,61 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
+def _units(docs: DataFrame, key: str, text: str, unit: str) -> tuple[DataFrame, DataFrame | None]:
+    """``docs`` with a number per id and text, and (unit, id) of all rows; None where that is the id itself.
+
+    Only ids that stand with different texts get other numbers: hashes of id and text, which are tried
+    until no two texts share one and none is the id of other rows.
+    """
+    own = F.col(f"`{key}`").cast("long")
+    body = F.struct(F.col(f"`{text}`").isNull(), F.sha2(F.col(f"`{text}`").cast("binary"), 256))
+    ids = docs.select(own.alias("id")).filter("id IS NOT NULL")
+    again = cut(ids.groupBy("id").count().filter("count > 1").select("id"))
+    again = small(again, again.count(), 1)
+    texts = docs.select(own.alias("id"), F.to_json(body).alias("body")).join(again, "id", "left_semi").distinct()
+    texts = cut(texts)
+    several = cut(texts.groupBy("id").count().filter("count > 1").select("id"))
+    n = several.count()
+    if not n:
+        return docs.withColumn(unit, own), None
+    pairs = cut(texts.join(small(several, n, 1), "id", "left_semi"))
+    total = pairs.count()
+    for seed in count():
+        number = lambda i, b: F.xxhash64(F.lit(seed), i, b)  # noqa: B023, E731
+        numbers = cut(pairs.select(number(F.col("id"), F.col("body")).alias("unit")).distinct())
+        if numbers.count() == total and not ids.join(small(numbers, total, 1), F.col("id") == F.col("unit"), "left_semi").limit(1).count():
+            break
+    flag = several.select(F.col("id").alias(f"{unit}_of"))
+    out = docs.join(small(flag, n, 1), own == F.col(f"{unit}_of"), "left")
+    out = out.withColumn(unit, F.when(F.col(f"{unit}_of").isNull(), own).otherwise(number(own, F.to_json(body)))).drop(f"{unit}_of")
+    return out, cut(out.select(F.col(unit).alias("doc_id"), own.alias("id")).distinct())
+
+
 def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay: one of each class, with all their columns.
 
-    Of rows that share an id the one with the smallest text stays; rows without id all stay.
+    A row is judged by its own text: different texts under one id are different documents, and of a
+    class the smallest id stays. Repeated rows of one id and text are one; rows without id all stay.
     """
-    result = cut(classes(docs, key, text))
-    gone = cut(result.filter("NOT kept").select(F.col("doc_id").alias(key)).distinct())
+    unit = "__unit"
+    rows, known = _units(docs, key, text, unit)
+    result = cut(classes(rows, unit, text))
+    if known is None:
+        gone = result.filter("NOT kept").select(F.col("doc_id").alias(unit)).distinct()
+    else:
+        members = result.filter("doc_id IS NOT NULL").select("doc_id", "component_id").distinct().join(known, "doc_id")
+        members = cut(members)
+        first = members.groupBy("component_id").agg(F.min(F.struct("id", "doc_id"))["doc_id"].alias("first"))
+        gone = members.join(first, "component_id").filter("doc_id != first").select(F.col("doc_id").alias(unit))
+    gone = cut(gone)
     # Up to a million ids are sent to the tasks; more are joined, which shuffles the texts.
-    rest = docs.join(small(gone, gone.count(), 1), key, "left_anti")
-    again = result.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias(key))
+    rest = rows.join(small(gone, gone.count(), 1), unit, "left_anti")
+    again = result.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias(unit))
     if not again.limit(1).count():
-        return rest
+        return rest.select(*[f"`{c}`" for c in docs.columns])
     from pyspark.sql import Window
 
-    twice = rest.join(again, key, "left_semi")
-    order = Window.partitionBy(key).orderBy(text, *[F.to_json(F.struct(F.col(f"`{c}`"))) for c in docs.columns if c not in (key, text)])
+    twice = rest.join(again, unit, "left_semi")
+    order = Window.partitionBy(unit).orderBy(F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in (key, text)], F.lit(0).alias("__none"))))
     one = twice.withColumn("__nth", F.row_number().over(order)).filter("__nth = 1").drop("__nth")
-    return rest.join(again, key, "left_anti").unionByName(one)
+    return rest.join(again, unit, "left_anti").unionByName(one).select(*[f"`{c}`" for c in docs.columns])

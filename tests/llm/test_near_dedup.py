@@ -88,3 +88,21 @@ def test_blocks_find_links_beyond_the_hub(spark, docs_of, sentences, monkeypatch
 def test_components(spark, edges):
     found = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert found == ({} if len(edges) < 2 else {**{i: 0 for i in range(41)}, 90: 90, 95: 90, 100: 90})
+
+
+def test_different_texts_of_one_id_both_stay(docs_of, sentences, monkeypatch):
+    """Only a text that has a near copy goes, whatever else stands under its id."""
+    one, two, three, four = (sentences(80) for _ in range(4))
+    rows = [(1, one), (2, two), (2, three), (2, three), (3, one + " more"), (3, four), (4, three + " more")]
+    rows += [(5, None), (5, sentences(50)), (6, ""), (6, sentences(50)), (7, two), (7, two + " more")]
+    wanted = [(1, one), (2, two), (2, three), (3, four), *rows[7:11]]
+    docs = docs_of(rows, extra=("component_id", "id", "unit"))
+    out = near_dedup.deduplicated(docs)
+    assert out.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in out.collect()), key=repr) == sorted(wanted, key=repr)
+
+
+def test_two_near_texts_of_one_id_leave_one(docs_of, sentences):
+    text = sentences(80)
+    out = near_dedup.deduplicated(docs_of([(9, text), (9, text + " more"), (9, sentences(60))])).collect()
+    assert len(out) == 2 and {r.doc_id for r in out} == {9} and sum(r.text.startswith(text) for r in out) == 1
