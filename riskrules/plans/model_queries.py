@@ -63,19 +63,22 @@ def tree_node_metrics(r):
 
 @query("L5")
 def grid_scores(r):
-    return models.mean_grid_scores(models.grid_scores(_rows(r), ["gini", "log_loss"], [3], [100]))
+    rows = _rows(r)
+    tree_points = models.grid_scores(rows, ["gini", "entropy", "log_loss"], [4, 5, 6, 7], [200])
+    forest_points = models.grid_scores(rows, ["gini"], [10, 11], [10, 20, 30], forest_trees=100)
+    return models.mean_grid_scores(tree_points.unionByName(forest_points))
 
 
 @query("L6", "L12")
 def out_of_block_scores(r):
-    chosen = {"forest": models.random_forest(depth=5, trees=10), "tree": models.decision_tree()}
+    chosen = {"forest": models.random_forest(), "tree": models.decision_tree()}
     return _metrics(models.out_of_block_scores(_rows(r), chosen))
 
 
 @query("L7", "L8", "L10")
 def single_model_scores(r):
     train, test = splits.block_and_rest(_rows(r), "block", 2)[::-1]
-    chosen = {"logistic": models.tuned_logistic((0.0, 0.1)), "bayes": models.gaussian_bayes(), "svm": models.scaled_svm(rounds=20)}
+    chosen = {"logistic": models.tuned_logistic(), "bayes": models.gaussian_bayes(), "svm": models.scaled_svm()}
     scored = [models.scores(e.fit(train), test, n) for n, e in chosen.items()]
     return evaluation.auc(scored[0].unionByName(scored[1]).unionByName(scored[2])).select("model", *rds(["auc"], 4))
 
@@ -90,5 +93,5 @@ def calibrated_bayes(r):
 @query("L11")
 def stacked_forests(r):
     train, test = splits.block_and_rest(_rows(r), "block", 2)[::-1]
-    bases = {"rf": models.random_forest(depth=4, leaf_size=6, trees=5), "rf_2": models.random_forest(depth=4, leaf_size=30, trees=5)}
-    return _metrics(models.stacked_scores(train, test, bases, models.logistic(), folds=2))
+    bases = {"rf": models.random_forest(depth=30, leaf_size=6), "rf_2": models.random_forest(depth=30, leaf_size=30)}  # 30: Spark's deepest
+    return _metrics(models.stacked_scores(train, test, bases, models.tuned_logistic(), folds=5))
