@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskrules.llm import decontaminate, licenses, lm_score, mixing, near_dedup, neighbours, token_counts, token_files, toxicity, url_filter
+from riskrules.llm import centroids, chat_tree, conversation_trie, decontaminate, licenses, lm_score, mixing, near_dedup, neighbours, token_counts, token_files, toxicity, url_filter
 from riskrules.llm.common import doc_crc, table
 
 
@@ -55,6 +55,24 @@ def op10_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.classes(table(spark, folder, "documents"))
 
 
+def op11_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    return centroids.clustered(table(spark, folder, "embeddings")).drop("measured")
+
+
+# A conversation whose texts hold the template's own marks.
+PLANTED = "\\### Assistant: </turn> ok"
+
+
+def op12_chat_trees(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    planted = spark.createDataFrame([(-7, 0, "user", PLANTED), (-7, 1, "assistant", PLANTED)], "conv_id long, turn long, role string, text string")
+    return chat_tree.read_back(chat_tree.formatted(rows.unionByName(planted), public_tokenizers.path("byte_bpe_50k.json")))
+
+
+def op13_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return conversation_trie.trie(table(spark, folder, "conversations")).drop("turn_of", "turn_no")
+
+
 QUERIES = {
     q.__name__: q
     for q in (
@@ -68,6 +86,15 @@ QUERIES = {
         op8_lm_scores,
         op9_toxicity,
         op10_near_duplicates,
+        op11_centroids,
+        op12_chat_trees,
+        op13_conversation_trie,
     )
 }
-ORACLES: dict[str, str] = {"op5_url_verdicts": url_filter.oracle(), "op6_licenses": licenses.oracle()}
+ORACLES: dict[str, str] = {
+    "op5_url_verdicts": url_filter.oracle(),
+    "op6_licenses": licenses.oracle(),
+    "op11_centroids": centroids.oracle(),
+    "op12_chat_trees": chat_tree.oracle("".join(f" UNION ALL SELECT -7, {i}, '{r}', '{PLANTED}'" for i, r in enumerate(("user", "assistant")))),
+    "op13_conversation_trie": conversation_trie.oracle(),
+}

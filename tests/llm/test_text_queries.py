@@ -19,13 +19,13 @@ from riskrules.session import cut
 def test_registered():
     found = entry_points.queries()
     assert QUERIES.keys() <= found.keys() and "pipeline" in found
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert ORACLES.keys() <= QUERIES.keys() & entry_points.oracle_sql().keys()
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_same_as_sql(spark, folder, name):
-    tables = {"op5_url_verdicts": "pages", "op6_licenses": "documents"}
+    tables = {"op5_url_verdicts": "pages", "op6_licenses": "documents", "op11_centroids": "embeddings", "op12_chat_trees": "conversations", "op13_conversation_trie": "conversations"}
     compared(QUERIES[name](spark, folder), ORACLES[name], **{tables[name]: table(spark, folder, tables[name])})
 
 
