@@ -36,13 +36,17 @@ def test_licences(spark, docs_of, sentences):
     rows = [(i, f"{sentences(20)}. {t.upper()}!") for i, t in enumerate(full)]
     rows += [(100 + i, f"{' '.join(t.key)}") for i, t in enumerate(licenses.TEMPLATES)]  # key phrase at the very start
     rows += [(200, "MIT-License; mit\nlicense mit license"), (201, "mit the license"), (202, None), (203, ""), (204, "...  "), (205, "ÉÀ9 é"), (206, "license mit"), (None, "MIT License")]
+    rows += [(300, "x cc by 4 0"), (301, "licensed within cc by 4 0"), (302, "permission is hereby granted free of charge to any one who reads a sentence")]  # key phrases without enough of the rest
     rows += [(207, "mit " * 40_000 + "license"), (208, "GNU General   Public\tLicense version 3"), (209, "cc by nc 4.0 cc by 4.0"), (5, "mit license"), (5, "mit license")]
     docs = docs_of(rows, extra=("words", "found", "t0", "score", "labels"))
     compared(licenses.scanned(docs).drop("spans"), licenses.oracle(), documents=docs.select("doc_id", "text"))
     by = {r.doc_id: r for r in licenses.scanned(docs).collect()}
     assert by[200].n_base == 3 and by[200].first_word == 0 and by[207].first_word == 39_999 and by[202].labels == "" and by[206].score == 0
     assert by[3].labels == "gpl,gpl-3.0" and by[3].score == 1.0 and by[3].spans
+    assert by[300].labels == "" and by[301].labels == "cc-by-4.0" and by[302].labels == "" and 0.8 < by[301].score < 1
     assert licenses.scanned(docs.limit(0)).count() == 0
+    none = licenses.scanned(docs.filter("doc_id BETWEEN 202 AND 205"))
+    assert {r.labels for r in none.collect()} == {""} and none.count() == 4
 
 
 def filled(sizes, weights, epochs=3):
