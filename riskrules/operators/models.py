@@ -1,30 +1,28 @@
 """Scored models: validation by time block, calibration, stacking and the grids around them.
 
-A model is an estimator on ``features`` (Spark ML, or ``trees.TreeEstimator``); scores come back in long form with columns
-model, row id, block, label and score. Folds are a handful, so loops over them run on the driver
-while every fit and every scoring is a distributed job. Tables that many fits read are written
-once (``session.cut``).
+Scores come in long form with columns model, row id, block, label and score. Trees and forests of all
+blocks grow together (``forests``); Bayes is a closed form (``bayes``); linear models are Spark ML
+estimators on ``features``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
-from itertools import product
+from collections.abc import Sequence
 
-from pyspark.ml import Estimator, Pipeline
-from pyspark.ml.classification import LinearSVC, LogisticRegression, NaiveBayes
+from pyspark.ml import Pipeline
+from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression, RandomForestRegressor
+from pyspark.ml.regression import IsotonicRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskrules.functions.measures import fill_gaps
-from riskrules.operators.trees import TreeEstimator
+from riskrules.operators import forests
+from riskrules.operators.bayes import GaussianBayes
+from riskrules.operators.trees import CRITERIA
 from riskrules.session import cut
 
 
@@ -36,39 +34,27 @@ def assembled(df: DataFrame, features: Sequence[str], row_id: str, label: str, b
     return vector.select(F.col(row_id).alias("row_id"), F.col(label).cast("double").alias("label"), blocks.alias("block"), "features")
 
 
-def decision_tree(criterion: str = "log_loss", depth: int = 5, leaf_size: int = 100) -> TreeEstimator:
-    return TreeEstimator(criterion, depth, leaf_size)
-
+def logistic(penalty: float = 0.0, rounds: int = 100) -> LogisticRegression:
+    return LogisticRegression(regParam=penalty, maxIter=rounds)
 
-def random_forest(criterion: str = "gini", depth: int = 10, leaf_size: int = 20, trees: int = 100, seed: int = 42) -> RandomForestRegressor:
-    """A forest whose score is the mean share of positives in the leaves.
 
-    On a 0/1 label the variance a regression tree splits on is half the Gini impurity, so the trees
-    are Gini trees, but leaves keep their share: classification trees would join leaves of equal
-    class (see ``operators.trees``).
-    """
-    if criterion != "gini":
-        raise ValueError("forests split on gini")
-    return RandomForestRegressor(maxDepth=depth, minInstancesPerNode=leaf_size, numTrees=trees, featureSubsetStrategy="sqrt", seed=seed)
+# Inverse penalties of the published grid: ten from 1e-4 to 1e4, evenly on the log scale.
+STRENGTHS = tuple(10 ** (-4 + 8 * i / 9) for i in range(10))
 
 
-def logistic(penalty: float = 0.0, rounds: int = 100) -> LogisticRegression:
-    return LogisticRegression(regParam=penalty, maxIter=rounds)
-
+def tuned_logistic(rows: int, strengths: Sequence[float] = STRENGTHS, folds: int = 2, rounds: int = 100, seed: int = 42) -> CrossValidator:
+    """Logistic regression with its penalty chosen by cross-validation on the area under the ROC curve.
 
-def tuned_logistic(penalties: Sequence[float] = (0.0, 0.01, 0.1, 1.0), folds: int = 2, rounds: int = 100, seed: int = 42) -> CrossValidator:
-    """Logistic regression with its penalty chosen by cross-validation on the area under the ROC curve."""
+    Strengths weigh the summed loss of ``rows`` training rows; Spark weighs the penalty against the mean loss.
+    """
+    penalties = [1 / (c * max(rows, 1)) for c in strengths]
     base = LogisticRegression(maxIter=rounds)
-    grid = ParamGridBuilder().addGrid(base.regParam, list(penalties)).build()
+    grid = ParamGridBuilder().addGrid(base.regParam, penalties).build()
     judge = BinaryClassificationEvaluator(metricName="areaUnderROC")
     return CrossValidator(estimator=base, estimatorParamMaps=grid, evaluator=judge, numFolds=folds, seed=seed, parallelism=4)
 
 
-def gaussian_bayes() -> NaiveBayes:
-    return NaiveBayes(modelType="gaussian")
-
-
-def scaled_svm(penalty: float = 0.01, rounds: int = 100) -> Pipeline:
+def scaled_svm(penalty: float = 0.01, rounds: int = 1_000) -> Pipeline:
     scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True)
     return Pipeline(stages=[scaler, LinearSVC(featuresCol="scaled", regParam=penalty, maxIter=rounds)])
 
@@ -86,42 +72,28 @@ def scores(model, data: DataFrame, name: str) -> DataFrame:
     return scored.select(F.lit(name).alias("model"), "row_id", "block", "label", score_of(scored).alias("score"))
 
 
-def blocks_of(data: DataFrame) -> list[int]:
-    return sorted(r[0] for r in data.filter(F.col("block").isNotNull()).select("block").distinct().collect())
+def grid_scores(table: DataFrame, criteria: Sequence[str], depths: Sequence[int], leaf_sizes: Sequence[int], forest_trees: int | None = None, take: int | None = None) -> DataFrame:
+    """Accuracy and precision per grid point and left-out block of a table of ``forests.binned``.
 
-
-def out_of_block_scores(data: DataFrame, models: Mapping[str, Estimator], parallelism: int = 4) -> DataFrame:
-    """Every row scored by every model fitted on the other blocks; rows without a block by one fitted on
-    all blocks. An action per fit.
-
-    Fits do not depend on each other; ``parallelism`` of them are submitted at a time.
+    Entropy and log loss split alike, so they share their trees; depths share the levels above them.
     """
-    data = cut(data)
-
-    def fitted(task: tuple[int | None, str]) -> DataFrame:
-        block, name = task
-        own = F.col("block").eqNullSafe(F.lit(block))
-        return scores(models[name].fit(data.filter(F.col("block").isNotNull() & ~own)), data.filter(own), name)
-
-    blocks = blocks_of(data) + [None] * data.filter(F.col("block").isNull()).limit(1).count()
-
-    with ThreadPoolExecutor(parallelism) as pool:
-        parts = list(pool.map(fitted, product(blocks, models)))
-    return reduce(DataFrame.unionByName, parts)
-
-
-def grid_scores(data: DataFrame, criteria: Sequence[str], depths: Sequence[int], leaf_sizes: Sequence[int], forest_trees: int | None = None) -> DataFrame:
-    """Accuracy and precision per grid point and left-out block. An action per fit."""
-    grid = {
-        f"{c} - {d} - {s}": random_forest(c, d, s, forest_trees) if forest_trees else decision_tree(c, d, s) for c, d, s in product(criteria, depths, leaf_sizes)
-    }
+    if unknown := set(criteria) - set(CRITERIA):
+        raise ValueError(f"criteria {sorted(unknown)}")
+    grown = dict.fromkeys("entropy" if c == "log_loss" else c for c in criteria)
+    growths = [forests.Growth(c, s, tuple(sorted(depths))) for c in grown for s in leaf_sizes]
     called = F.col("score") > 0.5
     hit = called & (F.col("label") == 1)
-    per_block = out_of_block_scores(data, grid).groupBy(F.col("model").alias("iteration"), F.col("block").alias("test_at"))
-    return per_block.agg(
+    scored = forests.out_of_block(table, growths, forest_trees, take)
+    per_block = scored.groupBy(F.col("model").alias("iteration"), F.col("block").alias("test_at")).agg(
         F.avg((called.cast("double") == F.col("label")).cast("double")).alias("accuracy"),
         F.coalesce(F.try_divide(F.count_if(hit).cast("double"), F.count_if(called)), F.lit(0.0)).alias("precision"),
     )
+    if "log_loss" not in criteria:
+        return per_block
+    named = [c for c in criteria if c in ("entropy", "log_loss")]
+    twice = F.when(F.col("iteration").startswith("entropy"), F.array(*[F.lit(c) for c in named])).otherwise(F.array(F.lit("")))
+    renamed = F.when(F.col("_as") != "", F.concat("_as", F.expr("substring(iteration, 8)"))).otherwise(F.col("iteration"))
+    return per_block.withColumn("_as", F.explode(twice)).withColumn("iteration", renamed).drop("_as")
 
 
 def mean_grid_scores(per_block: DataFrame) -> DataFrame:
@@ -130,7 +102,7 @@ def mean_grid_scores(per_block: DataFrame) -> DataFrame:
 
 
 def fold_of(folds: int, seed: int = 42) -> Column:
-    return F.pmod(F.xxhash64("row_id", F.lit(seed)), F.lit(folds)).cast("int")
+    return F.pmod(F.xxhash64("draw", F.lit(seed)), F.lit(folds)).cast("int")
 
 
 def _calibrator(method: str, held_out: DataFrame):
@@ -150,46 +122,41 @@ def _calibrated(method: str, model, scored: DataFrame) -> DataFrame:
     return model.transform(vector).withColumn("score", F.get(vector_to_array("probability"), 1)).select(*scored.columns)
 
 
-def calibrated_scores(train: DataFrame, test: DataFrame, estimator: Estimator, name: str, method: str = "isotonic", folds: int = 2) -> DataFrame:
-    """Test scores of a calibrated model: per fold, fit on the rest and calibrate on the fold; average.
+def calibrated_bayes(train: DataFrame, test: DataFrame, features: Sequence[str], name: str, method: str = "isotonic", folds: int = 2) -> DataFrame:
+    """Test scores of calibrated naive Bayes: per fold, fit on the rest and calibrate on the fold; average.
 
-    ``method`` is ``isotonic`` or ``sigmoid``. An action per fit.
+    ``method`` is ``isotonic`` or ``sigmoid``. All calibrators are applied to the same test row, one after
+    another. Tables have ``row_id``, ``block``, ``label``, ``draw`` (folds go by it) and the features.
     """
     train = cut(train.withColumn("fold", fold_of(folds)))
-    parts = []
+    out, kept = test, [F.lit(name).alias("model"), "row_id", "block", F.col("label").cast("double").alias("label")]
+    columns = list(out.columns)
     for k in range(folds):
-        base = estimator.fit(train.filter(F.col("fold") != k))
-        held_out = scores(base, train.filter(F.col("fold") == k), name)
-        parts.append(_calibrated(method, _calibrator(method, held_out), scores(base, test, name)))
-    whole = reduce(DataFrame.unionByName, parts)
-    return whole.groupBy("model", "row_id", "block", "label").agg(F.avg("score").alias("score"))
-
-
-def stacked_scores(train: DataFrame, test: DataFrame, bases: Mapping[str, Estimator], final: Estimator, name: str = "stacking", folds: int = 5) -> DataFrame:
-    """Test scores of a stack: a final model on the bases' out-of-fold scores and the features.
-
-    The bases are fitted once per fold for training rows and once on all of them for test rows.
+        base = GaussianBayes.fitted(train.filter(F.col("fold") != k), features, "label")
+        held_out = train.filter(F.col("fold") == k).select(F.col("label").cast("double").alias("label"), base.score().alias("score"))
+        ready = out.select(*columns, *[f"_s{j}" for j in range(k)], base.score().alias("score"))
+        out = _calibrated(method, _calibrator(method, held_out), ready).withColumnRenamed("score", f"_s{k}")
+    mean = sum([F.col(f"_s{k}") for k in range(1, folds)], F.col("_s0")) / folds
+    return out.select(*kept, mean.alias("score"))
+
+
+def stacked_scores(
+    rows: DataFrame, features: Sequence[str], bases: Sequence[forests.Growth], final, name: str = "stacking", folds: int = 5, trees: int = 100, take: int | None = None, bins: int = 32
+) -> DataFrame:
+    """Test scores of a stack of forests: ``final(rows)`` on their out-of-fold scores and the features.
+
+    ``rows`` has ``row_id``, ``block``, ``label``, ``draw``, the features and ``is_test``. Training rows are
+    scored by forests without their fold, test rows by forests grown on all training rows: all of them grow
+    in one go.
     """
-    train = cut(train.withColumn("fold", fold_of(folds)))
-
-    def beside(data: DataFrame, fitted: Mapping) -> DataFrame:
-        # Models are applied one after another to the same rows: no join back.
-        out = data
-        for base, model in fitted.items():
-            kept = [*out.columns, f"_{base}"]
-            scored = model.transform(out)
-            out = scored.withColumn(f"_{base}", score_of(scored)).select(*kept)
-        return out
-
-    parts = []
-    for k in range(folds):
-        rest = train.filter(F.col("fold") != k)
-        parts.append(beside(train.filter(F.col("fold") == k), {b: e.fit(rest) for b, e in bases.items()}))
-    inputs = [*[f"_{b}" for b in bases], "features"]
-    joiner = VectorAssembler(inputCols=inputs, outputCol="stacked")
-
-    def ready(data: DataFrame) -> DataFrame:
-        return joiner.transform(data).select("row_id", "block", "label", F.col("stacked").alias("features"))
-
-    model = final.fit(ready(reduce(DataFrame.unionByName, parts)))
-    return scores(model, ready(beside(test, {b: e.fit(train) for b, e in bases.items()})), name)
+    placed = cut(rows.withColumn("_fold", F.when(~F.col("is_test"), fold_of(folds))))
+    table = forests.binned(placed, features, "row_id", "label", "_fold", bins, F.col("draw"))
+    names = [n for g in bases for n in g.names]
+    scored = forests.out_of_block(table, bases, trees, take).groupBy("row_id").pivot("model", names).agg(F.first("score"))
+    scored = scored.select("row_id", *[F.col(f"`{n}`").alias(f"_base{i}") for i, n in enumerate(names)])
+    inputs = [*[f"_base{i}" for i in range(len(names))], *features]
+    whole = fill_gaps(placed, list(features)).join(scored, "row_id")
+    whole = VectorAssembler(inputCols=inputs, outputCol="features").transform(whole)
+    ready = cut(whole.select("row_id", F.col("block").cast("int").alias("block"), F.col("label").cast("double").alias("label"), "is_test", "features"))
+    train = ready.filter(~F.col("is_test"))
+    return scores(final(train.count()).fit(train), ready.filter("is_test").drop("is_test"), name)

@@ -12,7 +12,6 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -177,34 +176,6 @@ def walk(nodes: Sequence[Node], column: Mapping[str, Column], at_leaf: Callable[
     return down(1)
 
 
-class TreeModel:
-    def __init__(self, nodes: list[Node]):
-        self.nodes = nodes
-
-    def transform(self, data: DataFrame) -> DataFrame:
-        """``data`` with ``prediction``, the rate of the leaf."""
-        wide = data.withColumn("_x", vector_to_array("features"))
-        used = {f for x in self.nodes for f, _, _ in x.conditions}
-        rate = walk(self.nodes, {f: F.get("_x", int(f[1:])) for f in used}, lambda x: F.lit(x.positives / x.n))
-        return wide.withColumn("prediction", rate).drop("_x")
-
-
-@dataclass(frozen=True)
-class TreeEstimator:
-    """A grown tree with the ``fit`` and ``transform`` of a model on ``features``."""
-
-    criterion: str = "log_loss"
-    depth: int = 5
-    leaf_size: int = 100
-    bins: int = 128
-
-    def fit(self, data: DataFrame) -> TreeModel:
-        size = data.select(F.size(vector_to_array("features"))).first()[0]
-        names = [f"x{i}" for i in range(size)]
-        wide = data.withColumn("_x", vector_to_array("features")).select("label", *[F.get("_x", i).alias(n) for i, n in enumerate(names)])
-        return TreeModel(grow(wide, names, "label", (), self.criterion, self.depth, self.leaf_size, self.bins))
-
-
 def pruned(node_table: DataFrame, rows: int = 150, positives: int = 10, path: str = "conditions") -> DataFrame:
     """Nodes of a rule tree with the flags for pruning after training.
 

@@ -7,7 +7,8 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from riskrules.operators import binning, evaluation, matching, mining, models, trees
+from riskrules.operators import binning, evaluation, forests, matching, mining, models, trees
+from riskrules.operators.bayes import GaussianBayes
 from riskrules.operators.matching import Rule
 
 
@@ -266,34 +267,42 @@ def test_pruning_flags(spark):
     }
 
 
-def test_models_find_the_planted_rule(planted):
-    data = models.assembled(planted, ["x", "y", "z"], "id", "label", "block")
-    scored = models.out_of_block_scores(data, {"forest": models.random_forest(depth=5, trees=10), "tree": models.decision_tree(leaf_size=30)})
-    assert scored.groupBy("model").count().filter("count != 6000").count() == 0
-    aucs = {r["model"]: r["auc"] for r in evaluation.auc(scored).collect()}
-    assert min(aucs.values()) > 0.8
-
-
 def test_calibration_brings_scores_to_rates(planted):
-    data = models.assembled(planted, ["x", "y"], "id", "label", "block")
+    data = planted.withColumnRenamed("id", "row_id").withColumn("draw", F.col("row_id"))
     train, test = data.filter("block < 2"), data.filter("block = 2")
-    raw = models.scores(models.gaussian_bayes().fit(train), test, "raw")
+    bayes = GaussianBayes.fitted(train, ["x", "y"], "label")
+    raw = test.select(F.lit("raw").alias("model"), bayes.score().alias("score"), "label")
     brier = {"raw": evaluation.metrics(raw).first()["brier"]}
     for method in ("isotonic", "sigmoid"):
-        scored = models.calibrated_scores(train, test, models.gaussian_bayes(), method, method)
+        scored = models.calibrated_bayes(train, test, ["x", "y"], method, method)
         assert scored.count() == test.count() and scored.filter("score < 0 or score > 1").count() == 0
         brier[method] = evaluation.metrics(scored).first()["brier"]
     assert brier["isotonic"] < brier["raw"] and brier["sigmoid"] < brier["raw"] + 0.01
 
 
-def test_grid_and_stack(planted):
-    data = models.assembled(planted, ["x", "y"], "id", "label", "block")
-    means = models.mean_grid_scores(models.grid_scores(data, ["gini", "log_loss"], [2], [40])).collect()
-    assert [r["iteration"] for r in means] == sorted(r["iteration"] for r in means) or means[0]["accuracy"] >= means[1]["accuracy"]
-    train, test = data.filter("block < 2"), data.filter("block = 2")
-    bases = {"a": models.random_forest(depth=4, trees=5), "b": models.decision_tree(depth=3, leaf_size=50)}
-    stacked = models.stacked_scores(train, test, bases, models.logistic(), folds=2)
-    assert evaluation.auc(stacked).first()["auc"] > 0.8
+def test_bayes_of_one_class_or_gaps(spark):
+    df = spark.createDataFrame([(1.0, 1), (2.0, 1), (None, 0), (3.0, None)], "x double, label int")
+    assert [r[0] for r in df.select(GaussianBayes.fitted(df, ["x"], "label").score()).distinct().collect()] == [1.0]
+    same = spark.createDataFrame([(1.0, 1), (1.0, 0), (1.0, 0)], "x double, label int").withColumn("z", F.rand(1))
+    assert same.select(GaussianBayes.fitted(same, ["x", "z"], "label").score().alias("s")).filter("s BETWEEN 0 AND 1").count() == 3
+    assert all(r[0] == pytest.approx(1 / 3) for r in same.select(GaussianBayes.fitted(same, ["x"], "label").score()).collect())
+
+
+def test_grid(planted):
+    table = forests.binned(planted, ["x", "y"], "id", "label", "block", 64)
+    means = models.mean_grid_scores(models.grid_scores(table, ["gini", "log_loss"], [2, 3], [40])).collect()
+    assert {r["iteration"] for r in means} == {f"{c} - {d} - 40" for c in ("gini", "log_loss") for d in (2, 3)}
+    assert all(a["accuracy"] >= b["accuracy"] for a, b in zip(means, means[1:]))
+    both = models.grid_scores(table, ["entropy", "log_loss"], [2], [40]).collect()
+    by = {(r["iteration"].split()[0], r["test_at"]): (r["accuracy"], r["precision"]) for r in both}
+    assert len(by) == 6 and all(by["entropy", b] == by["log_loss", b] for b in range(3))
+
+
+def test_stack(planted):
+    rows = planted.withColumnRenamed("id", "row_id").withColumns({"draw": F.col("row_id"), "is_test": F.col("block") == 2})
+    bases = [forests.Growth("gini", 5, (6,)), forests.Growth("gini", 50, (4,))]
+    stacked = models.stacked_scores(rows, ["x", "y"], bases, lambda n: models.logistic(), folds=2, trees=5)
+    assert stacked.count() == rows.filter("is_test").count() and evaluation.auc(stacked).first()["auc"] > 0.8
 
 
 def test_auc_with_ties(spark):

@@ -1,46 +1,42 @@
-"""The registered model queries ask for the published grids and model sizes; nothing is fitted here."""
+"""The registered model queries ask for the published grids and model sizes; nothing is grown here."""
 
 from itertools import product
 
 import pytest
 
-from riskrules.operators import models
+from riskrules.operators import forests, models
 from riskrules.plans.catalog import REGISTRY
 
 
-class Seen(Exception):
-    pass
-
-
 def test_whole_grids(spark, folder, monkeypatch):
-    asked = {}
+    asked = []
 
-    def record(data, grid, parallelism=4):
-        asked.update(grid)
-        return spark.createDataFrame([(name, 1, 0, 0.0, 0.0) for name in grid], "model string, row_id long, block int, label double, score double")
+    def record(table, growths, trees=None, take=None, **more):
+        names = [n for g in growths for n in g.names]
+        asked.extend((n, trees) for n in names)
+        return spark.createDataFrame([(n, 1, 0, 0.0, 0.0) for n in names], "model string, row_id long, block int, label double, score double")
 
-    monkeypatch.setattr(models, "out_of_block_scores", record)
+    monkeypatch.setattr(forests, "out_of_block", record)
     found = {r.iteration for r in REGISTRY["grid_scores"](spark, folder).collect()}
-    trees = {f"{c} - {d} - 200" for c, d in product(("gini", "entropy", "log_loss"), (4, 5, 6, 7))}
-    forests = {f"gini - {d} - {s}" for d, s in product((10, 11), (10, 20, 30))}
-    assert found == asked.keys() == trees | forests
-    assert all(asked[f].getNumTrees() == 100 for f in forests)
+    of_trees = {f"{c} - {d} - 200" for c, d in product(("gini", "entropy", "log_loss"), (4, 5, 6, 7))}
+    of_forests = {f"gini - {d} - {s}" for d, s in product((10, 11), (10, 20, 30))}
+    assert found == of_trees | of_forests
+    assert {n for n, trees in asked if trees == 100} == of_forests and {n for n, trees in asked if trees is None} == {n for n in of_trees if "log_loss" not in n}
+
+
+class Seen(Exception):
+    pass
 
 
-def test_sizes_of_forests_and_stack(spark, folder, monkeypatch):
-    seen = []
+def test_size_of_the_stack(spark, folder, monkeypatch):
+    seen = {}
 
-    def stop(*args, **named):
-        seen.append((args, named))
+    def stop(rows, features, bases, final, **named):
+        seen.update(named, bases=bases, final=final)
         raise Seen
 
-    monkeypatch.setattr(models, "out_of_block_scores", stop)
     monkeypatch.setattr(models, "stacked_scores", stop)
-    for name in ("out_of_block_scores", "stacked_forests"):
-        with pytest.raises(Seen):
-            REGISTRY[name](spark, folder)
-    forest = seen[0][0][1]["forest"]
-    assert (forest.getNumTrees(), forest.getMaxDepth(), forest.getMinInstancesPerNode()) == (100, 10, 20)
-    bases = seen[1][0][2].values()
-    assert [(b.getNumTrees(), b.getMaxDepth(), b.getMinInstancesPerNode()) for b in bases] == [(100, 30, 6), (100, 30, 30)]
-    assert seen[1][1]["folds"] == 5
+    with pytest.raises(Seen):
+        REGISTRY["stacked_forests"](spark, folder)
+    assert [(g.leaf_size, g.depths) for g in seen["bases"]] == [(6, (30,)), (30, (30,))]
+    assert seen["folds"] == 5 and seen["trees"] == 100 and seen["final"] is models.tuned_logistic and len(models.STRENGTHS) == 10
