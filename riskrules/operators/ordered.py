@@ -1,22 +1,25 @@
 """Running values along an account's history when one account may hold much of the data.
 
-A window over ``partitionBy(account)`` puts an account into one task. Here a history is cut into
-time slots: rows are ordered inside (keys, slot), slot totals are carried over a small table of
-one row per slot, and the two are put together. The rows are shuffled once.
+A window over ``partitionBy(account)`` puts an account into one task. Here rows are laid in ranges of
+(keys, time, tie) of about equal size, whatever account or minute they belong to: a segmented prefix scan.
+Rows are ordered inside (keys, range), range totals are carried over a small table of one row per key and
+range, and the two are put together.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskrules.functions.timeunits import time_slot
+from riskrules.session import cut
 
 SLOT = "_slot"
-SLOT_MINUTES = 720
+# Ranges per shuffle partition: with several, hashing them to tasks stays even.
+RANGES_PER_PARTITION = 3
 
 
 @dataclass(frozen=True)
@@ -39,6 +42,13 @@ _AGGREGATE = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
 _OVER_SLOTS = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
 
 
+def in_ranges(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """``df`` written in ranges of (keys, order), with the number of a row's range as ``SLOT``. Only rows equal
+    in all of these are bound to share a range. An action."""
+    ranges = RANGES_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return cut(df.repartitionByRange(ranges, *keys, *order).withColumn(SLOT, F.spark_partition_id()))
+
+
 def running(
     df: DataFrame,
     keys: Sequence[str],
@@ -46,9 +56,13 @@ def running(
     measures: Mapping[str, Running],
     slot: Column | None = None,
 ) -> DataFrame:
-    """``df`` with running measures per ``keys`` in the order of ``order`` (its first column a time)."""
+    """``df`` with running measures per ``keys`` in the order of ``order``, an action unless a ``slot`` is given.
+
+    A ``slot`` is a number that grows with the order; without one rows are laid in ranges. Rows with a
+    null key have no history: their sums, minima and maxima are null, their counts 0.
+    """
     keys = list(keys)
-    slotted = df.withColumn(SLOT, time_slot(F.col(order[0]), SLOT_MINUTES) if slot is None else slot)
+    slotted = in_ranges(df, keys, order) if slot is None else df.withColumn(SLOT, slot)
     inside = [*keys, SLOT]
     ahead = [F.col(c) for c in order]
     back = [F.col(c).desc() for c in order]
@@ -68,10 +82,15 @@ def running(
         return _OVER_SLOTS[m.kind](f"_t_{name}").over(frame.rowsBetween(Window.unboundedPreceding, -1))
 
     carry = totals.select(*inside, *[carried(name, m).alias(f"_c_{name}") for name, m in measures.items()])
-    # Equal keys, so that the join uses the partitioning of the window. Rows with a null key have
-    # no account to run over and see only their own slot.
+    # Equal keys, so that the join uses the partitioning of the window.
     joined = rows.join(carry, inside, "left")
-    done = joined.withColumns({name: _COMBINE[m.kind](F.col(f"_c_{name}"), F.col(f"_w_{name}")) for name, m in measures.items()})
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+
+    def both(name: str, m: Running) -> Column:
+        whole = F.when(known, _COMBINE[m.kind](F.col(f"_c_{name}"), F.col(f"_w_{name}")))
+        return F.coalesce(whole, F.lit(0)) if m.kind == "count" else whole
+
+    done = joined.withColumns({name: both(name, m) for name, m in measures.items()})
     return done.drop(SLOT, *[f"_{p}_{name}" for p in "wc" for name in measures])
 
 

@@ -4,49 +4,31 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskrules.operators.ordered import first_per_key, grouped_median
+from riskrules.operators.ordered import Running, first_per_key, grouped_median, running
 
 MICROS_PER_MINUTE = 60_000_000
 # The published window widths in minutes.
 DENSITY_MINUTES = (2, 3, 5, 10, 30, 60, 120)
 
 
-def payment_density(
-    payments: DataFrame, widths: Sequence[int] = DENSITY_MINUTES, key: str = "account_id", time: str = "event_time", slot_minutes: int = 1440
-) -> DataFrame:
-    """Largest number of payments in any window of each width that starts at a payment.
+def payment_density(payments: DataFrame, widths: Sequence[int] = DENSITY_MINUTES, key: str = "account_id", time: str = "event_time") -> DataFrame:
+    """Largest number of payments in any window of each width, ends included.
 
-    The history is cut into slots; rows from the first minutes of a slot are also given to the
-    slot before, as those a window may reach. Inside (key, slot) a window's count is the number of
-    payments up to its end less those before its start, both running counts: an end marker per
-    window takes the place of a scan over the window's rows.
+    Some fullest window ends at a payment. So payments of one instant are counted first, each instant
+    comes in at its time and goes out after the last time a window from it reaches, and a running sum of
+    both is the number of payments in the window that ends there.
     """
-    reach = max(widths) * MICROS_PER_MINUTE
-    slot = slot_minutes * MICROS_PER_MINUTE
-    if reach > slot:
-        raise ValueError("a slot must be at least as long as the widest window")
-    at = payments.select(key, F.unix_micros(F.col(time)).alias("t")).withColumn("s", F.floor(F.col("t") / F.lit(slot)))
-    spare = F.col("t") - F.col("s") * slot <= reach
-    copies = F.when(spare, F.array(F.struct(F.col("s"), F.lit(True).alias("own")), F.struct((F.col("s") - 1).alias("s"), F.lit(False).alias("own"))))
-    own = F.array(F.struct(F.col("s"), F.lit(True).alias("own")))
-    spread = at.select(key, "t", F.inline(F.coalesce(copies, own)))
-
-    inside = Window.partitionBy(key, "s")
-    ranked = spread.withColumn("before", F.rank().over(inside.orderBy("t")) - 1)
-    marks = [F.struct(F.col("t").alias("at"), F.lit(0).alias("is_end"), F.lit(0).alias("width"), F.lit(0).alias("before"))]
-    ends = [
-        F.struct((F.col("t") + w * MICROS_PER_MINUTE).alias("at"), F.lit(1).alias("is_end"), F.lit(w).alias("width"), F.col("before"))
-        for w in widths
-    ]
-    both = F.when(F.col("own"), F.array(*marks, *ends)).otherwise(F.array(*marks))
-    points = ranked.select(key, "s", F.inline(both))
-    # At the same instant payments come before ends, as windows are closed.
-    upto = inside.orderBy("at", "is_end").rowsBetween(Window.unboundedPreceding, 0)
-    counted = points.withColumn("n", F.sum(1 - F.col("is_end")).over(upto) - F.col("before")).filter(F.col("is_end") == 1)
-    return counted.groupBy(key).agg(*[F.max(F.when(F.col("width") == w, F.col("n"))).alias(f"max_num_payments_{w}_minutes") for w in widths])
+    instants = payments.groupBy(key, F.unix_micros(F.col(time)).alias("t")).agg(F.count("*").alias("n"))
+    comes = F.struct(F.col("t").alias("at"), F.lit(0).alias("width"))
+    goes = [F.struct((F.col("t") + w * MICROS_PER_MINUTE).alias("at"), F.lit(w).alias("width")) for w in widths]
+    # At the same instant payments come before others go: their width is 0.
+    points = instants.select(key, "n", F.inline(F.array(comes, *goes)))
+    change = {w: F.when(F.col("width") == 0, F.col("n")).when(F.col("width") == w, -F.col("n")).otherwise(0) for w in widths}
+    inside = running(points, [key], ["at", "width"], {f"_in_{w}": Running("sum", change[w]) for w in widths})
+    return inside.filter("width = 0").groupBy(key).agg(*[F.max(f"_in_{w}").alias(f"max_num_payments_{w}_minutes") for w in widths])
 
 
 def first_amounts(payments: DataFrame, key: str = "account_id", time: str = "event_time", tie: str = "pay_id") -> DataFrame:

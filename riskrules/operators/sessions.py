@@ -1,7 +1,7 @@
 """Wins and losses along a session.
 
-A session is a key (account, session). Its rounds are ordered in time slots as in
-``operators.ordered``, so a session that holds much of the data is spread over its slots.
+A session is a key (account, session). Its rounds are ordered in ranges as in ``operators.ordered``, so a
+session, or a minute of it, that holds much of the data is spread over several.
 """
 
 from __future__ import annotations
@@ -10,11 +10,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskrules.functions.measures import float_ratio
-from riskrules.functions.timeunits import time_slot
-from riskrules.operators.ordered import Running, running
+from riskrules.operators.ordered import SLOT, Running, in_ranges, running
 
 KEYS = ["account_id", "session_id"]
-SLOT_MINUTES = 1440
 
 
 def session_losses(rounds: DataFrame, tie: str = "spin_id") -> DataFrame:
@@ -25,36 +23,42 @@ def session_losses(rounds: DataFrame, tie: str = "spin_id") -> DataFrame:
     """
     net = F.col("win_amount") - F.col("bet_money")
     lost = F.when(net > 0, None).otherwise(F.col("event_time"))
-    base = rounds.withColumns({"net_win": net, "_slot": time_slot(F.col("event_time"), SLOT_MINUTES)})
-    inside = [*KEYS, "_slot"]
     order = ["event_time", tie]
+    base = in_ranges(rounds.withColumn("net_win", net), KEYS, order)
+    inside = [*KEYS, SLOT]
     upto = Window.partitionBy(*inside).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
 
-    # Inside a slot: the last loss, and the winnings split by whether the slot has had a loss yet.
-    # The wins before it count only if an earlier slot had one.
-    local = base.withColumn("_loss", F.max(lost).over(upto))
+    # Inside a range: the last loss, and the winnings split by whether the range has had a loss yet. The
+    # wins before it count only if an earlier range had one, and those at the range's first instant only
+    # if that loss was before this instant.
+    local = base.withColumns({"_loss": F.max(lost).over(upto), "_first": F.min("event_time").over(upto)})
     won = F.when(F.col("_loss").isNull() | (F.col("event_time") > F.col("_loss")), F.col("net_win"))
-    local = local.withColumns({"_after": F.when(F.col("_loss").isNotNull(), won), "_before": F.when(F.col("_loss").isNull(), won)})
+    at_first = F.col("event_time") == F.col("_first")
+    parts = {"_after": F.col("_loss").isNotNull(), "_before": F.col("_loss").isNull() & ~at_first, "_start": F.col("_loss").isNull() & at_first}
+    local = local.withColumns({c: F.when(test, won) for c, test in parts.items()})
 
-    # Slot totals and what the slots before and after add.
+    # Totals of ranges and what the ranges before and after add.
     slots = local.groupBy(*inside).agg(
         F.max("_loss").alias("loss"),
-        *[f(c).alias(f"{n}{c}") for c in ("_after", "_before") for n, f in (("n", F.count), ("s", F.sum))],
+        F.min("event_time").alias("first"),
+        *[f(c).alias(f"{n}{c}") for c in parts for n, f in (("n", F.count), ("s", F.sum))],
         F.sum("net_win").alias("net"),
         F.count("*").alias("rows"),
     )
-    past = Window.partitionBy(*KEYS).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    past = Window.partitionBy(*KEYS).orderBy(SLOT).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*KEYS)
     slots = slots.withColumn("loss_so_far", F.max("loss").over(past))
-    seen = F.col("loss_so_far").isNotNull()
+    seen, seen_before = F.col("loss_so_far").isNotNull(), F.coalesce(F.col("loss_so_far") < F.col("first"), F.lit(False))
 
     def slot_part(n: str):
-        return F.coalesce(f"{n}_after", F.lit(0)) + F.when(seen, F.coalesce(f"{n}_before", F.lit(0))).otherwise(0)
+        earlier = F.when(seen, F.coalesce(f"{n}_before", F.lit(0))).otherwise(0) + F.when(seen_before, F.coalesce(f"{n}_start", F.lit(0))).otherwise(0)
+        return F.coalesce(f"{n}_after", F.lit(0)) + earlier
 
     slots = slots.withColumns({"streak_n": slot_part("n"), "streak_s": slot_part("s")})
     carry = slots.select(
         *inside,
         F.col("loss_so_far"),
+        seen_before.alias("seen_before"),
         *[F.coalesce(F.sum(c).over(past), F.lit(0)).alias(f"{c}_past") for c in ("streak_n", "streak_s", "net", "rows")],
         F.sum("net").over(whole).alias("net_all"),
         F.sum("rows").over(whole).alias("rows_all"),
@@ -65,15 +69,19 @@ def session_losses(rounds: DataFrame, tie: str = "spin_id") -> DataFrame:
 
     local = local.withColumns(
         {
-            **{f"_{n}{c}": inner(how, c) for c in ("_after", "_before") for n, how in (("n", F.count), ("s", F.sum))},
+            **{f"_{n}{c}": inner(how, c) for c in parts for n, how in (("n", F.count), ("s", F.sum))},
             "_net": F.sum("net_win").over(upto),
             "_rows": F.count(F.lit(1)).over(upto),
         }
     )
     joined = local.join(carry, inside, "left")
     earlier = F.col("loss_so_far").isNotNull()
-    size = F.col("streak_n_past") + F.col("_n_after") + F.when(earlier, F.col("_n_before")).otherwise(0)
-    value = F.col("streak_s_past") + F.col("_s_after") + F.when(earlier, F.col("_s_before")).otherwise(0.0)
+
+    def streak(n: str):
+        own = F.when(earlier, F.col(f"_{n}_before")).otherwise(0) + F.when(F.col("seen_before"), F.col(f"_{n}_start")).otherwise(0)
+        return F.col(f"streak_{n}_past") + F.col(f"_{n}_after") + own
+
+    size, value = streak("n"), streak("s")
     rest = F.col("net_all") - F.col("net_past") - F.col("_net")
     is_last = F.col("rows_past") + F.col("_rows") == F.col("rows_all")
     out = joined.select(

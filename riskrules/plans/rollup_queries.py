@@ -521,7 +521,7 @@ SELECT a.account_id, """ + ", ".join(
 ) + """ FROM ev a JOIN ev b ON a.account_id = b.account_id AND b.event_time >= a.event_time GROUP BY 1, 2) a GROUP BY 1
 """)
 def event_density(r):
-    return sequences.payment_density(r.events, (60, 600, 4000), slot_minutes=5760)
+    return sequences.payment_density(r.events, (60, 600, 4000))
 
 
 @query("E18", "H9", oracle=f"""

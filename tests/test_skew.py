@@ -6,7 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from riskrules.operators import joins, sequences
+from riskrules.operators import joins, ordered, sequences, sessions
 from riskrules.plans.catalog import REGISTRY
 
 T0 = dt.datetime(2024, 1, 1)
@@ -52,20 +52,67 @@ def test_a_hot_account_is_split_in_the_join_before_an_aggregate(spark, eager_spl
     assert "skew=true" in final_plan(days)
 
 
-def test_density_of_a_hot_account_is_laid_over_slots(spark, eager_splitting):
-    df = hot_events(spark).select("account_id", "event_time")
-    found = sequences.payment_density(df, (2, 60), slot_minutes=1440)
-    plan = final_plan(found)
-    assert re.search(r"Window .*\[account_id#\d+L, s#\d+L\]", plan)
-    # Every third id, 37 seconds apart modulo the cycle: the hot account has 20000 rows.
-    best = {r["account_id"]: r["max_num_payments_60_minutes"] for r in found.collect()}[0]
-    times = sorted(r[0].timestamp() for r in df.filter("account_id = 0").select("event_time").collect())
-    low, want = 0, 0
-    for high, t in enumerate(times):
-        while t - times[low] > 3600:
-            low += 1
-        want = max(want, high - low + 1)
-    assert best == want
+def hot_hour(spark, rows=60_000):
+    """A third of all rows in one account, one session and one hour, a quarter of those in one instant."""
+    df = hot_events(spark, rows)
+    hot, at = F.col("account_id") == 0, F.when(F.col("id") % 4 == 0, F.lit(0)).otherwise(F.col("id") % 3600)
+    df = df.withColumn("id", F.col("event_id"))
+    time = F.when(hot, F.timestamp_add("SECOND", at.cast("int"), F.lit(T0))).otherwise(F.col("event_time"))
+    return df.withColumns({"event_time": time, "session_id": F.lit(1), "spin_id": F.col("event_id"), "win_amount": F.col("value"), "bet_money": F.lit(50.0)}).drop("id", "noise")
+
+
+def test_ranges_of_a_hot_hour_are_even(spark):
+    placed = ordered.in_ranges(hot_hour(spark), ["account_id", "session_id"], ["event_time", "spin_id"])
+    sizes = [r["count"] for r in placed.groupBy(ordered.SLOT).count().collect()]
+    assert len(sizes) > 8 and max(sizes) <= 2 * sum(sizes) / len(sizes)
+    bounds = placed.groupBy(ordered.SLOT).agg(F.min(F.struct("account_id", "event_time", "spin_id")).alias("a"), F.max(F.struct("account_id", "event_time", "spin_id")).alias("b"))
+    lines = bounds.orderBy(ordered.SLOT).collect()
+    assert all(tuple(p.b) < tuple(q.a) for p, q in zip(lines, lines[1:]))
+
+
+def test_tasks_of_a_hot_hour_are_even(spark, eager_splitting):
+    """Behind the shuffle to (keys, range) no task has more than twice the mean rows."""
+    placed = ordered.in_ranges(hot_hour(spark), ["account_id"], ["event_time", "spin_id"])
+    tasks = [r["count"] for r in placed.repartition(8, "account_id", ordered.SLOT).groupBy(F.spark_partition_id()).count().collect()]
+    assert max(tasks) <= 2 * sum(tasks) / 8
+
+
+def test_losses_of_a_hot_hour(spark):
+    rounds = hot_hour(spark, 6_000)
+    found = {r.spin_id: r for r in sessions.session_losses(rounds).collect()}
+    by = {}
+    for r in sorted(rounds.collect(), key=lambda r: (r.account_id, r.event_time, r.spin_id)):
+        by.setdefault(r.account_id, []).append(r)
+    for history in by.values():
+        loss, size, value = None, 0, 0.0
+        nets = [r.win_amount - r.bet_money for r in history]
+        for i, (r, net) in enumerate(zip(history, nets)):
+            loss = r.event_time if net <= 0 else loss
+            # A win counts once a loss of an earlier time lies before it.
+            if loss is not None and r.event_time > loss:
+                size, value = size + 1, value + net
+            got = found[r.spin_id]
+            assert got.last_loss == loss and got.win_streak_size == size and got.win_streak_value == pytest.approx(value)
+            assert got.subsequent_profit == (None if i == len(nets) - 1 else pytest.approx(sum(nets[i + 1 :]), abs=1e-6))
+
+
+def test_density_of_a_hot_hour(spark):
+    df = hot_hour(spark).select("account_id", "event_time")
+    widths = (2, 60)
+    found = {r["account_id"]: r for r in sequences.payment_density(df, widths).collect()}
+    by = {}
+    for r in df.collect():
+        by.setdefault(r.account_id, []).append(r.event_time.timestamp())
+    assert found.keys() == by.keys()
+    for account, times in by.items():
+        times.sort()
+        for w in widths:
+            low, want = 0, 0
+            for high, t in enumerate(times):
+                while t - times[low] > 60 * w:
+                    low += 1
+                want = max(want, high - low + 1)
+            assert found[account][f"max_num_payments_{w}_minutes"] == want
 
 
 # Tables of one row per rule, score limit or rule set: ordered as a whole by design.
