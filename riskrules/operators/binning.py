@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from riskrules.functions.measures import finite
 from riskrules.operators.ordered import cut_points
-from riskrules.session import small
+from riskrules.operators.quantiles import edge_table, quantile_table
+from riskrules.session import cut, small
 
 Edges = dict[str, list[float]]
 # Rows of a slot that one task orders.
@@ -38,61 +39,53 @@ def exact_quantiles(
 ) -> dict:
     """Quantiles with linear interpolation, exact at any size; an action.
 
-    Returns column -> list of values, or group -> column -> list when ``by`` is given. Infinities and
-    NaN count as unknown; a column or group without known values has an empty list. The way is the
+    Returns column -> list of values, or group -> column -> list when ``by`` is given: for a handful of
+    groups, as they come to the driver (``quantiles.quantile_table`` keeps them as a table).
+    Infinities and NaN count as unknown; a column or group without known values has an empty list. The way is the
     same at every size: (1) cut points from a sample lay every column into slots of at most about
     ``slot_rows`` rows, (2) slot counts and their running sums tell which slots hold the wanted ranks,
     (3) only those slots are ordered, each by itself. The driver gets the slots that hold ranks (at
     most two per group, column and probability) and the values found.
     """
     columns, probabilities = list(columns), list(probabilities)
-    data = _plain(df, columns, [by] if by else [])
     if by:
-        data = data.filter(F.col(by).isNotNull())
-        out = {r[by]: {c: [] for c in columns} for r in data.select(by).distinct().collect()}
-    else:
-        out = {None: {c: [] for c in columns}}
+        out = {r[by]: {c: [] for c in columns} for r in df.filter(F.col(by).isNotNull()).select(by).distinct().collect()}
+        for r in quantile_table(df, columns, probabilities, [by]).collect():
+            out[r[by]][r["column"]] = list(r["values"])
+        return out
+    data, out = _plain(df, columns), {c: [] for c in columns}
     rows = data.count()
     # With more slots than ranks most rows are out after the slot counts.
     slots = min(max(math.ceil(rows / slot_rows), min(8 * len(probabilities), 1024), 2), MAX_SLOTS)
     placed = edge_counts(data, cut_points(data, columns, slots, rows), suffix="_slot")
-    group = F.col(by) if by else F.lit(None).cast("string")
-    long = placed.select(
-        group.alias("g"),
-        F.inline(F.array(*[F.struct(F.lit(c).alias("c"), F.col(f"{c}_slot").alias("s"), F.col(c).alias("v")) for c in columns])),
-    ).filter(F.col("v").isNotNull())
-
-    sizes = long.groupBy("g", "c", "s").agg(F.count("*").alias("n"))
-    before = Window.partitionBy("g", "c").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0))).withColumn("total", F.sum("n").over(Window.partitionBy("g", "c")))
+    long = placed.select(F.inline(F.array(*[F.struct(F.lit(c).alias("c"), F.col(f"{c}_slot").alias("s"), F.col(c).alias("v")) for c in columns]))).filter(F.col("v").isNotNull())
+
+    sizes = long.groupBy("c", "s").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("c").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0))).withColumn("total", F.sum("n").over(Window.partitionBy("c")))
     places = [(F.col("total") - 1) * F.lit(float(p)) for p in probabilities]
     ranks = F.array_sort(F.array_distinct(F.array(*[f(x) for x in places for f in (F.floor, F.ceil)])))
     inside = F.filter(ranks, lambda r: (r >= F.col("start")) & (r < F.col("start") + F.col("n")))
-    wanted = sizes.select("g", "c", "s", "start", "total", inside.alias("ranks")).filter(F.size("ranks") > 0).collect()
-    totals = {(r["g"], r["c"]): r["total"] for r in wanted}
-
-    g_type = long.schema["g"].dataType.simpleString()
-    slots_wanted = df.sparkSession.createDataFrame([tuple(r[k] for k in ("g", "c", "s", "start", "ranks")) for r in wanted], f"g {g_type}, c string, s int, start long, ranks array<long>")
-    slots_wanted = small(slots_wanted, len(wanted), 4 + 2 * len(probabilities))
-    key = ["g", "c", "s"]
-
-    def same(left: DataFrame) -> list[Column]:
-        return [left["g"].eqNullSafe(slots_wanted["g"]), left["c"] == slots_wanted["c"], left["s"] == slots_wanted["s"]]
+    wanted = sizes.select("c", "s", "start", "total", inside.alias("ranks")).filter(F.size("ranks") > 0).collect()
+    totals = {r["c"]: r["total"] for r in wanted}
 
-    near = long.join(slots_wanted, same(long), "left_semi")
+    slots_wanted = df.sparkSession.createDataFrame([tuple(r[k] for k in ("c", "s", "start", "ranks")) for r in wanted], "c string, s int, start long, ranks array<long>")
+    slots_wanted = small(slots_wanted, len(wanted), 3 + 2 * len(probabilities))
+    key = ["c", "s"]
+    near = long.join(slots_wanted, key, "left_semi")
     values = near.groupBy(*key, "v").agg(F.count("*").alias("n"))
     upto = Window.partitionBy(*key).orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     summed = values.withColumn("end", F.sum("n").over(upto))
     first, last = F.col("start") + F.col("end") - F.col("n"), F.col("start") + F.col("end")
-    found = summed.join(slots_wanted, same(summed)).select(summed["g"], summed["c"], "v", F.filter("ranks", lambda r: (r >= first) & (r < last)).alias("hit"))
-    at = {(r["g"], r["c"], r["rank"]): r["v"] for r in found.select("g", "c", "v", F.explode("hit").alias("rank")).collect()}
-    for (g, c), total in totals.items():
-        out[g][c] = [_between(at, g, c, (total - 1) * p) for p in probabilities]
-    return out if by else out[None]
+    found = summed.join(slots_wanted, key).select("c", "v", F.filter("ranks", lambda r: (r >= first) & (r < last)).alias("hit"))
+    at = {(r["c"], r["rank"]): r["v"] for r in found.select("c", "v", F.explode("hit").alias("rank")).collect()}
+    for c, total in totals.items():
+        out[c] = [_between(at, c, (total - 1) * p) for p in probabilities]
+    return out
 
 
-def _between(at: dict, g, c: str, position: float) -> float:
-    low, high = at[g, c, math.floor(position)], at[g, c, math.ceil(position)]
+def _between(at: dict, c: str, position: float) -> float:
+    low, high = at[c, math.floor(position)], at[c, math.ceil(position)]
     return low if low == high else (math.ceil(position) - position) * low + (position - math.floor(position)) * high
 
 
@@ -245,17 +238,16 @@ def time_blocks(df: DataFrame, day: str, blocks: int) -> DataFrame:
 
 
 def codes_by_group(df: DataFrame, columns: Sequence[str], by: str, quantiles: int) -> DataFrame:
-    """Bin numbers from each group's own edges. The edges are few rows, joined back to the data."""
-    edges = quantile_edges(df, columns, quantiles, by=by)
-    rows = [(g, *[es[c] for c in columns]) for g, es in edges.items()]
-    g_type = df.schema[by].dataType.simpleString()
-    schema = ", ".join([f"_g {g_type}", *[f"`_e_{c}` array<double>" for c in columns]])
-    table = df.sparkSession.createDataFrame(rows, schema)
-    joined = df.join(small(table, len(rows), 1 + len(columns) * (quantiles + 1)), df[by] == table["_g"])
+    """Bin numbers from each group's own edges, which are a table of one row per group, joined back to the
+    data. An action for the edges."""
+    edges = edge_table(df, columns, quantiles, [by])
+    wide = edges.groupBy(F.col(by).alias("_g")).agg(F.map_from_entries(F.collect_list(F.struct("column", "edges"))).alias("_e"))  # as many as columns
+    wide = cut(wide)
+    joined = df.join(small(wide, wide.count(), 1 + len(columns) * (quantiles + 1)), df[by] == wide["_g"])
 
     def code(c: str) -> Column:
-        e, v = F.col(f"_e_{c}"), F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+        e, v = F.col("_e")[c], F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
         inner = F.slice(e, 2, F.greatest(F.size(e) - 2, F.lit(0)))
         return F.when(v.isNotNull() & (F.size(e) > 1), F.size(F.filter(inner, lambda x: x < v)))
 
-    return joined.withColumns({f"{c}_code": code(c) for c in columns}).drop("_g")
+    return joined.withColumns({f"{c}_code": code(c) for c in columns}).drop("_g", "_e")

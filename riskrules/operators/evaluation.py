@@ -12,10 +12,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskrules.functions.measures import ratio
-from riskrules.operators.binning import edge_counts, exact_quantiles
+from riskrules.operators.binning import edge_counts
 from riskrules.operators.ordered import Running, running
+from riskrules.operators.quantiles import quantile_table
 from riskrules.session import small
 
+
 def score_slot(score: Column, parts: int = 256) -> Column:
     """Slot of a score, monotone in it: even in log-odds, as rare events crowd scores near zero.
 
@@ -153,9 +155,8 @@ def _at_or_above(scores: DataFrame, limits: DataFrame, count: int) -> DataFrame:
 
 
 def _limits(scores: DataFrame, probabilities: Sequence[float]) -> tuple[DataFrame, int]:
-    found = exact_quantiles(scores, ["score"], probabilities, by="model")
-    rows = [(m, i, float(t)) for m, qs in found.items() for i, t in enumerate(qs["score"])]
-    return scores.sparkSession.createDataFrame(rows, "model string, i int, threshold double"), len(rows)
+    found = quantile_table(scores, ["score"], probabilities, ["model"])
+    return found.select("model", F.posexplode("values").alias("i", "threshold")), found.count() * len(probabilities)
 
 
 def gains(scores: DataFrame, points: int = 51) -> DataFrame:

@@ -15,9 +15,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskrules.functions.measures import ratio
-from riskrules.operators.binning import edge_counts, quantile_edges
+from riskrules.operators.binning import edge_counts
 from riskrules.operators.matching import known_number
-from riskrules.session import small
+from riskrules.operators.quantiles import edge_table
+from riskrules.session import cut, small
 
 Combos = Sequence[tuple[str, ...]]
 
@@ -96,28 +97,25 @@ def rules(
 def rules_by_group(df: DataFrame, features: Sequence[str], by: str, quantiles: int, measures: Mapping[str, Column]) -> DataFrame:
     """One-condition rules per value of ``by``, each group with bins of its own. An action for the edges.
 
-    The groups are few (days of life); their thresholds are a small table joined back to the rows.
+    Edges and thresholds are tables of one row per group and feature, joined back to the rows.
     """
-    edges = quantile_edges(df, features, quantiles, by=by)
-    g_type = df.schema[by].dataType.simpleString()
-    spark = df.sparkSession
+    features = sorted(features)
+    edges = edge_table(df, features, quantiles, [by]).withColumnRenamed("column", "f1")
     items = F.array(*[F.struct(F.lit(f).alias("f1"), known_number(f).alias("_v")) for f in features])
     long = df.select(by, *[m.alias(n) for n, m in measures.items()], F.inline(items)).filter(F.col(by).isNotNull())
 
-    def placed(table: dict, inner: bool) -> DataFrame:
-        rows = [(g, f, ts[1:-1] if inner else ts) for g, fs in table.items() for f, ts in fs.items()]
-        edges_of = small(spark.createDataFrame(rows, f"{by} {g_type}, f1 string, t1 array<double>"), len(rows), quantiles + 3)
+    def placed(table: DataFrame) -> DataFrame:
+        """Rows with ``b1``, the number of the table's ``t1`` below the value."""
         below = F.size(F.filter("t1", lambda t: t < F.col("_v")))
-        return long.join(edges_of, [by, "f1"]).withColumn("b1", F.when(F.col("_v").isNull(), 0).otherwise(below))
-
-    filled: dict = {}
-    for r in placed(edges, inner=True).filter(F.col("_v").isNotNull()).select(by, "f1", "b1").distinct().collect():
-        filled.setdefault(r[by], {}).setdefault(r["f1"], []).append(edges[r[by]][r["f1"]][r["b1"]])
-    thresholds = {g: {f: sorted(ts)[:-1] for f, ts in fs.items() if len(ts) > 1} for g, fs in filled.items()}
-    counted = placed(thresholds, inner=False).groupBy(by, "f1", "b1").agg(*[F.sum(m).alias(m) for m in measures])
-    rows = [(g, f, i, ts) for g, fs in thresholds.items() for i, (f, ts) in enumerate(sorted(fs.items()))]
-    where = spark.createDataFrame(rows, f"{by} {g_type}, f1 string, combo int, t1 array<double>")
-    where = where.withColumn("b1", F.explode(F.sequence(F.lit(0), F.size("t1"))))
+        return long.join(small(table, table.count(), quantiles + 3), [by, "f1"]).withColumn("b1", F.when(F.col("_v").isNull(), 0).otherwise(below))
+
+    inner = edges.select(by, "f1", F.slice("edges", 2, F.greatest(F.size("edges") - 2, F.lit(0))).alias("t1"))
+    filled = placed(inner).filter(F.col("_v").isNotNull()).select(by, "f1", "b1").distinct()
+    lefts = filled.join(edges, [by, "f1"]).groupBy(by, "f1").agg(F.array_sort(F.collect_set(F.get("edges", F.col("b1")))).alias("ts"))  # at most ``quantiles``
+    combo = F.array_position(F.array(*[F.lit(f) for f in features]), F.col("f1")).cast("int").alias("combo")
+    thresholds = cut(lefts.filter(F.size("ts") > 1).select(by, "f1", combo, F.expr("slice(ts, 1, size(ts) - 1)").alias("t1")))
+    counted = placed(thresholds).groupBy(by, "f1", "b1").agg(*[F.sum(m).alias(m) for m in measures])
+    where = thresholds.withColumn("b1", F.explode(F.sequence(F.lit(0), F.size("t1"))))
     full = where.join(counted, [by, "f1", "b1"], "left").na.fill(0, list(measures))
     return _from_cells(full, 1, list(measures), [by])
 
