@@ -11,12 +11,18 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import _parse_datatype_string
 
 from riskrules.functions.measures import fill_gaps
 from riskrules.operators.binning import edge_counts, quantile_edges
+from riskrules.operators.quantiles import edge_table
 from riskrules.session import cut, small
 
 CONDITIONS = "array<struct<feature:string,op:string,threshold:double>>"
@@ -130,6 +136,139 @@ def _one_level_down(rows: DataFrame, by: list[str], splits: list) -> DataFrame:
     return moved.select(*by, "_y", "_b", child.alias("node"))
 
 
+# Rows of a node that one task orders by itself.
+LOCAL_ROWS = 100_000
+_TOLD = "node_id int, conditions {0}, is_leaf boolean, n long, positives long"
+
+
+def _own_edges(values: np.ndarray, bins: int) -> np.ndarray:
+    """Distinct edges of equal-share bins of sorted values, the highest left out."""
+    place = (len(values) - 1) * (np.arange(bins + 1) / bins)
+    low, high = values[np.floor(place).astype(int)], values[np.ceil(place).astype(int)]
+    edges = np.where(low == high, low, (np.ceil(place) - place) * low + (place - np.floor(place)) * high)
+    return np.unique(edges)[:-1]
+
+
+def _rated(criterion: str, n, p):
+    with np.errstate(divide="ignore", invalid="ignore"):
+        if criterion == "gini":
+            return np.where(n > 0, 2 * p * (n - p) / n, 0.0)
+        return sum(np.where(k > 0, -k * np.log(k / n), 0.0) for k in (p, n - p))
+
+
+def _grown_here(x: np.ndarray, y: np.ndarray, features: list[str], root: int, criterion: str, depth: int, leaf_size: int, bins: int) -> list[tuple]:
+    """(node, conditions below the root, is_leaf, n, positives) of a subtree whose rows are all here."""
+    out = []
+
+    def down(rows: np.ndarray, node: int, path: list) -> None:
+        n, p = len(rows), int(y[rows].sum())
+        best = None
+        if node.bit_length() - 1 < depth and n >= 2 * leaf_size and 0 < p < n:
+            for f in range(len(features)):
+                order = rows[x[rows, f].argsort(kind="stable")]
+                values, hits = x[order, f], y[order].cumsum()
+                limits = _own_edges(values, bins)
+                ln = np.searchsorted(values, limits, side="right")
+                lp = hits[ln - 1]
+                gain = np.round(_rated(criterion, float(n), float(p)) - _rated(criterion, ln, lp) - _rated(criterion, n - ln, p - lp), 9)
+                gain = np.where((ln >= leaf_size) & (n - ln >= leaf_size), gain, 0.0)
+                if len(gain) and gain.max() > (best[0] if best else 0.0):
+                    best = gain.max(), f, float(limits[gain.argmax()])
+        out.append((node, path, best is None, n, p))
+        if best:
+            _, f, limit = best
+            low = x[rows, f] <= limit
+            for child, part, op in ((2 * node, rows[low], "<="), (2 * node + 1, rows[~low], ">")):
+                down(part, child, [*path, {"feature": features[f], "op": op, "threshold": limit}])
+
+    down(np.arange(len(y)), root, [])
+    return out
+
+
+def by_segment(
+    df: DataFrame, features: Sequence[str], label: str, by: Sequence[str], criterion: str = "log_loss", depth: int = 7, leaf_size: int = 100, bins: int = 128, local_rows: int = LOCAL_ROWS
+) -> DataFrame:
+    """The trees of all segments as a table: (*by, node_id, conditions, is_leaf, n, positives, rate). An action.
+
+    Every node tries the quantile edges of its own rows, so a segment finds its own thresholds, and finer
+    ones the smaller a node is. Large nodes are split by grouped counts, level by level, each level written;
+    a node of at most ``local_rows`` rows is grown to the end by one task, by the same rules. Unknown
+    values count as 0, segments with a null key are left out, ties go to the earlier feature and the lower
+    threshold. Nothing comes to the driver.
+    """
+    features, by = list(features), list(by)
+    known = df.select(*by, *[F.col(f).cast("double").alias(f) for f in features], F.col(label).cast("int").alias("_y"))
+    for k in by:
+        known = known.filter(F.col(k).isNotNull())
+    at = [*by, "node"]
+    none = F.expr(f"CAST(array() AS {CONDITIONS})")
+    rows = cut(fill_gaps(known, features).withColumn("node", F.lit(1)))
+    paths = rows.select(*by).distinct().select(*by, F.lit(1).alias("node"), none.alias("path"))
+    small_rows, small_paths, told = [], [], []
+    for level in range(depth + 1):
+        sizes = cut(rows.groupBy(*at).agg(F.count("*").alias("n"), F.sum("_y").alias("p")))
+        large = sizes.filter(F.col("n") > local_rows) if level < depth else sizes.limit(0)
+        nodes = large.count()
+        if not nodes:
+            break
+        keys = large.select(*at)
+        small_rows.append(rows.join(small(keys, nodes, len(at)), at, "left_anti"))
+        small_paths.append(paths.join(keys, at, "left_anti"))
+        rows, paths, ended = _large_split(rows.join(small(keys, nodes, len(at)), at, "left_semi"), paths.join(keys, at, "left_semi"), large, nodes, features, at, CRITERIA[criterion], leaf_size, bins)
+        told.append(ended)
+    small_rows.append(rows)
+    small_paths.append(paths)
+    here = reduce(DataFrame.unionByName, small_rows)
+    root_paths = reduce(DataFrame.unionByName, small_paths)
+
+    schema = ", ".join([*(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in by), "node int", _TOLD.format(CONDITIONS)])
+    arrow = to_arrow_schema(_parse_datatype_string(schema))
+
+    def grow_here(group: pa.Table) -> pa.Table:
+        first = group.slice(0, 1)
+        x = np.stack([group.column(f).to_numpy() for f in features], axis=1)
+        found = _grown_here(x, group.column("_y").to_numpy().astype(np.int64), features, first.column("node")[0].as_py(), criterion, depth, leaf_size, bins)
+        same = {k: [first.column(k)[0].as_py()] * len(found) for k in at}
+        return pa.table({**same, **dict(zip(("node_id", "conditions", "is_leaf", "n", "positives"), map(list, zip(*found))))}, schema=arrow)
+
+    local = here.groupBy(*at).applyInArrow(grow_here, schema)
+    whole = local.join(root_paths, at).select(*by, "node_id", F.concat("path", "conditions").alias("conditions"), "is_leaf", "n", "positives")
+    return cut(reduce(DataFrame.unionByName, [whole, *told]).withColumn("rate", F.col("positives") / F.col("n")))
+
+
+def _large_split(rows, paths, large, nodes: int, features: list[str], at: list[str], impurity, leaf_size: int, bins: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """One level of large nodes: (rows in their children, the children's paths, the nodes themselves)."""
+    edges = edge_table(rows, features, bins, at)
+    wide = cut(edges.groupBy(*at).agg(F.map_from_entries(F.collect_list(F.struct("column", "edges"))).alias("_e")))  # as many as features
+    placed = rows.join(small(wide, nodes, len(features) * (bins + 1)), at)
+
+    def below(f: str) -> Column:
+        return F.size(F.filter(F.col("_e")[f], lambda t: t < F.col(f)))
+
+    items = [F.struct(F.lit(i).alias("f"), F.least(below(f), F.size(F.col("_e")[f]) - 1).alias("bucket")) for i, f in enumerate(features)]
+    cells = placed.select(*at, "_y", F.inline(F.array(*items))).groupBy(*at, "f", "bucket").agg(F.count("*").alias("cn"), F.sum("_y").alias("cp"))
+    upto = Window.partitionBy(*at, "f").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
+    options = cells.select(*at, "f", "bucket", F.sum("cn").over(upto).alias("ln"), F.sum("cp").over(upto).alias("lp")).join(large, at)
+    ln, lp, n, p = (F.col(c) for c in ("ln", "lp", "n", "p"))
+    gain = F.round(impurity(n, p) - impurity(ln, lp) - impurity(n - ln, p - lp), 9)
+    rated = options.filter((ln >= leaf_size) & (n - ln >= leaf_size)).withColumn("gain", gain).filter("gain > 0")
+    best = F.max_by(F.struct("f", "bucket"), F.struct(F.col("gain"), -F.col("f"), -F.col("bucket")))
+    names = F.array(*[F.lit(f) for f in features])
+    splits = rated.groupBy(*at).agg(best.alias("s")).join(wide, at)
+    feature = F.get(names, F.col("s.f"))
+    splits = cut(splits.select(*at, "s.f", feature.alias("feature"), F.get(F.element_at("_e", feature), F.col("s.bucket")).alias("threshold")))
+
+    children = splits.select(*at, "feature", "threshold", F.inline(F.array(F.struct(F.lit("<=").alias("op"), F.lit(0).alias("side")), F.struct(F.lit(">").alias("op"), F.lit(1).alias("side")))))
+    condition = F.array(F.struct("feature", "op", "threshold"))
+    deeper = paths.join(children, at).select(*at[:-1], (F.col("node") * 2 + F.col("side")).alias("node"), F.concat("path", condition).alias("path"))
+    told = paths.join(large, at).join(splits.select(*at, F.lit(False).alias("is_leaf")), at, "left")
+    told = told.select(*at[:-1], F.col("node").alias("node_id"), F.col("path").alias("conditions"), F.coalesce("is_leaf", F.lit(True)).alias("is_leaf"), "n", F.col("p").alias("positives"))
+    moved = rows.join(small(splits, nodes, len(at) + 3), at)
+    value = F.get(F.array(*features), F.col("f"))
+    child = (F.col("node") * 2 + (value > F.col("threshold")).cast("int")).alias("node")
+    return cut(moved.select(*at[:-1], *features, "_y", child)), cut(deeper), cut(told)
+
+
 def node_table(df: DataFrame, nodes: Sequence[Node], by: Sequence[str] = ()) -> DataFrame:
     """Nodes as a rule table: group columns, node id, conditions, is_leaf, n, positives, rate."""
     types = [f"`{k}` {df.schema[k].dataType.simpleString()}" for k in by]

@@ -56,8 +56,33 @@ def first_split_by_day(r):
 
 @query("L1", "L2")
 def tree_rules_by_day(r):
-    found = trees.leaf_rules(items(r), FEATURES, "label", by=["l_linestatus", "l_linenumber"], depth=5, leaf_size=100)
-    return trees.rule_columns(found, 5)
+    found = trees.by_segment(items(r), FEATURES, "label", by=["l_linestatus", "l_linenumber"], depth=5, leaf_size=100)
+    return trees.rule_columns(found.filter("is_leaf").drop("is_leaf"), 5)
+
+
+def _segment_trees_sql(depth: int, leaf: int, bins: int) -> str:
+    """Trees of all segments by brute force, every node with the quantile edges of its own rows."""
+    shares = "[" + ", ".join(f"{i / bins!r}e0" for i in range(bins + 1)) + "]"
+    value = "CASE f " + " ".join(f"WHEN {i} THEN {c}" for i, c in enumerate(FEATURES)) + " END"
+    left, right, whole = (_ENTROPY.format(n=n, p=p) for n, p in (("ln", "lp"), ("(an - ln)", "(ap - lp)"), ("an", "ap")))
+    names = "CASE f " + " ".join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(FEATURES)) + " END"
+    out = f", n0 AS MATERIALIZED (SELECT l_linestatus AS u, {', '.join(FEATURES)}, label, 1 AS node, '' AS path FROM its)"
+    for d in range(depth):
+        out += f""", v{d} AS (SELECT u, node, f, {value} AS v, label FROM n{d}, (SELECT unnest(range({len(FEATURES)})) AS f) WHERE node >= {2**d}),
+e{d} AS (SELECT u, node, f, list_sort(list_distinct(quantile_cont(v, {shares}))) AS es, count(*) AS an, sum(label) AS ap FROM v{d} GROUP BY ALL),
+t{d} AS (SELECT u, node, f, unnest(es[1:len(es) - 1]) AS t, an, ap FROM e{d}), h{d} AS (SELECT u, node, f, v, count(*) AS n, sum(label) AS p FROM v{d} GROUP BY ALL),
+c{d} AS (SELECT t.u, t.node, t.f, t, an, ap, sum(n) AS ln, sum(p) AS lp FROM t{d} t JOIN h{d} h ON t.u = h.u AND t.node = h.node AND t.f = h.f AND h.v <= t.t GROUP BY ALL),
+s{d} AS (SELECT u, node, f, t FROM (SELECT *, round({whole} - {left} - {right}, 9) AS g FROM c{d} WHERE ln >= {leaf} AND an - ln >= {leaf}) WHERE g > 0 QUALIFY row_number() OVER (PARTITION BY u, node ORDER BY g DESC, f, t) = 1),
+n{d + 1} AS MATERIALIZED (SELECT n.* EXCLUDE (node, path), CASE WHEN f IS NULL THEN n.node WHEN {value} <= t THEN 2 * n.node ELSE 2 * n.node + 1 END AS node,
+  CASE WHEN f IS NULL THEN path ELSE path || '; ' || {names} || CASE WHEN {value} <= t THEN ' <= ' ELSE ' > ' END || printf('%.3f', t) END AS path FROM n{d} n LEFT JOIN s{d} s ON n.u = s.u AND n.node = s.node)"""
+    return f",{LABELLED}{out} SELECT u AS l_linestatus, CAST(node AS INTEGER) AS node_id, substr(path, 3) AS rule, count(*) AS n, CAST(sum(label) AS BIGINT) AS positives FROM n{depth} GROUP BY ALL"
+
+
+@query("L1", "L2", oracle=_segment_trees_sql(2, 150, 128))
+def tree_rules_by_segment(r):
+    found = trees.by_segment(items(r), FEATURES, "label", by=["l_linestatus"], depth=2, leaf_size=150, local_rows=20_000)
+    texts = F.transform("conditions", lambda c: F.concat_ws(" ", c["feature"], c["op"], F.format_string("%.3f", c["threshold"])))
+    return found.filter("is_leaf").select("l_linestatus", "node_id", F.concat_ws("; ", texts).alias("rule"), "n", "positives")
 
 
 @query("L3", "L4")
