@@ -17,6 +17,7 @@ from array import array
 from riskrules.llm.common import Remembered
 
 _RUNS = re.compile(r"[^\W\d_]+|[\W\d_]+")
+_CLOSING = b".,;:!?)"  # marks that close a word, and are a piece of their own
 
 
 def _byte_letters() -> dict[int, int]:
@@ -43,6 +44,8 @@ class Encoder:
         # Both hold for lower-casing byte-level tokenizers with letter runs as words; else all goes the long way.
         probe = "Zürich straße façade the"
         self.short = self.tokenizer.encode(probe, add_special_tokens=False).ids == [i for w in probe.lower().split() for i in self._merged(w)]
+        closed = [self.tokenizer.encode(f"word{a}{_CLOSING.decode()}", add_special_tokens=False).ids for a in ("", " ")]
+        self.short = self.short and closed[0] == closed[1]
 
     def _merged(self, word: str) -> list[int]:
         if not word.isascii():
@@ -65,10 +68,17 @@ class Encoder:
 
     def one(self, data: bytes) -> bytes:
         """The ids of one blank-free chunk, worked out anew."""
+        if self.short and data.isascii():
+            if data.isalpha():
+                return self._bytes(self._merged(data.decode().lower()))
+            word = data.rstrip(_CLOSING)
+            if word.isalpha():
+                return self.chunks[word] + self.chunks[data[len(word) :]]
         text = data.decode()
         if text.isalpha():
             return self._piece(text)
-        if not self.short or "'" in text or not unicodedata.is_normalized("NFC", text) or any(s in text for s in self.special):
+        # The lower case of a dotted capital I ends in a mark, which may join what follows.
+        if not self.short or "'" in text or "\u0130" in text or not unicodedata.is_normalized("NFC", text) or any(s in text for s in self.special):
             return self._piece(text)
         runs = _RUNS.findall(text)
         return b"".join([self.chunks[r.encode()] for r in runs]) if len(runs) > 1 else self._piece(text)
