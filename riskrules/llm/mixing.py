@@ -95,9 +95,9 @@ def plan(rows: DataFrame, goals: DataFrame, epochs: int = MOST_EPOCHS) -> DataFr
     return cut(state.join(extra, "source_key", "left").select("source_key", "source_size", "target", "whole", "last", "extra"))
 
 
-def repeats() -> Column:
+def repeats(epochs: int) -> Column:
     more = (F.col("draw") <= F.coalesce("last", F.lit(-1))) | F.coalesce(F.col("draw") == F.col("extra"), F.lit(False))
-    return F.col("whole") + more.cast("long")
+    return F.least(F.col("whole") + more.cast("long"), F.lit(epochs).cast("long"))  # texts without words fit into any rest
 
 
 def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[float, ...] = WEIGHTS, epochs: int = MOST_EPOCHS, seed: int = SEED) -> DataFrame:
@@ -109,15 +109,16 @@ def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str
     rows = cut(measured(docs, key, text, source, seed))
     chosen = plan(rows, targets(rows, weights, epochs), epochs)
     out = rows.join(chosen, "source_key")
-    return out.select("doc_id", "size", "source_size", "target", (F.col("size") * repeats()).alias("taken"))
+    return out.select("doc_id", "size", "source_size", "target", (F.col("size") * repeats(epochs)).alias("taken"))
 
 
 def repeated(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[float, ...] = WEIGHTS, epochs: int = MOST_EPOCHS, seed: int = SEED) -> DataFrame:
-    """The rows of ``docs`` as often as the mix takes them, with all their columns; a source without
-    words is left as it is."""
+    """The rows of ``docs`` as often as the mix takes them, with all their columns, at most
+    ``epochs`` times each; a source without words is left as it is. Null ids, repeated rows and texts
+    without words are drawn like others; an empty table stays empty."""
     rows = cut(measured(docs, key, text, source, seed))
     chosen = plan(rows, targets(rows, weights, epochs), epochs)
     whole_row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     marked = docs.select(whole_row, _source(source).alias("source_key"), _draw(key, source, seed).alias("draw"))
-    times = F.when(F.col("source_size") == 0, F.lit(1)).otherwise(repeats()).cast("int")
+    times = F.when(F.col("source_size") == 0, F.lit(1)).otherwise(repeats(epochs)).cast("int")
     return marked.join(chosen, "source_key").select("row", F.explode(F.array_repeat(F.lit(0), times))).select("row.*")

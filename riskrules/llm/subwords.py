@@ -74,7 +74,7 @@ class Encoder:
             word = data.rstrip(_CLOSING)
             if word.isalpha():
                 return self.chunks[word] + self.chunks[data[len(word) :]]
-        text = data.decode()
+        text = data.decode(errors="replace")  # bytes that are not UTF-8 become the replacement mark
         if text.isalpha():
             return self._piece(text)
         # The lower case of a dotted capital I ends in a mark, which may join what follows.

@@ -112,13 +112,14 @@ def counter(path: str) -> Counter:
 def counted(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_tokens, score) of every row: tokens and score of the best segmentation of the whole text.
 
-    A null or empty text has no tokens and score 0. Repeated rows are counted each; ids may be null.
+    A null or empty text has no tokens and score 0. Repeated rows are counted each; ids may be null;
+    bytes that are not UTF-8 count as the replacement mark.
     """
 
     def work(batches) -> Iterator[dict]:
         count = counter(path).count
         for ids, texts in batches:
-            found = [count(t.decode()) for t in texts]
+            found = [count(t.decode(errors="replace")) for t in texts]
             yield {"doc_id": ids, "n_tokens": np.array([c for _, c in found], np.int64), "score": np.array([s for s, _ in found])}
 
     return per_text(keyed_texts(docs, key, text), work, "doc_id long, n_tokens long, score double")

@@ -1,8 +1,9 @@
 """Url verdicts: allow and block rules by host and path, then a weighted vocabulary of url terms.
 
 One Aho-Corasick automaton counts the terms of a url, with word boundaries on both sides (neither
-neighbour is an ASCII letter or digit). A strict term weighs the whole limit, a soft one half of it; a
-url is rejected once its distinct terms reach the limit, so by one strict or two different soft terms.
+neighbour is an ASCII letter or digit). A term is one or more forms, ``bet|bets``, that count as one. A
+strict term weighs the whole limit, a soft one half of it; a url is rejected once its distinct terms reach
+the limit, so by one strict or two different soft terms. The lists are parameters.
 """
 
 from __future__ import annotations
@@ -22,8 +23,11 @@ RULES = (
     ("block", "net/es/"),
     ("block", "net/fr/"),
 )
-STRICT = ("porn", "xxx", "viagra", "casino", "adult", "escort", "spam")
-SOFT = ("free", "bet", "bets", "win", "cheap", "pills", "farm", "poker", "dating", "loan", "loans", "bonus", "jackpot", "hot", "click")
+STRICT = ("porn|porno", "xxx", "viagra", "casino|casinos", "escort|escorts", "spam")
+SOFT = (
+    "adult|adults", "free", "bet|bets|betting", "win|wins|winner|winners", "cheap|cheapest", "pill|pills", "farm|farms", "poker", "dating", "loan|loans", "bonus|bonuses",
+    "jackpot|jackpots", "hot|hottest", "click|clicks",
+)
 LIMIT = 2
 
 
@@ -67,14 +71,15 @@ class Terms:
         self.limit, self.weights = limit, {**dict.fromkeys(soft, 1), **dict.fromkeys(strict, limit)}
         self.automaton = ahocorasick.Automaton()
         for term in self.weights:
-            self.automaton.add_word(term, term)
+            for form in term.split("|"):
+                self.automaton.add_word(form, (term, len(form)))
         self.automaton.make_automaton()
 
     def met(self, url: str) -> set[str]:
         url = lowered(url)
         found = set()
-        for end, term in self.automaton.iter(url):
-            around = url[end - len(term) : end - len(term) + 1] if end >= len(term) else "", url[end + 1 : end + 2]
+        for end, (term, size) in self.automaton.iter(url):
+            around = url[end - size : end - size + 1] if end >= size else "", url[end + 1 : end + 2]
             if not any(c.isascii() and c.isalnum() for c in around):
                 found.add(term)
         return found
@@ -86,7 +91,7 @@ def judged(
     """(page_id, host, path, rule, verdict, n_strict, n_soft) of every row.
 
     Without a fitting rule the vocabulary decides. A null url or one without ``://`` has empty host and
-    path; a null url meets no term and is allowed. Of rules of one length a block wins. Repeated rows are
+    path; a null url meets no term and is allowed. Bytes that are not UTF-8 count as the replacement mark. Of rules of one length a block wins. Repeated rows are
     judged each; ids may be null.
     """
     urls = pages.select(F.col(key).cast("long").alias("doc_id"), F.col(url).cast("binary").alias("text"))
@@ -97,7 +102,7 @@ def judged(
         for ids, texts in batches:
             out: dict[str, list] = {n: [] for n in ("page_id", "host", "path", "rule", "verdict", "n_strict", "n_soft")}
             for i, data in zip(ids, texts):
-                text = data.decode()
+                text = data.decode(errors="replace")
                 host, path = parts(text)
                 rule, met = table.best(host, path), terms.met(text)
                 own = "block" if sum(terms.weights[t] for t in met) >= limit else "allow"
@@ -114,7 +119,7 @@ _A, _Z = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 def oracle() -> str:
     """The same in SQL over ``pages``."""
     low = lambda e: f"translate({e}, '{_A}', '{_Z}')"
-    met = lambda t: f"CAST(regexp_matches({low('u')}, '(^|[^a-z0-9]){t}($|[^a-z0-9])') AS BIGINT)"
+    met = lambda t: f"CAST(regexp_matches({low('u')}, '(^|[^a-z0-9])({t})($|[^a-z0-9])') AS BIGINT)"
     rules = ", ".join(f"('{v}', '{r}', '{r.partition('/')[0]}', '/{r.partition('/')[2]}')" for v, r in RULES)
     return f"""
 WITH p AS (SELECT row_number() OVER () AS n, page_id, coalesce(url, '') AS u FROM pages),

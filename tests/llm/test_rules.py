@@ -14,6 +14,7 @@ URLS = [
     None, "", "no scheme", "http://", "HTTP://A.Example.COM/en/x?y#z", "x://example.com", "x://example.com?/en/", "x://www.example.com/en/1", "x://a.www.example.com/en/", "x://notexample.com/en/",
     "x://example.com/en", "x://net/es/", "x://a.net/fr/x", "x://a.net/de/x", "x://b.org/free-bet", "x://b.org/freebet", "x://b.org/free/free", "x://b.org/xxx", "x://b.org/xxxx", "porn no scheme",
     "x://b.org/a?q=cheap#pills", "x://É.org/écasino", "a://b://c.net/es/", "x://:80/en/", "x://user@b.com:8/x", "x://b.org/" + "free " * 20_000, "x://CASINO.org", "x://.com/", "x://com/", "x://b.org/win_bonus",
+    "http://bank.com.org/loan/loans", "x://b.org/bets-betting", "x://b.org/adult-education", "x://b.org/adults/cheap", "x://b.org/porno",
 ]
 
 
@@ -25,6 +26,18 @@ def test_urls(spark):
     assert url_filter.judged(pages.limit(0)).count() == 0
 
 
+def test_forms_count_once():
+    terms = url_filter.Terms(url_filter.STRICT, url_filter.SOFT, url_filter.LIMIT)
+    weigh = lambda url: sum(terms.weights[t] for t in terms.met(url))
+    assert weigh("http://bank.com/loan/loans") == 1 and weigh("x://a/adult-education") == 1 and weigh("x://a/bet/win") == 2 and weigh("x://a/casinos") == 2
+
+
+def test_broken_url_is_defined(spark):
+    prepared(spark)
+    (found,) = url_filter.judged(spark.sql("SELECT 1L AS page_id, CAST(x'783A2F2FFF2E636F6D2F' AS string) AS url")).collect()
+    assert (found.rule, found.verdict) == ("com/", "allow")
+
+
 def test_longest_rule_wins():
     rules = url_filter.Rules([("allow", "com/"), ("block", "a.com/x/"), ("allow", "a.com/x/y"), ("block", "b.a.com/")])
     assert rules.best("a.com", "/x/yz") == ("a.com/x/y", "allow") and rules.best("b.a.com", "/x/") == ("b.a.com/", "block")
@@ -101,6 +114,15 @@ def test_mix_of_little(docs_of):
     assert [r.taken for r in mixing.mixed(blank).collect()] == [0, 0] and mixing.repeated(blank).count() == 2
 
 
+def test_no_text_comes_too_often(docs_of):
+    """Sources at their cap: texts without words come no more often than others."""
+    rows = [(i, "", "en", "a", 0) for i in range(40)] + [(100 + i, "w x", "en", "a", 0) for i in range(3)] + [(200 + i, "w " * 50, "en", "b", 0) for i in range(60)]
+    times = defaultdict(int)
+    for r in mixing.repeated(docs_of(rows)).collect():
+        times[r.doc_id] += 1
+    assert max(times.values()) <= 3
+
+
 def test_mix_is_native(spark, folder):
     for df in (mixing.mixed(table(spark, folder, "documents")), licenses.scanned(table(spark, folder, "documents"))):
         plan = df._jdf.queryExecution().toString()

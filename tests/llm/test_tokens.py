@@ -1,5 +1,6 @@
 """Token files as an exact round trip, token counts against the tokenizer library."""
 
+import random
 import zlib
 
 import numpy as np
@@ -8,7 +9,7 @@ import pytest
 from tokenizers import Tokenizer, models
 
 from riskrules.llm import token_counts, token_files
-from riskrules.llm.common import table
+from riskrules.llm.common import prepared, table
 from riskrules.llm.subwords import Encoder
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -97,3 +98,23 @@ def test_ties_and_unknowns(bytes_known):
 def text_of(found, i):
     begin, end = found.offsets[i]
     return found.tokens[i] if found.ids[i] else "é" * (end - begin)
+
+
+def test_broken_texts_are_defined(spark):
+    """Bytes that are not UTF-8 count as the replacement mark."""
+    prepared(spark)
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoder = Encoder(path)
+    whole = encoder.tokenizer.encode("a\ufffdb word", add_special_tokens=False).ids
+    assert np.frombuffer(encoder.encode(b"a\xffb word"), encoder.kind).tolist() == whole
+    docs = spark.sql("SELECT 1L AS doc_id, CAST(x'41FF42' AS string) AS text")
+    assert token_counts.counted(docs, public_tokenizers.path("piece_bpe_32k.model")).first().n_tokens > 0
+
+
+def test_ids_of_mixed_marks():
+    """Marks, capitals that lower to two letters and special strings in any order."""
+    encoder, rng = Encoder(public_tokenizers.path("word_bpe_49k.json")), random.Random(1)
+    parts = ["a", "B", "the", " ", ".", ",", "!", "'", "'s", "é", "e\u0301", "\u0301", "1", "_", "\n", "(", ")", "...", ";", "\u00a0", "🎉", "İ", "<|endoftext|>", "don't", "-"]
+    for _ in range(3000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 14)))
+        assert np.frombuffer(encoder.encode(text.encode()), encoder.kind).tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids, text
