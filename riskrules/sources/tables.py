@@ -95,8 +95,8 @@ def _decoded(spark: SparkSession, path: str, schema: str | None) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """CSV with a header, one file per partition."""
-    df.write.mode(mode).csv(path, header=True)
+    """CSV with a header, one file per partition; quotes are doubled, as ``csv_extract`` reads them."""
+    df.write.mode(mode).csv(path, header=True, quote='"', escape='"')
 
 
 def write_events(events: DataFrame, path: str, mode: str = "errorifexists") -> None:

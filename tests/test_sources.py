@@ -16,6 +16,13 @@ def test_csv_round_trip_with_list_columns(spark, tmp_path):
     assert parsed == {1: [1.5, None, 3.0], 2: []}
 
 
+def test_csv_keeps_quotes_and_commas(spark, tmp_path):
+    rows = [(1, '{"k": 1, "t": "a,b"}'), (2, 'say "x"'), (3, "back\\slash"), (4, None)]
+    path = str(tmp_path / "out")
+    tables.write_csv(spark.createDataFrame(rows, "id long, props string"), path)
+    assert sorted(map(tuple, tables.csv_extract(spark, path, "id long, props string").collect())) == rows
+
+
 def test_extracts_by_name(spark):
     a = spark.createDataFrame([(1, 2.0)], "id int, x double")
     b = spark.createDataFrame([(3.0, 4, "z")], "x double, id int, extra string")
