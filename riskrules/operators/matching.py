@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskrules.functions.measures import ratio, rounded
+from riskrules.operators import ordered
 from riskrules.operators.binning import edge_counts
 from riskrules.session import small
 
@@ -269,21 +270,21 @@ def check(df: DataFrame, predicate: Column, label: str) -> DataFrame:
 def coverage(rule_table: DataFrame, order: Sequence[Column], n: str = "n", positives: str = "positives") -> DataFrame:
     """Share of rows and positives per rule and running down the list.
 
-    Shares are of the rules' own totals, as rules may overlap. Rule tables are small; the order
-    must be complete.
+    Shares are of the rules' own totals, as rules may overlap. The order must be complete. An action.
     """
-    upto = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     totals = rule_table.agg(F.sum(n).alias("n"), F.sum(positives).alias("p"))
     all_n, all_p = totals.select("n").scalar(), totals.select("p").scalar()
     rows, hits = F.coalesce(n, F.lit(0)), F.col(positives)
-    return rule_table.withColumns(
+    upto = ordered.running_over_all(rule_table, order, {"_rows_upto": rows, "_hits_upto": hits})
+    shares = upto.withColumns(
         {
             "payers_covered": ratio(rows, all_n),
-            "payers_covered_to_point": rounded(ratio(F.sum(rows).over(upto), all_n), 4),
+            "payers_covered_to_point": rounded(ratio(F.col("_rows_upto"), all_n), 4),
             "disputes_covered": rounded(ratio(hits, all_p), 5),
-            "disputes_covered_to_point": rounded(ratio(F.sum(hits).over(upto), all_p), 3),
+            "disputes_covered_to_point": rounded(ratio(F.col("_hits_upto"), all_p), 3),
         }
     )
+    return shares.drop("_rows_upto", "_hits_upto")
 
 
 def best_per_group(rule_table: DataFrame, group: str, order: Sequence[Column], count: int = 3) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskrules.functions.measures import ratio
+from riskrules.operators import ordered
 from riskrules.operators.binning import edge_counts
 from riskrules.operators.matching import known_number
 from riskrules.operators.quantiles import edge_table
@@ -273,6 +274,6 @@ def grid_matrix(long: DataFrame, thresholds: Sequence[float], value: str = "rate
 def every_nth_value(found: DataFrame, column: str, step: int = 3) -> DataFrame:
     """Rows whose value is the first, fourth, seventh ... distinct value of a column of a rule table."""
     values = found.select(column).distinct()
-    numbered = values.withColumn("_r", F.dense_rank().over(Window.orderBy(column)))
+    numbered = ordered.running_over_all(values, [F.col(column)], {"_r": F.lit(1)})
     kept = numbered.filter((F.col("_r") - 1) % step == 0).select(column)
     return found.join(kept, column, "left_semi")

@@ -94,6 +94,23 @@ def running(
     return done.drop(SLOT, *[f"_{p}_{name}" for p in "wc" for name in measures])
 
 
+def running_over_all(df: DataFrame, order: Sequence[Column], sums: Mapping[str, Column]) -> DataFrame:
+    """``df`` with running sums down the whole table in a complete order; an action.
+
+    Rows are laid in ranges of the order; only one total per range is ordered as a whole, and those are at
+    most ``RANGES_PER_PARTITION`` times the shuffle partitions.
+    """
+    ranges = RANGES_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    laid = cut(df.withColumns(dict(sums)).repartitionByRange(ranges, *order).withColumn(SLOT, F.spark_partition_id()))
+    totals = laid.groupBy(SLOT).agg(*[F.sum(name).alias(f"_t_{name}") for name in sums])
+    before = Window.orderBy(SLOT).rowsBetween(Window.unboundedPreceding, -1)
+    carry = totals.select(SLOT, *[F.sum(f"_t_{name}").over(before).alias(f"_c_{name}") for name in sums])
+    inside = Window.partitionBy(SLOT).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    rows = laid.withColumns({f"_w_{name}": F.sum(name).over(inside) for name in sums}).join(F.broadcast(carry), SLOT)
+    done = rows.withColumns({name: _COMBINE["sum"](F.col(f"_c_{name}"), F.col(f"_w_{name}")) for name in sums})
+    return done.drop(SLOT, *[f"_{p}_{name}" for p in "wc" for name in sums])
+
+
 def next_after(df: DataFrame, keys: Sequence[str], found: Mapping[str, tuple[Column, Column]], time: str = "event_time", tie: str = "event_id") -> DataFrame:
     """For every row the nearest later row of the same keys that meets a condition.
 

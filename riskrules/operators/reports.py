@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskrules.functions.measures import ratio
@@ -75,6 +75,6 @@ def block_rates(df: DataFrame, block: str, label: str) -> DataFrame:
 
 
 def profile_ratios(profile: DataFrame, order: Sequence[Column], measures: Sequence[str]) -> DataFrame:
-    """Every measure over that of the first row in the order given. The table has one row per group."""
-    line = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return profile.withColumns({f"{m}_ratio": ratio(F.col(m), F.first(m).over(line)) for m in measures})
+    """Every measure over that of the first row in the order given, which is found without ordering the others."""
+    first = profile.orderBy(*order).limit(1).select(F.struct(*measures).alias("first")).scalar()
+    return profile.withColumns({f"{m}_ratio": ratio(F.col(m), first[m]) for m in measures})
