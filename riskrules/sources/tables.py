@@ -102,10 +102,9 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
 def write_events(events: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Event log laid out for ``event_scan``: a folder per type and day, accounts clustered inside.
 
-    The salt keeps one busy (type, day) from being a single writer task.
+    Rows are brought together by (type, day) and AQE then splits a busy one, and joins small ones, to tasks
+    of the session's ``advisoryPartitionSizeInBytes``: as many writers as its bytes need. Days that share a
+    shuffle partition are split with each other, so have more initial partitions than days.
     """
-    laid_out = events.withColumn("event_date", F.to_date("event_time"))
-    salt = F.pmod(F.xxhash64("account_id", "event_id"), F.lit(16))
-    laid_out.repartition("event_type", "event_date", salt).sortWithinPartitions("event_type", "event_date", "account_id").write.mode(
-        mode
-    ).partitionBy("event_type", "event_date").parquet(path)
+    laid_out = events.withColumn("event_date", F.to_date("event_time")).hint("rebalance", "event_type", "event_date")
+    laid_out.sortWithinPartitions("event_type", "event_date", "account_id").write.mode(mode).partitionBy("event_type", "event_date").parquet(path)

@@ -52,6 +52,27 @@ def test_event_log_is_pruned_by_type_and_reads_few_columns(spark, tmp_path):
     assert "ReadSchema: struct<event_id:bigint>" in plan
 
 
+def test_busy_day_is_written_by_as_many_tasks_as_it_needs(spark, tmp_path):
+    keep, many = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes"), "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    spark.conf.set(many, "400")  # more shuffle partitions than days, as on a cluster
+    at = F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 40)
+    log = spark.range(0, 60_000, 1, 12).select(F.col("id").alias("event_id"), (F.col("id") % 7).alias("account_id"), F.expr("uuid()").alias("note"), F.lit("pay").alias("event_type"), at.alias("day"))
+    log = log.withColumn("event_time", F.timestamp_add("DAY", F.col("day").cast("int"), F.lit(dt.datetime(2024, 1, 1))))
+    files = {}
+    try:
+        for size in ("64k", "64m"):
+            spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", size)
+            tables.write_events(log, str(tmp_path / size))
+            files[size] = {d.name: len(list(d.glob("*.parquet"))) for d in (tmp_path / size / "event_type=pay").iterdir() if d.is_dir()}
+            assert spark.read.parquet(str(tmp_path / size)).count() == 60_000
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", keep)
+        spark.conf.unset(many)
+    assert len(files["64k"]) == len(files["64m"]) == 40
+    assert files["64k"]["event_date=2024-01-01"] > 8 and files["64m"]["event_date=2024-01-01"] == 1
+    assert sorted(files["64k"].values())[20] <= 2
+
+
 def test_user_scan(spark):
     users = spark.createDataFrame([(1, dt.datetime(2024, 1, 1), "a"), (2, dt.datetime(2024, 2, 1), "b")], "account_id long, register_time timestamp, bundle_id string")
     assert [r[0] for r in tables.user_scan(users, ["a", "b"], registered_from="2024-01-15").collect()] == [2]
