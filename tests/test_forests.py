@@ -103,6 +103,23 @@ def test_weights_are_poisson(spark):
     assert abs(mean - 1) < 0.03 and abs(variance - 1) < 0.05 and abs(none - np.exp(-1)) < 0.02
 
 
+def test_bags_are_the_poisson_counts_of_the_table(spark):
+    rows = [-(2**63), -5, 0, 7, 2**62 + 3, *range(1_000, 1_400)]
+    drawn = spark.createDataFrame([(r, t) for r in rows for t in range(6)], "id long, tree int").withColumn("w", forests.poisson(F.col("id"), F.col("tree"), 42))
+    assert {(r.id, r.tree): r.w for r in drawn.collect()} == {(r, t): w for r, ws in zip(rows, forests.bags(np.array(rows), 6, 42)) for t, w in enumerate(ws)}
+
+
+def test_no_row_is_repeated_for_a_tree(spark, monkeypatch):
+    """Equal rows of bins are one cell: 4,000 rows of six kinds, 40 trees, and no table of rows and trees."""
+    rows = spark.range(4_000).selectExpr("id", "cast(id % 3 as int) AS block", "cast(id % 7 = 0 as int) AS label", "cast(id % 2 as double) AS x", "cast(id % 3 as double) AS y")
+    table = forests.binned(rows, ["x", "y"], "id", "label", "block", BINS)
+    seen = []
+    one = forests.cut
+    monkeypatch.setattr(forests, "cut", lambda df: (out := one(df), seen.append(out.count()))[0])
+    scored = forests.out_of_block(table, [forests.Growth("gini", 5, (6,))], trees=40, take=1)
+    assert scored.count() == 4_000 and max(seen) <= 18
+
+
 def test_little(spark):
     schema = "id long, block int, label int, x double"
     empty = forests.binned(spark.createDataFrame([], schema), ["x"], "id", "label", "block", 8)
