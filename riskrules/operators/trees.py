@@ -136,8 +136,8 @@ def _one_level_down(rows: DataFrame, by: list[str], splits: list) -> DataFrame:
     return moved.select(*by, "_y", "_b", child.alias("node"))
 
 
-# Rows of a node that one task orders by itself.
-LOCAL_ROWS = 100_000
+# Rows of a node that one task orders by itself (about 0.5 GB with four features).
+LOCAL_ROWS = 3_000_000
 _TOLD = "node_id int, conditions {0}, is_leaf boolean, n long, positives long"
 
 
@@ -207,7 +207,12 @@ def by_segment(
     small_rows, small_paths, told = [], [], []
     for level in range(depth + 1):
         sizes = cut(rows.groupBy(*at).agg(F.count("*").alias("n"), F.sum("_y").alias("p")))
-        large = sizes.filter(F.col("n") > local_rows) if level < depth else sizes.limit(0)
+        if level == depth:
+            # Nothing is split here: the nodes are told from their counts, however many rows they have.
+            told.append(_told(paths.join(sizes, at), F.lit(True), by))
+            rows, paths = rows.limit(0), paths.limit(0)
+            break
+        large = sizes.filter(F.col("n") > local_rows)
         nodes = large.count()
         if not nodes:
             break
@@ -236,6 +241,10 @@ def by_segment(
     return cut(reduce(DataFrame.unionByName, [whole, *told]).withColumn("rate", F.col("positives") / F.col("n")))
 
 
+def _told(nodes: DataFrame, is_leaf: Column, by: list[str]) -> DataFrame:
+    return nodes.select(*by, F.col("node").alias("node_id"), F.col("path").alias("conditions"), is_leaf.alias("is_leaf"), "n", F.col("p").alias("positives"))
+
+
 def _large_split(rows, paths, large, nodes: int, features: list[str], at: list[str], impurity, leaf_size: int, bins: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """One level of large nodes: (rows in their children, the children's paths, the nodes themselves)."""
     edges = edge_table(rows, features, bins, at)
@@ -262,7 +271,7 @@ def _large_split(rows, paths, large, nodes: int, features: list[str], at: list[s
     condition = F.array(F.struct("feature", "op", "threshold"))
     deeper = paths.join(children, at).select(*at[:-1], (F.col("node") * 2 + F.col("side")).alias("node"), F.concat("path", condition).alias("path"))
     told = paths.join(large, at).join(splits.select(*at, F.lit(False).alias("is_leaf")), at, "left")
-    told = told.select(*at[:-1], F.col("node").alias("node_id"), F.col("path").alias("conditions"), F.coalesce("is_leaf", F.lit(True)).alias("is_leaf"), "n", F.col("p").alias("positives"))
+    told = _told(told, F.coalesce("is_leaf", F.lit(True)), at[:-1])
     moved = rows.join(small(splits, nodes, len(at) + 3), at)
     value = F.get(F.array(*features), F.col("f"))
     child = (F.col("node") * 2 + (value > F.col("threshold")).cast("int")).alias("node")

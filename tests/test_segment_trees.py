@@ -45,6 +45,18 @@ def test_where_nodes_are_grown_changes_nothing(rows, criterion):
     assert told(trees.by_segment(rows.repartition(3, "y"), ["x", "y"], "label", ["g"], local_rows=200, **grown)) == here and len(here) > 20
 
 
+def test_nodes_at_the_last_level_stay_out_of_single_tasks(rows, monkeypatch):
+    """Leaves of 300 and more rows are counted, not gathered."""
+    grown = dict(depth=2, leaf_size=20, bins=8)
+    whole = told(trees.by_segment(rows, ["x", "y"], "label", ["g"], **grown))
+
+    def gathered(*_, **__):
+        raise AssertionError("a node of the last level was gathered")
+
+    monkeypatch.setattr(trees, "_grown_here", gathered)
+    assert told(trees.by_segment(rows.filter("g = 'a'"), ["x", "y"], "label", ["g"], local_rows=10, **grown)) == [x for x in whole if x[0] == "a"]
+
+
 def test_nothing(rows):
     assert trees.by_segment(rows.limit(0), ["x"], "label", ["g"]).count() == 0
     (stump,) = trees.by_segment(rows.filter("g = 'd'"), ["x"], "label", ["g"], local_rows=3).collect()
