@@ -1,7 +1,9 @@
 """Joins between events, users, payments and disputes.
 
 Every join here is an equality on a key with the time condition as a residual. The event side is
-always the streamed side of an inner join, so that a hot account's partition can be split.
+always the streamed side of an inner join, so that a hot account's partition can be split. The side with
+one row per account is hashed within its partition: events are not sorted, and a task that joins several
+tables holds no sort buffers of each.
 """
 
 from __future__ import annotations
@@ -17,9 +19,14 @@ from riskrules.functions.timeunits import add_days, add_minutes, complete_units,
 WEEK_MINUTES = 7 * 24 * 60
 
 
+def hashed(table: DataFrame) -> DataFrame:
+    """A table with one row per key, to be hashed in each partition of a join and never sorted or broadcast."""
+    return table.hint("shuffle_hash")
+
+
 def after_registration(events: DataFrame, users: DataFrame) -> DataFrame:
     """Events of known users that happen strictly after registration, with the day of life."""
-    joined = events.join(users, "account_id").filter(F.col("event_time") > F.col("register_time"))
+    joined = events.join(hashed(users), "account_id").filter(F.col("event_time") > F.col("register_time"))
     return joined.withColumn("matuirity_day", maturity_day(F.col("register_time"), F.col("event_time")))
 
 
@@ -48,14 +55,14 @@ def in_first_week(events: DataFrame, payers: DataFrame, minutes: int = WEEK_MINU
 
 def keep_all(payers: DataFrame, measures: DataFrame, key: str = "account_id") -> DataFrame:
     """Every payer with its measures; payers without activity keep nulls."""
-    return payers.join(measures, key, "left")
+    return payers.join(hashed(measures), key, "left")
 
 
 def within_horizon(events: DataFrame, users: DataFrame, days: int, unit: str = "DAY") -> DataFrame:
     """Events after registration and at most ``days`` complete days later."""
     age = complete_units(unit, F.col("register_time"), F.col("event_time"))
     limit = days if unit == "DAY" else days * 1440
-    joined = events.join(users, "account_id")
+    joined = events.join(hashed(users), "account_id")
     return joined.filter((F.col("event_time") > F.col("register_time")) & (age <= limit))
 
 
@@ -78,7 +85,7 @@ def withdrawals(applied: DataFrame, paid: DataFrame, same_account: bool = True)
 
 def assembled(tables: Sequence[DataFrame], key: str = "account_id", how: str = "left") -> DataFrame:
     """Feature tables side by side on their key; all tables are unique on it."""
-    return reduce(lambda a, b: a.join(b, key, how), tables)
+    return reduce(lambda a, b: a.join(hashed(b), key, how), tables)
 
 
 def maturity_spine(users: DataFrame, days: DataFrame, as_of: str, outcome_days: int = 30) -> DataFrame:
