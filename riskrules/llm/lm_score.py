@@ -2,11 +2,11 @@
 
 The probability of an id is that of its class, given the ids before it, times its share of the class.
 All texts become ids once, in a written table. Over the ids of all training documents Spark counts ids
-and their neighbours, which make the classes and shares, and draws windows from anywhere in any text:
-one in ``WINDOW_RATE``, and more of a small corpus. The windows are dealt to groups of about
-``GROUP_WINDOWS``, so the number of groups grows with the corpus; in ``ROUNDS`` rounds every group fits
-the one layer of causal self-attention from the same weights, by a task of its own, and the mean of
-their weights begins the next round. A text is cut into overlapping windows: each scores its last
+and their neighbours, which make the classes and shares. All windows of all training texts are dealt to
+groups of about ``GROUP_WINDOWS``, so the number of groups grows with the corpus; in ``ROUNDS`` rounds every
+group fits the one layer of causal self-attention from the same weights, and the mean of their weights
+begins the next round. Over the rounds a group takes each of its windows once, or more often if they are
+few. A text is cut into overlapping windows: each scores its last
 ``STRIDE`` places once, with the places before them as context; all windows of a batch go through
 masked attention together.
 
@@ -36,8 +36,9 @@ from riskrules.llm.subwords import encoder
 WINDOW, STRIDE = 32, 24
 DIM, CLASSES, OWN_CLASSES, OWN_INPUTS = 16, 96, 44, 448
 STEPS, BATCH, RATE, ROUNDS = 1_500, 192, 0.02, 5
-WINDOW_RATE, FIRST_WINDOWS = 64, 100_000  # one training window in so many, besides about so many of the whole corpus
-GROUP_WINDOWS = 96_000  # windows that one task fits the attention to
+GROUP_WINDOWS = STEPS * BATCH  # training windows of a group: its steps take each of them once
+SEGMENT = 128  # neighbouring windows of a text that travel together
+PIECE = 1 << 20  # ids whose neighbours are counted at a time
 WIDE = 200  # frequent ids that tell neighbours apart
 FREQUENT = 250_000  # words sent to the workers, at most
 SMOOTHING = 0.1
@@ -219,32 +220,44 @@ def _started(names: list[str], counts: np.ndarray, ends: int, class_of: np.ndarr
 def _drawn(s: np.ndarray, size: int, share: float, doc_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(hash, window) of the training windows drawn from a text's ids: by a hash of the document, its text
     and the place, below ``share`` of all hashes. A window holds its places and the id after the last."""
+    flat, begins, hashes = _laid(s, size, doc_id)
+    chosen = (hashes >> np.uint64(11)).astype(np.float64) * 2.0**-53 < share
+    return hashes[chosen], flat[begins[chosen, None] + np.arange(WINDOW + 1)]
+
+
+def _laid(s: np.ndarray, size: int, doc_id: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A text's ids behind padding and the start and filled to whole strides, where its windows begin, and a
+    hash of document, text and place for each."""
     filled = -(-(len(s) + 1) // STRIDE) * STRIDE
     flat = np.full(WINDOW - STRIDE + filled + 1, size + 2, np.int32)  # padding; the start is size + 1, the end size
     at = WINDOW - STRIDE + 1
     flat[at - 1], flat[at : at + len(s)], flat[at + len(s)] = size + 1, s, size
     begins = np.arange(0, filled, STRIDE)
     document = zlib.crc32(s.tobytes(), zlib.crc32(str(doc_id).encode()))
-    hashes = mixed(begins.astype(np.uint64) + (np.uint64(document) << np.uint64(31)))
-    chosen = (hashes >> np.uint64(11)).astype(np.float64) * 2.0**-53 < share
-    return hashes[chosen], flat[begins[chosen, None] + np.arange(WINDOW + 1)]
+    return flat, begins, mixed(begins.astype(np.uint64) + (np.uint64(document) << np.uint64(31)))
 
 
 _WEIGHTS = ("q", "k", "v", "r", "bias", "u", "u0")
 
 
-def _improved(model: Attention, windows: np.ndarray, times: np.ndarray, steps: range, total: int, seed: int) -> dict[str, np.ndarray]:
-    """The weights after some of ``total`` steps of Adam over batches of the windows, each taken as often as it occurs."""
+def _improved(model: Attention, flat: np.ndarray, begins: np.ndarray, times: np.ndarray, turn: int, turns: int, steps: int, seed: int) -> dict[str, np.ndarray]:
+    """The weights after one of ``turns`` equal shares of at least ``steps`` steps of Adam. The steps take the
+    windows that begin at ``begins`` of ``flat`` in random order, every one before any comes again; a window
+    that occurs several times weighs as much more in its batch."""
     size, w = model.end, {n: getattr(model, n).copy() for n in _WEIGHTS}
+    total = max(steps, -(-len(begins) // BATCH))
+    first_step, last_step = total * turn // turns, total * (turn + 1) // turns
     kinds = np.concatenate([model.kind_of[:size], [len(w["q"]) - 1, len(w["q"]) - 2, len(w["q"]) - 1]])
-    cats, target = kinds[windows[:, :-1]], windows[:, WINDOW - STRIDE + 1 :]
-    goal = np.where(target <= size, model.class_of[np.minimum(target, size)], -1)
-    rng, upto = np.random.default_rng(seed), np.cumsum(times)
+    goals = np.concatenate([model.class_of, [-1, -1]])
+    rounds = range(first_step * BATCH // len(begins), -(-last_step * BATCH // len(begins)))
+    visits = np.concatenate([np.zeros(0, np.int64), *(np.random.default_rng((seed, r)).permutation(len(begins)) for r in rounds)])
+    visits = visits[first_step * BATCH - rounds.start * len(begins) :]
     first, second = {n: np.zeros_like(p) for n, p in w.items()}, {n: np.zeros_like(p) for n, p in w.items()}
     distance = np.maximum(np.arange(WINDOW - STRIDE, WINDOW)[:, None] - np.arange(WINDOW)[None], 0)
-    for i, step in enumerate(steps, 1):
-        pick = np.searchsorted(upto, rng.integers(0, upto[-1], BATCH), side="right")
-        grads = _gradients(w, cats[pick], goal[pick], distance)
+    for i, step in enumerate(range(first_step + 1, last_step + 1), 1):
+        pick = visits[(i - 1) * BATCH : i * BATCH]
+        windows = flat[begins[pick, None] + np.arange(WINDOW + 1)]
+        grads = _gradients(w, kinds[windows[:, :-1]], goals[windows[:, WINDOW - STRIDE + 1 :]], distance, times[pick])
         rate = RATE * min(1.0, i / 20) * (1 - 0.9 * step / total)
         for n, g in grads.items():
             first[n] = 0.9 * first[n] + 0.1 * g
@@ -261,41 +274,66 @@ def trained(ids: list[np.ndarray], names: list[str], steps: int = STEPS, seed: i
     counts = np.bincount(np.concatenate(ids), minlength=size)
     model = _started(names, counts, len(ids), _classes(*_neighbours(ids, *_around(counts)), names, counts), seed)
     windows = np.concatenate([_drawn(s, size, 1.0)[1] for s in ids])
-    return replace(model, **_improved(model, windows, np.ones(len(windows), np.int64), range(1, steps + 1), steps, seed))
+    begins = np.arange(len(windows)) * (WINDOW + 1)
+    return replace(model, **_improved(model, windows.ravel(), begins, np.ones(len(windows), np.int64), 0, 1, steps, seed))
 
 
-def _gradients(w: dict, c: np.ndarray, goal: np.ndarray, distance: np.ndarray) -> dict:
-    """Gradients of the mean cross entropy of the goals' classes."""
+def _gradients(w: dict, c: np.ndarray, goal: np.ndarray, distance: np.ndarray, times: np.ndarray | None = None) -> dict:
+    """Gradients of the mean cross entropy of the goals' classes, windows weighed by ``times``."""
     now, scale = c[:, WINDOW - STRIDE :], np.float32(1 / math.sqrt(DIM))
-    q, k, v = w["q"][now], w["k"][c], w["v"][c]
-    a = np.matmul(q, k.transpose(0, 2, 1)) * scale + _mask(w["bias"])
-    a = np.where((c == len(w["q"]) - 1)[:, None], np.float32(-1e9), a)
-    p = np.exp(a - a.max(axis=2, keepdims=True))
-    p /= p.sum(axis=2, keepdims=True)
-    h = np.matmul(p, v) + w["r"][now]
-    l = h @ w["u"] + w["u0"]
-    e = np.exp(l - l.max(axis=2, keepdims=True))
-    e /= e.sum(axis=2, keepdims=True)
-    valid = goal >= 0
-    b, s = np.nonzero(valid)
-    e[b, s, goal[b, s]] -= 1
-    e *= valid[..., None] / np.float32(max(1, valid.sum()))
-    dh = e @ w["u"].T
-    dp = np.matmul(dh, v.transpose(0, 2, 1))
-    da = p * (dp - (dp * p).sum(axis=2, keepdims=True))
-
-    def gathered(at, values):
-        cells = (at.reshape(-1, 1) * DIM + np.arange(DIM)).ravel()
-        return np.bincount(cells, values.ravel(), minlength=w["q"].size).reshape(-1, DIM).astype(w["q"].dtype)
-
+    kv, qr = np.concatenate((w["k"], w["v"]), axis=1)[c], np.concatenate((w["q"] * scale, w["r"]), axis=1)[now]
+    k, v, q = kv[..., :DIM], kv[..., DIM:], qr[..., :DIM]
+    p = np.matmul(q, k.transpose(0, 2, 1))
+    p += _mask(w["bias"])
+    padding = c == len(w["q"]) - 1
+    if padding.any():
+        p[np.broadcast_to(padding[:, None], p.shape)] = -1e9
+    own = np.arange(STRIDE)
+    if p.max() > 60 or p[:, own, own + WINDOW - STRIDE].min() < -60:
+        p -= p.max(axis=2, keepdims=True)
+    np.exp(p, out=p)
+    p /= np.matmul(p, np.ones((WINDOW, 1), p.dtype))
+    h = np.matmul(p, v)
+    h += qr[..., DIM:]
+    h = h.reshape(-1, DIM)
+    e = h @ w["u"]
+    e += w["u0"]
+    if e.max() > 60 or e.min() < -60:
+        e -= e.max(axis=1, keepdims=True)
+    np.exp(e, out=e)
+    share = (goal >= 0).astype(e.dtype)
+    if times is not None:
+        share *= times[:, None].astype(e.dtype)
+    share = (share / max(1, share.sum())).ravel()
+    e *= (share / (e @ np.ones(e.shape[1], e.dtype)))[:, None]
+    at = np.flatnonzero(goal.ravel() >= 0)
+    e[at, goal.ravel()[at]] -= share[at]
+    dh = (e @ w["u"].T).reshape(*now.shape, DIM)
+    da = np.matmul(dh, v.transpose(0, 2, 1))
+    da -= np.einsum("bst,bst->bs", da, p)[..., None]
+    da *= p
+    dkv, dqr = np.empty_like(kv), np.empty_like(qr)
+    dkv[..., :DIM], dkv[..., DIM:] = np.matmul(da.transpose(0, 2, 1), q), np.matmul(p.transpose(0, 2, 1), dh)
+    dqr[..., :DIM], dqr[..., DIM:] = np.matmul(da, k) * scale, dh
+
+    def gathered(places: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        places = places.ravel().astype(np.int16)  # kinds are few; such numbers are ordered by their digits
+        order = np.argsort(places, kind="stable")
+        places = places[order]
+        starts = np.flatnonzero(np.append(True, places[1:] != places[:-1]))
+        out = np.zeros((len(w["q"]), 2 * DIM), values.dtype)
+        out[places[starts]] = np.add.reduceat(values.reshape(-1, 2 * DIM)[order], starts, axis=0)
+        return out[:, :DIM], out[:, DIM:]
+
+    (dk, dv), (dq, dr) = gathered(c, dkv), gathered(now, dqr)
     return {
-        "q": gathered(now, np.matmul(da, k) * scale),
-        "k": gathered(c, np.matmul(da.transpose(0, 2, 1), q) * scale),
-        "v": gathered(c, np.matmul(p.transpose(0, 2, 1), dh)),
-        "r": gathered(now, dh),
-        "bias": np.bincount(distance.ravel(), da.sum(axis=0).ravel(), minlength=WINDOW).astype(np.float32),
-        "u": h.reshape(-1, DIM).T @ e.reshape(-1, CLASSES),
-        "u0": e.sum(axis=(0, 1)),
+        "q": dq,
+        "k": dk,
+        "v": dv,
+        "r": dr,
+        "bias": np.bincount(distance.ravel(), da.sum(axis=0).ravel(), minlength=WINDOW).astype(w["bias"].dtype),
+        "u": h.T @ e,
+        "u0": e.sum(axis=0),
     }
 
 
@@ -360,56 +398,87 @@ def _id_counts(codes: DataFrame, kind: str, size: int) -> np.ndarray:
 def _neighbour_counts(codes: DataFrame, kind: str, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """``_neighbours`` over all training texts: at most two times 1 + ``WIDE`` numbers for each id of the tokenizer."""
     row, column = _around(counts)
+    cells = (int(row.max(initial=-1)) + 1) * 2 * (1 + WIDE)
 
     def work(batches) -> Iterator[dict]:
-        held, volume = [], 0
+        # One table a worker; few texts at a time, as their ids take many times their bytes while they are counted.
+        total, held, volume = np.zeros(cells, np.int32), [], 0
+
+        def add():
+            cell, n = _neighbours(held, row, column)
+            total[cell] += n.astype(np.int32)
+            held.clear()
+
         for _, bodies in batches:
             for body in bodies:
-                held.append(np.frombuffer(body, kind))
-                volume += len(body)
-                if volume > 16 << 20:
-                    cell, n = _neighbours(held, row, column)
-                    yield {"cell": cell, "n": n}
-                    held, volume = [], 0
+                text = np.frombuffer(body, kind)
+                for i in range(0, len(text), PIECE):  # a piece begins with the id before it, so that no pair is lost
+                    part = text[max(0, i - 1) : i + PIECE]
+                    if i:
+                        edge = _neighbours([part[:2]], row, column)
+                        total[edge[0]] += edge[1].astype(np.int32)
+                        part = part[1:]
+                    held.append(part)
+                    volume += len(part)
+                    if volume >= PIECE:
+                        add()
+                        volume = 0
         if held:
-            cell, n = _neighbours(held, row, column)
-            yield {"cell": cell, "n": n}
+            add()
+        at = np.flatnonzero(total)
+        for i in range(0, len(at), 1 << 16):
+            yield {"cell": at[i : i + (1 << 16)], "n": total[at[i : i + (1 << 16)]].astype(np.int64)}
 
     rows = per_text(codes, work, "cell long, n long").groupBy("cell").agg(F.sum("n").cast("float").alias("n")).toArrow()
     return rows.column("cell").to_numpy(), rows.column("n").to_numpy()
 
 
 def _fitted(codes: DataFrame, model: Attention, kind: str, n_windows: int, steps: int) -> Attention:
-    """The attention fitted to windows of all training texts, the same whatever the partitions."""
-    size, share = model.end, 1 / WINDOW_RATE + FIRST_WINDOWS / max(1, n_windows)
+    """The attention fitted to all windows of all training texts, the same whatever the partitions."""
+    size, groups = model.end, -(-n_windows // GROUP_WINDOWS)
+    wide = "<u2" if size + 2 < 1 << 16 else "<i4"
 
-    def draw(batches) -> Iterator[dict]:
+    def lay(batches) -> Iterator[dict]:
         for doc_ids, bodies in batches:
+            hashes, segments = [], []
             for doc_id, body in zip(doc_ids, bodies):
-                hashes, windows = _drawn(np.frombuffer(body, kind), size, share, doc_id)
-                for i in range(0, len(hashes), 8192):
-                    some = windows[i : i + 8192].astype("<i4")
-                    yield {"h": hashes[i : i + 8192].view(np.int64), "w": [x.tobytes() for x in some]}
-
-    # Windows of repeated rows are one row each with their number, so that no group grows with them.
-    drawn = cut(per_text(codes, draw, "h long, w binary").groupBy("h", "w").agg(F.count("*").alias("n")))
-    groups = -(-drawn.count() // GROUP_WINDOWS)
+                flat, begins, h = _laid(np.frombuffer(body, kind), size, doc_id)
+                flat = flat.astype(wide)
+                for i in range(0, len(begins), SEGMENT):
+                    hashes.append(h[i].view(np.int64))
+                    segments.append(flat[begins[i] : begins[min(i + SEGMENT, len(begins)) - 1] + WINDOW + 1].tobytes())
+            yield {"h": np.array(hashes, np.int64), "w": segments}
+
     if not groups:
         return model
-    dealt = drawn.select(F.pmod("h", F.lit(groups)).alias("group"), "h", "w", "n")
+    laid = per_text(codes, lay, "h long, w binary").select(F.pmod("h", F.lit(groups)).alias("group"), "h", "w")
+    # Segments of repeated rows are one row each with their number, so that no group grows with them.
+    once = laid.repartition(groups, "group").groupBy("group", "h", "w").agg(F.count("*").alias("n"))
+
+    def pack(key, rows):
+        rows = rows.sort_values(["h", "w"])
+        lengths = rows["w"].map(len).to_numpy() // np.dtype(wide).itemsize
+        counts = (lengths - (WINDOW - STRIDE) - 1) // STRIDE
+        begins = np.repeat(np.cumsum(lengths) - lengths, counts) + STRIDE * (np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts))
+        times = np.repeat(rows["n"].to_numpy(), counts)
+        return pd.DataFrame({"group": [key[0]], "flat": [b"".join(rows["w"])], "begins": [begins.astype("<i8").tobytes()], "times": [times.astype("<i8").tobytes()]})
+
+    # A group is one row of some 20 MB, written once and read in every round.
+    packed = cut(once.groupBy("group").applyInPandas(pack, "group long, flat binary, begins binary, times binary"))
     names = ", ".join(f"{n} binary" for n in _WEIGHTS)
     for turn in range(ROUNDS):
-        mine = range(1 + steps * turn // ROUNDS, 1 + steps * (turn + 1) // ROUNDS)
         now = model
 
-        def fit(key, rows):
-            rows = rows.sort_values(["h", "w"])
-            windows = np.frombuffer(b"".join(rows["w"]), "<i4").reshape(-1, WINDOW + 1)
-            w = _improved(now, windows, rows["n"].to_numpy(), mine, steps, SEED + 1_000 * int(key[0]) + turn)
-            return pd.DataFrame({"group": [key[0]], **{n: [w[n].astype("<f4").tobytes()] for n in _WEIGHTS}})
+        def fit(batches):
+            for batch in batches:
+                for i in range(len(batch)):
+                    group, *parts = (batch.column(j)[i] for j in range(4))
+                    flat, begins, times = (np.frombuffer(x.as_buffer(), t) for x, t in zip(parts, (wide, "<i8", "<i8")))
+                    w = _improved(now, flat, begins, times, turn, ROUNDS, steps, SEED + 1_000 * group.as_py())
+                    yield pa.record_batch([pa.array([group.as_py()]), *(pa.array([w[n].astype("<f4").tobytes()], pa.binary()) for n in _WEIGHTS)], names=["group", *_WEIGHTS])
 
         # Weights of a group: 150 kB. They are added up in the order of the groups, a part of them in each task.
-        found = dealt.groupBy("group").applyInPandas(fit, f"group long, {names}")
+        found = packed.mapInArrow(fit, f"group long, {names}")
         while True:
             part = found.select(F.floor(F.col("group") / 64).alias("part"), "*")
             found = cut(part.groupBy("part").applyInPandas(_added, f"group long, groups double, {names}"))
