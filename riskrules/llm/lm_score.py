@@ -37,8 +37,9 @@ WINDOW, STRIDE = 32, 24
 DIM, CLASSES, OWN_CLASSES, OWN_INPUTS = 16, 96, 44, 448
 STEPS, BATCH, RATE, ROUNDS = 1_500, 192, 0.02, 5
 GROUP_WINDOWS = STEPS * BATCH  # training windows of a group: its steps take each of them once
+BLOCK = 1 << 16  # cells of the table of neighbours that travel together
 SEGMENT = 128  # neighbouring windows of a text that travel together
-PIECE = 1 << 20  # ids whose neighbours are counted at a time
+PIECE = 1 << 17  # ids whose neighbours are counted at a time
 WIDE = 200  # frequent ids that tell neighbours apart
 FREQUENT = 250_000  # words sent to the workers, at most
 SMOOTHING = 0.1
@@ -128,7 +129,7 @@ def logs(model: Attention, sequences: list[np.ndarray], chunk: int = 256) -> np.
         o = np.matmul(a, model.v[c])
         o /= a.sum(axis=2, keepdims=True)
         o += model.r[now]
-        l = o.reshape(-1, d) @ model.u
+        l = np.matmul(o, model.u).reshape(-1, CLASSES)  # window by window, as one product would wake threads
         l += model.u0
         t = target[i : i + chunk].ravel()
         known = np.maximum(t, 0)
@@ -295,20 +296,20 @@ def _gradients(w: dict, c: np.ndarray, goal: np.ndarray, distance: np.ndarray, t
     p /= np.matmul(p, np.ones((WINDOW, 1), p.dtype))
     h = np.matmul(p, v)
     h += qr[..., DIM:]
-    h = h.reshape(-1, DIM)
-    e = h @ w["u"]
+    # Products window by window: one large product would be dealt to threads that wait for each other.
+    e = np.matmul(h, w["u"])
     e += w["u0"]
     if e.max() > 60 or e.min() < -60:
-        e -= e.max(axis=1, keepdims=True)
+        e -= e.max(axis=2, keepdims=True)
     np.exp(e, out=e)
     share = (goal >= 0).astype(e.dtype)
     if times is not None:
         share *= times[:, None].astype(e.dtype)
-    share = (share / max(1, share.sum())).ravel()
-    e *= (share / (e @ np.ones(e.shape[1], e.dtype)))[:, None]
-    at = np.flatnonzero(goal.ravel() >= 0)
-    e[at, goal.ravel()[at]] -= share[at]
-    dh = (e @ w["u"].T).reshape(*now.shape, DIM)
+    share /= max(1, share.sum())
+    e *= share[..., None] / np.matmul(e, np.ones((CLASSES, 1), e.dtype))
+    b, s = np.nonzero(goal >= 0)
+    e[b, s, goal[b, s]] -= share[b, s]
+    dh = np.matmul(e, w["u"].T)
     da = np.matmul(dh, v.transpose(0, 2, 1))
     da -= np.einsum("bst,bst->bs", da, p)[..., None]
     da *= p
@@ -332,8 +333,8 @@ def _gradients(w: dict, c: np.ndarray, goal: np.ndarray, distance: np.ndarray, t
         "v": dv,
         "r": dr,
         "bias": np.bincount(distance.ravel(), da.sum(axis=0).ravel(), minlength=WINDOW).astype(w["bias"].dtype),
-        "u": h.T @ e,
-        "u0": e.sum(axis=0),
+        "u": np.matmul(h.transpose(0, 2, 1), e).sum(axis=0),
+        "u0": e.sum(axis=(0, 1)),
     }
 
 
@@ -363,6 +364,11 @@ def _words(logs_of: dict[bytes, float], path: str) -> _Words:
     return _WORDS[0]
 
 
+def _forget_words() -> None:
+    """Free the words of the stage before in a worker that goes on to others."""
+    _WORDS.clear()
+
+
 def _word_counts(texts: DataFrame) -> DataFrame:
     """(word, n) over all given texts, summed in the workers before the shuffle."""
 
@@ -383,6 +389,7 @@ def _id_counts(codes: DataFrame, kind: str, size: int) -> np.ndarray:
     """Occurrences of every id in all training texts."""
 
     def work(batches) -> Iterator[dict]:
+        _forget_words()
         total = np.zeros(size, np.int64)
         for _, bodies in batches:
             total += np.bincount(np.frombuffer(b"".join(bodies), kind), minlength=size)
@@ -401,6 +408,7 @@ def _neighbour_counts(codes: DataFrame, kind: str, counts: np.ndarray) -> tuple[
     cells = (int(row.max(initial=-1)) + 1) * 2 * (1 + WIDE)
 
     def work(batches) -> Iterator[dict]:
+        _forget_words()
         # One table a worker; few texts at a time, as their ids take many times their bytes while they are counted.
         total, held, volume = np.zeros(cells, np.int32), [], 0
 
@@ -425,12 +433,22 @@ def _neighbour_counts(codes: DataFrame, kind: str, counts: np.ndarray) -> tuple[
                         volume = 0
         if held:
             add()
+        for i in range(0, cells, BLOCK):
+            some = total[i : i + BLOCK]
+            at = np.flatnonzero(some)
+            yield {"block": [i // BLOCK], "at": [at.astype("<u2").tobytes()], "n": [some[at].astype("<i8").tobytes()]}
+
+    def add(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
+        total = np.zeros(BLOCK, np.int64)
+        for at, n in zip(group.column("at"), group.column("n")):
+            total[np.frombuffer(at.as_buffer(), "<u2")] += np.frombuffer(n.as_buffer(), "<i8")
         at = np.flatnonzero(total)
-        for i in range(0, len(at), 1 << 16):
-            yield {"cell": at[i : i + (1 << 16)], "n": total[at[i : i + (1 << 16)]].astype(np.int64)}
+        return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "at": pa.array([at.astype("<u2").tobytes()], pa.binary()), "n": pa.array([total[at].astype("<f4").tobytes()], pa.binary())})
 
-    rows = per_text(codes, work, "cell long, n long").groupBy("cell").agg(F.sum("n").cast("float").alias("n")).toArrow()
-    return rows.column("cell").to_numpy(), rows.column("n").to_numpy()
+    # Cells travel in blocks: a row for each would fill the executors.
+    blocks = per_text(codes, work, "block int, at binary, n binary").groupBy("block").applyInArrow(add, "block int, at binary, n binary").toArrow().to_pylist()
+    cell = [np.frombuffer(r["at"], "<u2").astype(np.int64) + r["block"] * BLOCK for r in blocks]
+    return np.concatenate([np.zeros(0, np.int64), *cell]), np.concatenate([np.zeros(0, np.float32), *(np.frombuffer(r["n"], "<f4") for r in blocks)])
 
 
 def _fitted(codes: DataFrame, model: Attention, kind: str, n_windows: int, steps: int) -> Attention:
