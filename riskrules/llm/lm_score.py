@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskrules.llm.common import Remembered, cut, doc_crc, keyed_texts, mixed, per_text
-from riskrules.llm.subwords import encoder
+from riskrules.llm.subwords import encoder, forget
 
 WINDOW, STRIDE = 32, 24
 DIM, CLASSES, OWN_CLASSES, OWN_INPUTS = 16, 96, 44, 448
@@ -245,17 +245,32 @@ def _improved(model: Attention, flat: np.ndarray, begins: np.ndarray, times: np.
     """The weights after one of ``turns`` equal shares of at least ``steps`` steps of Adam. The steps take the
     windows that begin at ``begins`` of ``flat`` in random order, every one before any comes again; a window
     that occurs several times weighs as much more in its batch."""
+    first_step, last_step, total = _share(len(begins), turn, turns, steps)
+    return _stepped(model, flat, begins, times, _visits(len(begins), first_step, last_step, seed), first_step, total)
+
+
+def _share(n: int, turn: int, turns: int, steps: int) -> tuple[int, int, int]:
+    """The first and the end of a turn's steps over ``n`` windows, and those of all turns."""
+    total = max(steps, -(-n // BATCH))
+    return total * turn // turns, total * (turn + 1) // turns, total
+
+
+def _visits(n: int, first_step: int, last_step: int, seed: int) -> np.ndarray:
+    """The windows, of ``n``, that these steps take, ``BATCH`` a step."""
+    rounds = range(first_step * BATCH // n, -(-last_step * BATCH // n))
+    visits = np.concatenate([np.zeros(0, np.int64), *(np.random.default_rng((seed, r)).permutation(n) for r in rounds)])
+    skipped = first_step * BATCH - rounds.start * n
+    return visits[skipped : skipped + (last_step - first_step) * BATCH]
+
+
+def _stepped(model: Attention, flat: np.ndarray, begins: np.ndarray, times: np.ndarray, visits: np.ndarray, first_step: int, total: int) -> dict[str, np.ndarray]:
+    """The weights after the steps that take ``visits``, which follow ``first_step`` of ``total`` steps."""
     size, w = model.end, {n: getattr(model, n).copy() for n in _WEIGHTS}
-    total = max(steps, -(-len(begins) // BATCH))
-    first_step, last_step = total * turn // turns, total * (turn + 1) // turns
     kinds = np.concatenate([model.kind_of[:size], [len(w["q"]) - 1, len(w["q"]) - 2, len(w["q"]) - 1]])
     goals = np.concatenate([model.class_of, [-1, -1]])
-    rounds = range(first_step * BATCH // len(begins), -(-last_step * BATCH // len(begins)))
-    visits = np.concatenate([np.zeros(0, np.int64), *(np.random.default_rng((seed, r)).permutation(len(begins)) for r in rounds)])
-    visits = visits[first_step * BATCH - rounds.start * len(begins) :]
     first, second = {n: np.zeros_like(p) for n, p in w.items()}, {n: np.zeros_like(p) for n, p in w.items()}
     distance = np.maximum(np.arange(WINDOW - STRIDE, WINDOW)[:, None] - np.arange(WINDOW)[None], 0)
-    for i, step in enumerate(range(first_step + 1, last_step + 1), 1):
+    for i, step in enumerate(range(first_step + 1, first_step + 1 + len(visits) // BATCH), 1):
         pick = visits[(i - 1) * BATCH : i * BATCH]
         windows = flat[begins[pick, None] + np.arange(WINDOW + 1)]
         grads = _gradients(w, kinds[windows[:, :-1]], goals[windows[:, WINDOW - STRIDE + 1 :]], distance, times[pick])
@@ -365,8 +380,9 @@ def _words(logs_of: dict[bytes, float], path: str) -> _Words:
 
 
 def _forget_words() -> None:
-    """Free the words of the stage before in a worker that goes on to others."""
+    """Free the words and the encoder of the stage before in a worker that goes on to others."""
     _WORDS.clear()
+    forget()
 
 
 def _word_counts(texts: DataFrame) -> DataFrame:
@@ -473,16 +489,34 @@ def _fitted(codes: DataFrame, model: Attention, kind: str, n_windows: int, steps
     # Segments of repeated rows are one row each with their number, so that no group grows with them.
     once = laid.repartition(groups, "group").groupBy("group", "h", "w").agg(F.count("*").alias("n"))
 
-    def pack(key, rows):
-        rows = rows.sort_values(["h", "w"])
+    def pack(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(batches).to_pandas().sort_values(["h", "w"])
         lengths = rows["w"].map(len).to_numpy() // np.dtype(wide).itemsize
         counts = (lengths - (WINDOW - STRIDE) - 1) // STRIDE
         begins = np.repeat(np.cumsum(lengths) - lengths, counts) + STRIDE * (np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts))
-        times = np.repeat(rows["n"].to_numpy(), counts)
-        return pd.DataFrame({"group": [key[0]], "flat": [b"".join(rows["w"])], "begins": [begins.astype("<i8").tobytes()], "times": [times.astype("<i8").tobytes()]})
-
-    # A group is one row of some 20 MB, written once and read in every round.
-    packed = cut(once.groupBy("group").applyInPandas(pack, "group long, flat binary, begins binary, times binary"))
+        flat, times = np.frombuffer(b"".join(rows["w"]), wide), np.repeat(rows["n"].to_numpy(), counts)
+        group, place, before = key[0].as_py(), np.empty(len(begins), np.int32), np.zeros(len(begins), bool)
+        for turn in range(ROUNDS):
+            visits = _visits(len(begins), *_share(len(begins), turn, ROUNDS, steps)[:2], SEED + 1_000 * group)
+            taken = np.unique(visits)
+            new, again = taken[~before[taken]], taken[before[taken]]
+            before[new] = True
+            laid = np.concatenate([new, again])
+            place[laid] = np.arange(len(laid))
+            values = (
+                (flat[begins[laid, None] + np.arange(WINDOW + 1)], wide),
+                (np.arange(len(new)) * (WINDOW + 1), "<i8"),
+                (times[new], "<i8"),
+                (times[again], "<i8"),
+                (place[visits], "<i4"),
+            )
+            yield pa.record_batch([pa.array([group]), pa.array([turn], pa.int32()), pa.array([len(begins)]), *(pa.array([v.astype(t).tobytes()], pa.binary()) for v, t in values)], names=["group", "turn", "size", *parts])
+
+    # A row has what a group's steps of one turn take, some 5 MB: the windows, one after another, first those that
+    # no turn before took, where these begin and how often they occur, how often the others do, and the order.
+    # A group in one row would fill the executors outside the heap, where rows pass to the workers.
+    parts = ("flat", "begins", "times", "again", "visits")
+    packed = _row_by_row(once.groupBy("group").applyInArrow(pack, f"group long, turn int, size long, {', '.join(f'{n} binary' for n in parts)}"))
     names = ", ".join(f"{n} binary" for n in _WEIGHTS)
     for turn in range(ROUNDS):
         now = model
@@ -490,13 +524,15 @@ def _fitted(codes: DataFrame, model: Attention, kind: str, n_windows: int, steps
         def fit(batches):
             for batch in batches:
                 for i in range(len(batch)):
-                    group, *parts = (batch.column(j)[i] for j in range(4))
-                    flat, begins, times = (np.frombuffer(x.as_buffer(), t) for x, t in zip(parts, (wide, "<i8", "<i8")))
-                    w = _improved(now, flat, begins, times, turn, ROUNDS, steps, SEED + 1_000 * group.as_py())
+                    group, n, *values = (c[i] for c in batch.columns)
+                    flat, times, again, visits = (np.frombuffer(x.as_buffer(), t) for x, t in zip(values, (wide, "<i8", "<i8", "<i4")))
+                    first_step, _, total = _share(n.as_py(), turn, ROUNDS, steps)
+                    times = np.concatenate([times, again])
+                    w = _stepped(now, flat, np.arange(len(times)) * (WINDOW + 1), times, visits, first_step, total)
                     yield pa.record_batch([pa.array([group.as_py()]), *(pa.array([w[n].astype("<f4").tobytes()], pa.binary()) for n in _WEIGHTS)], names=["group", *_WEIGHTS])
 
         # Weights of a group: 150 kB. They are added up in the order of the groups, a part of them in each task.
-        found = packed.mapInArrow(fit, f"group long, {names}")
+        found = packed.filter(F.col("turn") == turn).select("group", "size", "flat", "times", "again", "visits").mapInArrow(fit, f"group long, {names}")
         while True:
             part = found.select(F.floor(F.col("group") / 64).alias("part"), "*")
             found = cut(part.groupBy("part").applyInPandas(_added, f"group long, groups double, {names}"))
@@ -507,6 +543,17 @@ def _fitted(codes: DataFrame, model: Attention, kind: str, n_windows: int, steps
     return model
 
 
+def _row_by_row(df: DataFrame) -> DataFrame:
+    """``cut`` with every row in a file of its own, so that a reader of some rows leaves the others."""
+    conf, name = df.sparkSession.conf, "spark.sql.files.maxRecordsPerFile"
+    before = conf.get(name)
+    conf.set(name, "1")
+    try:
+        return cut(df)
+    finally:
+        conf.set(name, before)
+
+
 def _added(key, rows):
     """Sums of weights over at most 64 groups, or of such sums."""
     rows = rows.sort_values("group")

@@ -97,3 +97,8 @@ def encoder(path: str) -> Encoder:
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]
+
+
+def forget() -> None:
+    """Free a worker's encoders with the chunks they remember; the next use reads the file again."""
+    _ENCODERS.clear()

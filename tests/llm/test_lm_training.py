@@ -62,3 +62,43 @@ def test_neighbours_by_pieces(spark, monkeypatch):
     counts = np.bincount(np.concatenate(ids), minlength=size)
     cell, n = lm._neighbour_counts(codes, kind, counts)
     assert dict(zip(cell.tolist(), n.tolist())) == dict(zip(*map(np.ndarray.tolist, lm._neighbours(ids, *lm._around(counts)))))
+
+
+def test_a_row_holds_one_turn(spark, monkeypatch):
+    """Rows of the written groups hold what one turn takes, not a whole group, and lead to the same weights."""
+    monkeypatch.setattr(lm, "GROUP_WINDOWS", 8_000)
+    written, cut = [], lm.cut
+    monkeypatch.setattr(lm, "cut", lambda df: written.append(cut(df)) or written[-1])
+    known, rng = encoder(PATH), np.random.default_rng(6)
+    rows = [(i, rng.integers(1, 300, 20_000).astype(known.kind)) for i in range(20)]
+    rows += rows[:5]
+    ids = [x for _, x in rows]
+    codes = spark.createDataFrame([(i, x.tobytes()) for i, x in rows], "doc_id long, ids binary")
+    names = [""] * known.size
+    counts = np.bincount(np.concatenate(ids), minlength=known.size)
+    start = lm._started(names, counts, len(ids), lm._classes(*lm._neighbours(ids, *lm._around(counts)), names, counts))
+    found = lm._fitted(codes, start, known.kind, 20_800, 5)
+    packed = next(df for df in written if "flat" in df.columns).collect()
+    window = 2 * (lm.WINDOW + 1)
+    assert len(packed) == 15 and all(len(r.flat) <= window * (-(-r["size"] // lm.BATCH) // lm.ROUNDS + 1) * lm.BATCH for r in packed)
+    # The same groups, each as a whole.
+    groups = {}
+    for i, x in dict((i, x) for i, x in rows).items():
+        flat, begins, h = lm._laid(x, known.size, i)
+        for j in range(0, len(begins), lm.SEGMENT):
+            last = begins[min(j + lm.SEGMENT, len(begins)) - 1] + lm.WINDOW + 1
+            groups.setdefault(int(h[j].view(np.int64)) % 3, []).append((int(h[j].view(np.int64)), flat[begins[j] : last], 1 + (i < 5)))
+    assert len(groups) == 3
+    model = start
+    for turn in range(lm.ROUNDS):
+        made = []
+        for g in sorted(groups):
+            segments = sorted(groups[g], key=lambda s: s[0])
+            flat = np.concatenate([s for _, s, _ in segments])
+            at = np.cumsum([0] + [len(s) for _, s, _ in segments])
+            begins = np.concatenate([a + np.arange(0, len(s) - lm.WINDOW, lm.STRIDE) for a, (_, s, _) in zip(at, segments)])
+            times = np.concatenate([np.full(len(range(0, len(s) - lm.WINDOW, lm.STRIDE)), n) for _, s, n in segments])
+            made.append(lm._improved(model, flat, begins, times, turn, lm.ROUNDS, 5, lm.SEED + 1_000 * g))
+        mean = {n: (np.sum([w[n].astype(np.float64) for w in made], axis=0) / len(made)).astype(np.float32) for n in lm._WEIGHTS}
+        model = lm.replace(model, **mean)
+    assert all(np.array_equal(getattr(found, n), getattr(model, n)) for n in lm._WEIGHTS)
