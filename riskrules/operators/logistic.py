@@ -3,7 +3,8 @@
 A pass over the rows gives loss, gradient and curvature of every (fold, penalty) at once, summed by the
 workers: Newton's method then needs about ten passes for the whole grid, where one fit after another needs
 as many for each point. One more pass counts the held-out rows by class of margin, for the areas under the
-ROC curves. The chosen penalty is fitted by Spark ML on all rows.
+ROC curves. Rows are laid in blocks once, as passing them one by one to the workers takes most of a pass.
+The chosen penalty is fitted by Spark ML on all rows.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from pyspark.sql import functions as F
 from riskrules.session import cut
 
 AREA_CLASSES = 8_192  # classes of margin in which held-out rows are counted
+BLOCK_ROWS = 8_192  # rows that travel together
+FILE_BLOCKS = 64  # blocks of a file, which a reader may take into memory at once
 
 
 @dataclass(frozen=True)
@@ -47,8 +50,9 @@ class TunedLogistic:
         fold = F.least(F.floor(F.rand(self.seed) * self.folds), F.lit(self.folds - 1)).cast("int")
         rows = cut(train.select(F.col("label").cast("double").alias("y"), fold.alias("fold"), x.alias("x")).select("y", "fold", *[F.col("x")[i].alias(n) for i, n in enumerate(names)]))
         scale = _scales(rows, names, self.folds)
-        weights = _fitted(rows, names, scale, self.penalties, self.rounds)
-        return _areas(rows, names, scale, weights)
+        blocks = _laid(rows, names)
+        weights = _fitted(blocks, names, scale, self.penalties, self.rounds)
+        return _areas(blocks, names, scale, weights)
 
 
 @dataclass(frozen=True)
@@ -82,13 +86,39 @@ def _scales(rows: DataFrame, names: Sequence[str], folds: int) -> list[_Scale]:
     return [_Scale(found[f"n{k}"], found[f"p{k}"] or 0.0, numbers("m", k), numbers("s", k)) for k in range(folds)]
 
 
+def _laid(rows: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The rows as a written table of blocks of about ``BLOCK_ROWS``: labels, folds and features after one another."""
+    columns = [("y", "<f8"), ("fold", "<i4"), *((n, "<f8") for n in names)]
+
+    def work(batches):
+        held, n = [], 0
+
+        def block():
+            part = pa.Table.from_batches(held)
+            y, fold, *x = (part.column(c).to_numpy().astype(kind).tobytes() for c, kind in columns)
+            return pa.record_batch([pa.array([v], pa.binary()) for v in (y, fold, b"".join(x))], names=["y", "fold", "x"])
+
+        for batch in batches:
+            for i in range(0, len(batch), BLOCK_ROWS):
+                held.append(batch.slice(i, BLOCK_ROWS))
+                n += len(held[-1])
+                if n >= BLOCK_ROWS:
+                    yield block()
+                    held, n = [], 0
+        if held:
+            yield block()
+
+    return cut(rows.mapInArrow(work, "y binary, fold binary, x binary"), FILE_BLOCKS)
+
+
 def _blocks(batches: Iterator[pa.RecordBatch], names: Sequence[str]) -> Iterator[tuple[np.ndarray, np.ndarray, list[np.ndarray]]]:
-    for b in batches:
-        if len(b):
-            yield b.column("y").to_numpy(), b.column("fold").to_numpy(), [b.column(n).to_numpy() for n in names]
+    for batch in batches:
+        for i in range(len(batch)):
+            y, fold, x = (np.frombuffer(batch.column(c)[i].as_buffer(), kind) for c, kind in (("y", "<f8"), ("fold", "<i4"), ("x", "<f8")))
+            yield y, fold, list(x.reshape(len(names), len(y)))
 
 
-def _sums(rows: DataFrame, names: Sequence[str], scale: list[_Scale], weights: np.ndarray) -> np.ndarray:
+def _sums(blocks: DataFrame, names: Sequence[str], scale: list[_Scale], weights: np.ndarray) -> np.ndarray:
     """(fold, value, penalty): summed loss, gradient and upper triangle of the curvature at the weights."""
     size = weights.shape[1]
     left, right = np.triu_indices(size)
@@ -108,13 +138,13 @@ def _sums(rows: DataFrame, names: Sequence[str], scale: list[_Scale], weights: n
                 total[k, 1 + size :] += (z[left] * z[right]) @ low.T
         yield pa.record_batch([pa.array(np.arange(total.size)), pa.array(total.ravel())], names=["at", "value"])
 
-    found = rows.mapInArrow(work, "at long, value double").groupBy("at").agg(F.sum("value").alias("value")).toArrow()
+    found = blocks.mapInArrow(work, "at long, value double").groupBy("at").agg(F.sum("value").alias("value")).toArrow()
     out = np.zeros(len(scale) * (1 + size + len(left)) * weights.shape[2])
     out[found.column("at").to_numpy()] = found.column("value").to_numpy()
     return out.reshape(len(scale), -1, weights.shape[2])
 
 
-def _fitted(rows: DataFrame, names: Sequence[str], scale: list[_Scale], penalties: Sequence[float], rounds: int) -> np.ndarray:
+def _fitted(blocks: DataFrame, names: Sequence[str], scale: list[_Scale], penalties: Sequence[float], rounds: int) -> np.ndarray:
     """(fold, feature or intercept, penalty): weights of least mean loss and half the penalty times the sum of
     squares, on scaled features. A step that does not lower this enough is halved; each trial is a pass."""
     size = len(names) + 1
@@ -129,7 +159,7 @@ def _fitted(rows: DataFrame, names: Sequence[str], scale: list[_Scale], penaltie
     for _ in range(rounds):
         if not grid:
             break
-        sums = _sums(rows, names, scale, trial)
+        sums = _sums(blocks, names, scale, trial)
         for k, i in list(grid):
             penalty, w = np.append(np.full(size - 1, penalties[i]), 0.0), trial[k, :, i]
             mean = sums[k, :, i] / scale[k].n
@@ -154,7 +184,7 @@ def _fitted(rows: DataFrame, names: Sequence[str], scale: list[_Scale], penaltie
     return now
 
 
-def _areas(rows: DataFrame, names: Sequence[str], scale: list[_Scale], weights: np.ndarray) -> np.ndarray:
+def _areas(blocks: DataFrame, names: Sequence[str], scale: list[_Scale], weights: np.ndarray) -> np.ndarray:
     """(fold, penalty): areas under the ROC curves of the held-out rows, counted in classes of the margin."""
     folds, _, points = weights.shape
     # Margins lie about the intercept; classes are narrow there and wide far out.
@@ -175,7 +205,7 @@ def _areas(rows: DataFrame, names: Sequence[str], scale: list[_Scale], weights:
         yield pa.record_batch([pa.array(at), pa.array(total.ravel()[at])], names=["at", "n"])
 
     # At most two counts per class, fold and penalty.
-    found = rows.mapInArrow(work, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    found = blocks.mapInArrow(work, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(folds * points * 2 * AREA_CLASSES)
     counts[found.column("at").to_numpy()] = found.column("n").to_numpy()
     negatives, positives = np.moveaxis(counts.reshape(folds, points, AREA_CLASSES, 2), 3, 0)

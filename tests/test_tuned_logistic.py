@@ -51,3 +51,17 @@ def test_odd_labels(spark):
     assert (logistic.TunedLogistic((1.0, 0.1)).areas(made(spark, positives=False)) == 0.5).all()
     with pytest.raises(ValueError, match="neither 0 nor 1"):
         logistic.TunedLogistic((1.0,)).areas(made(spark).withColumn("label", F.lit(None).cast("double")))
+
+
+def test_rows_travel_in_blocks(spark, monkeypatch):
+    """A pass gets blocks of rows, not rows; blocks of any size give the same areas."""
+    train, got, sums = made(spark, 5_000), [], logistic._sums
+    monkeypatch.setattr(logistic, "_sums", lambda blocks, *a: got.append(blocks.count()) or sums(blocks, *a))
+    found = []
+    for size, files in ((8_192, 64), (600, 2)):
+        monkeypatch.setattr(logistic, "BLOCK_ROWS", size)
+        monkeypatch.setattr(logistic, "FILE_BLOCKS", files)
+        got.clear()
+        found.append(logistic.TunedLogistic((1.0, 1e-3), folds=3, seed=3).areas(train))
+        assert got and set(got) == {-(-5_000 // size)}
+    assert np.allclose(*found, rtol=1e-9)
