@@ -37,9 +37,12 @@ WINDOW, STRIDE = 32, 24
 DIM, CLASSES, OWN_CLASSES, OWN_INPUTS = 16, 96, 44, 448
 STEPS, BATCH, RATE, ROUNDS = 1_500, 192, 0.02, 5
 GROUP_WINDOWS = STEPS * BATCH  # training windows of a group: its steps take each of them once
+PART = 48  # windows worked out together, so that their tables stay near the core
+LOG2_E = np.float32(math.log2(math.e))  # powers of two are faster than those of e
 BLOCK = 1 << 16  # cells of the table of neighbours that travel together
 SEGMENT = 128  # neighbouring windows of a text that travel together
 PIECE = 1 << 17  # ids whose neighbours are counted at a time
+TOKENS, PARTIAL = 1_000_000, 1_500_000  # words counted at a time, and counts that a worker holds
 WIDE = 200  # frequent ids that tell neighbours apart
 FREQUENT = 250_000  # words sent to the workers, at most
 SMOOTHING = 0.1
@@ -94,7 +97,39 @@ def _tame(*products: np.ndarray) -> bool:
     return bool(high.max() < 75 and low.max() > -75)
 
 
-def logs(model: Attention, sequences: list[np.ndarray], chunk: int = 256) -> np.ndarray:
+def _tables(q: np.ndarray, k: np.ndarray, v: np.ndarray, r: np.ndarray, u: np.ndarray, u0: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A row of k, v, q, r by kind, and u above u0, such that 2 is raised to their products in place of e."""
+    return np.concatenate((k, v, q * LOG2_E, r), axis=1), np.concatenate((u, u0[None])) * LOG2_E
+
+
+def _attended(table: np.ndarray, c: np.ndarray, mask: np.ndarray, tame: bool) -> tuple[np.ndarray, ...]:
+    """(k, v, q, p, total, seen, h) of windows of kinds: p are the weights of the places each place sees, not yet
+    divided by their sum ``total``; ``seen`` the mean of v by them; h its sum with r, and a one for u0."""
+    d, rows = DIM, table.take(c, axis=0)
+    own = rows[:, WINDOW - STRIDE :]
+    k, v, q, r = rows[..., :d], rows[..., d : 2 * d], own[..., 2 * d : 3 * d], own[..., 3 * d :]
+    p = np.matmul(q, k.transpose(0, 2, 1))
+    # Padding is at a window's ends, and never its first own place, so every place sees another.
+    padded = np.flatnonzero((c[:, 0] == len(table) - 1) | (c[:, -1] == len(table) - 1))
+    padding = c[padded, None] == len(table) - 1
+    if tame:  # numbers far from zero are raised slowly
+        np.exp2(p, out=p)
+        p *= np.exp2(mask)
+        p[padded] *= ~padding
+    else:
+        p += mask
+        p[padded] -= padding * p.dtype.type(1e9)
+        p -= p.max(axis=2, keepdims=True)
+        np.exp2(p, out=p)
+    total = np.matmul(p, np.ones((WINDOW, 1), p.dtype))
+    seen = np.matmul(p, v)
+    seen /= total
+    h = np.ones((len(c), STRIDE, d + 1), p.dtype)
+    np.add(seen, r, out=h[..., :d])
+    return k, v, q, p, total, seen, h
+
+
+def logs(model: Attention, sequences: list[np.ndarray], chunk: int = PART) -> np.ndarray:
     """log10 probability of every sequence of ids with its end."""
     end, d = model.end, model.q.shape[1]
     start, padding = len(model.kind_of), len(model.kind_of) + 1
@@ -108,36 +143,24 @@ def logs(model: Attention, sequences: list[np.ndarray], chunk: int = 256) -> np.
     lengths = np.array([len(t) for t in targets])
     target = np.concatenate(targets).reshape(-1, STRIDE)
     cats = kinds[flat]
-    # The last column of the keys masks the padding.
-    keys = np.concatenate([model.k, np.zeros((len(model.k), 1), np.float32)], axis=1)
-    keys[-1, -1] = -1e9
-    queries = np.concatenate([model.q / np.float32(math.sqrt(d)), np.ones((len(model.q), 1), np.float32)], axis=1)
-    mask = _mask(model.bias)
+    queries = model.q / np.float32(math.sqrt(d))
+    table, u = _tables(queries, model.k, model.v, model.r, model.u, model.u0)
+    mask = _mask(model.bias * LOG2_E)
     # The least and largest values are taken over all pairs of kinds, whatever the text.
-    pairs = (queries[:, :d] @ model.k.T).reshape(-1, 1)
+    pairs = (queries @ model.k.T).reshape(-1, 1)
     tame = _tame(pairs, model.bias[:, None]) and _tame(model.r @ model.u, model.v @ model.u, model.u0[None])
     out = np.empty(target.shape, np.float32)
-    steps = np.arange(WINDOW)
+    steps, all_classes = np.arange(WINDOW), np.ones((CLASSES, 1), np.float32)
     for i in range(0, len(begins), chunk):
-        c = cats[begins[i : i + chunk, None] + steps]
-        now = c[:, WINDOW - STRIDE :]
-        a = np.matmul(queries[now], keys[c].transpose(0, 2, 1))
-        a += mask
-        if not tame:
-            a -= a.max(axis=2, keepdims=True)
-        np.exp(a, out=a)
-        o = np.matmul(a, model.v[c])
-        o /= a.sum(axis=2, keepdims=True)
-        o += model.r[now]
-        l = np.matmul(o, model.u).reshape(-1, CLASSES)  # window by window, as one product would wake threads
-        l += model.u0
+        h = _attended(table, cats[begins[i : i + chunk, None] + steps], mask, tame)[-1]
+        l = np.matmul(h, u).reshape(-1, CLASSES)  # window by window, as one product would wake threads
         t = target[i : i + chunk].ravel()
         known = np.maximum(t, 0)
         if not tame:
             l -= l.max(axis=1, keepdims=True)
         picked = l[np.arange(len(l)), model.class_of[known]]
-        np.exp(l, out=l)
-        p = (picked - np.log(l.sum(axis=1))) * np.float32(1 / math.log(10)) + model.share[known]
+        np.exp2(l, out=l)
+        p = (picked - np.log2(np.matmul(l, all_classes)[:, 0])) * np.float32(math.log10(2)) + model.share[known]
         out[i : i + chunk] = np.where(t >= 0, p, 0).reshape(-1, STRIDE)
     begin = np.concatenate(([0], np.cumsum(lengths)[:-1]))
     return np.add.reduceat(out.ravel().astype(np.float64), begin)
@@ -157,15 +180,21 @@ def _around(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return row, column
 
 
-def _neighbours(sequences: list[np.ndarray], row: np.ndarray, column: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(cell, n): how often the ids with a row have each column before (first half of a row) and after them."""
+def _cells(sequences: list[np.ndarray], row: np.ndarray, column: np.ndarray) -> np.ndarray:
+    """The cell of every pair of neighbours: by the id with a row, the side, and the other's column."""
     ids = np.concatenate([x for s in sequences for x in (s, [-1])]).astype(np.int64)
+    some = ids >= 0
+    at, next_to = np.where(some, row.take(ids), -1), column.take(ids)
     cells = []
-    for me, other, side in ((ids[1:], ids[:-1], 0), (ids[:-1], ids[1:], 1)):
-        there = (me >= 0) & (other >= 0)
-        at, next_to = row[me[there]], column[other[there]]
-        cells.append((at * 2 + side)[at >= 0] * (1 + WIDE) + next_to[at >= 0])
-    return np.unique(np.concatenate(cells).astype(np.int32), return_counts=True)  # cells: 2 (1 + WIDE) an id
+    for me, other, side in ((slice(1, None), slice(None, -1), 0), (slice(None, -1), slice(1, None), 1)):
+        there = (at[me] >= 0) & some[other]
+        cells.append((at[me][there] * 2 + side) * (1 + WIDE) + next_to[other][there])
+    return np.concatenate(cells)
+
+
+def _neighbours(sequences: list[np.ndarray], row: np.ndarray, column: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(cell, n): how often the ids with a row have each column before (first half of a row) and after them."""
+    return np.unique(_cells(sequences, row, column), return_counts=True)
 
 
 def _classes(cells: np.ndarray, n: np.ndarray, names: list[str], counts: np.ndarray) -> np.ndarray:
@@ -265,20 +294,27 @@ def _visits(n: int, first_step: int, last_step: int, seed: int) -> np.ndarray:
 
 def _stepped(model: Attention, flat: np.ndarray, begins: np.ndarray, times: np.ndarray, visits: np.ndarray, first_step: int, total: int) -> dict[str, np.ndarray]:
     """The weights after the steps that take ``visits``, which follow ``first_step`` of ``total`` steps."""
-    size, w = model.end, {n: getattr(model, n).copy() for n in _WEIGHTS}
+    size, shapes = model.end, {n: getattr(model, n).shape for n in _WEIGHTS}
+    weights = np.concatenate([getattr(model, n).ravel() for n in _WEIGHTS])
+    ends = np.cumsum([math.prod(s) for s in shapes.values()])
+    w = {n: part.reshape(shapes[n]) for n, part in zip(_WEIGHTS, np.split(weights, ends[:-1]))}  # views
     kinds = np.concatenate([model.kind_of[:size], [len(w["q"]) - 1, len(w["q"]) - 2, len(w["q"]) - 1]])
     goals = np.concatenate([model.class_of, [-1, -1]])
-    first, second = {n: np.zeros_like(p) for n, p in w.items()}, {n: np.zeros_like(p) for n, p in w.items()}
+    first, second = np.zeros_like(weights), np.zeros_like(weights)
     distance = np.maximum(np.arange(WINDOW - STRIDE, WINDOW)[:, None] - np.arange(WINDOW)[None], 0)
     for i, step in enumerate(range(first_step + 1, first_step + 1 + len(visits) // BATCH), 1):
         pick = visits[(i - 1) * BATCH : i * BATCH]
         windows = flat[begins[pick, None] + np.arange(WINDOW + 1)]
         grads = _gradients(w, kinds[windows[:, :-1]], goals[windows[:, WINDOW - STRIDE + 1 :]], distance, times[pick])
         rate = RATE * min(1.0, i / 20) * (1 - 0.9 * step / total)
-        for n, g in grads.items():
-            first[n] = 0.9 * first[n] + 0.1 * g
-            second[n] = 0.99 * second[n] + 0.01 * g * g
-            w[n] -= (rate * (first[n] / (1 - 0.9**i)) / (np.sqrt(second[n] / (1 - 0.99**i)) + 1e-6)).astype(np.float32)
+        g = np.concatenate([grads[n].ravel() for n in _WEIGHTS])
+        first *= 0.9
+        first += 0.1 * g
+        second *= 0.99
+        second += 0.01 * g * g
+        change = rate * (first / (1 - 0.9**i))
+        change /= np.sqrt(second / (1 - 0.99**i)) + 1e-6
+        weights -= change
     return w
 
 
@@ -294,62 +330,71 @@ def trained(ids: list[np.ndarray], names: list[str], steps: int = STEPS, seed: i
     return replace(model, **_improved(model, windows.ravel(), begins, np.ones(len(windows), np.int64), 0, 1, steps, seed))
 
 
+def _longest(x: np.ndarray) -> float:
+    """Length of the longest row."""
+    return math.sqrt(float(np.einsum("ij,ij->i", x, x).max()))
+
+
 def _gradients(w: dict, c: np.ndarray, goal: np.ndarray, distance: np.ndarray, times: np.ndarray | None = None) -> dict:
-    """Gradients of the mean cross entropy of the goals' classes, windows weighed by ``times``."""
-    now, scale = c[:, WINDOW - STRIDE :], np.float32(1 / math.sqrt(DIM))
-    kv, qr = np.concatenate((w["k"], w["v"]), axis=1)[c], np.concatenate((w["q"] * scale, w["r"]), axis=1)[now]
-    k, v, q = kv[..., :DIM], kv[..., DIM:], qr[..., :DIM]
-    p = np.matmul(q, k.transpose(0, 2, 1))
-    p += _mask(w["bias"])
-    padding = c == len(w["q"]) - 1
-    if padding.any():
-        p[np.broadcast_to(padding[:, None], p.shape)] = -1e9
-    own = np.arange(STRIDE)
-    if p.max() > 60 or p[:, own, own + WINDOW - STRIDE].min() < -60:
-        p -= p.max(axis=2, keepdims=True)
-    np.exp(p, out=p)
-    p /= np.matmul(p, np.ones((WINDOW, 1), p.dtype))
-    h = np.matmul(p, v)
-    h += qr[..., DIM:]
-    # Products window by window: one large product would be dealt to threads that wait for each other.
-    e = np.matmul(h, w["u"])
-    e += w["u0"]
-    if e.max() > 60 or e.min() < -60:
-        e -= e.max(axis=2, keepdims=True)
-    np.exp(e, out=e)
-    share = (goal >= 0).astype(e.dtype)
+    """Gradients of the mean cross entropy of the goals' classes, windows weighed by ``times``.
+
+    Neither softmax is divided out: its sum goes to the narrow side of the products."""
+    dtype, scale, d = w["q"].dtype, np.float32(1 / math.sqrt(DIM)), DIM
+    table, u = _tables(w["q"] * scale, w["k"], w["v"], w["r"], w["u"], w["u0"])
+    back, mask = np.ascontiguousarray(w["u"].T), _mask(w["bias"] * LOG2_E)
+    share = (goal >= 0).astype(dtype)
     if times is not None:
-        share *= times[:, None].astype(e.dtype)
+        share *= times[:, None].astype(dtype)
     share /= max(1, share.sum())
-    e *= share[..., None] / np.matmul(e, np.ones((CLASSES, 1), e.dtype))
-    b, s = np.nonzero(goal >= 0)
-    e[b, s, goal[b, s]] -= share[b, s]
-    dh = np.matmul(e, w["u"].T)
-    da = np.matmul(dh, v.transpose(0, 2, 1))
-    da -= np.einsum("bst,bst->bs", da, p)[..., None]
-    da *= p
-    dkv, dqr = np.empty_like(kv), np.empty_like(qr)
-    dkv[..., :DIM], dkv[..., DIM:] = np.matmul(da.transpose(0, 2, 1), q), np.matmul(p.transpose(0, 2, 1), dh)
-    dqr[..., :DIM], dqr[..., DIM:] = np.matmul(da, k) * scale, dh
-
-    def gathered(places: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        places = places.ravel().astype(np.int16)  # kinds are few; such numbers are ordered by their digits
-        order = np.argsort(places, kind="stable")
-        places = places[order]
-        starts = np.flatnonzero(np.append(True, places[1:] != places[:-1]))
-        out = np.zeros((len(w["q"]), 2 * DIM), values.dtype)
-        out[places[starts]] = np.add.reduceat(values.reshape(-1, 2 * DIM)[order], starts, axis=0)
-        return out[:, :DIM], out[:, DIM:]
-
-    (dk, dv), (dq, dr) = gathered(c, dkv), gathered(now, dqr)
+    # Products are within those of lengths; beyond these bounds the largest values are taken off.
+    tame = _longest(w["q"]) * _longest(w["k"]) * scale + np.abs(w["bias"]).max() < 60
+    tame_classes = (_longest(w["v"]) + _longest(w["r"])) * _longest(back.T) + np.abs(w["u0"]).max() < 60
+    all_classes, goal = np.ones((CLASSES, 1), dtype), np.maximum(goal, 0)  # without a goal the share is 0
+    grads = np.zeros((*c.shape, 4 * d), dtype)  # as ``table``, for every place
+    du, dbias = np.zeros_like(u), np.zeros((STRIDE, WINDOW), dtype)
+    for i in range(0, len(c), PART):
+        k, v, q, p, total, seen, h = _attended(table, c[i : i + PART], mask, tame)
+        # Products window by window: one large product would be dealt to threads that wait for each other.
+        e = np.matmul(h, u)
+        if not tame_classes and (e.max() > 80 or e.min() < -80):
+            e -= e.max(axis=2, keepdims=True)
+        np.exp2(e, out=e)
+        sums = np.matmul(e, all_classes)
+        flat = e.reshape(-1)
+        flat[np.arange(0, len(flat), CLASSES) + goal[i : i + PART].ravel()] -= sums.ravel()
+        weight = share[i : i + PART, :, None] / sums
+        dh = np.matmul(e, back)
+        dh *= weight
+        h *= weight
+        du += np.matmul(h.transpose(0, 2, 1), e).sum(axis=0)
+        out = grads[i : i + PART]
+        own = out[:, WINDOW - STRIDE :]
+        own[..., 3 * d :] = dh
+        dh /= total
+        da = np.matmul(dh, v.transpose(0, 2, 1))
+        da -= np.einsum("bsd,bsd->bs", dh, seen)[..., None]
+        da *= p
+        dbias += da.sum(axis=0)
+        np.matmul(da.transpose(0, 2, 1), q, out=out[..., :d])
+        np.matmul(p.transpose(0, 2, 1), dh, out=out[..., d : 2 * d])
+        np.matmul(da, k, out=own[..., 2 * d : 3 * d])
+    places = c.ravel().astype(np.int16)  # kinds are few; such numbers are ordered by their digits
+    order = np.argsort(places, kind="stable")
+    places = places[order]
+    starts = np.flatnonzero(np.append(True, places[1:] != places[:-1]))
+    # Two columns are added as one complex number.
+    pairs = grads.reshape(-1, 4 * d).take(order, axis=0).view(np.result_type(dtype, np.complex64))
+    dtable = np.zeros_like(table)
+    dtable[places[starts]] = np.add.reduceat(pairs, starts, axis=0).view(dtype)
+    dk, dv, dq, dr = (dtable[:, j * d : (j + 1) * d] for j in range(4))
     return {
-        "q": dq,
-        "k": dk,
+        "q": dq * scale,
+        "k": dk / LOG2_E,
         "v": dv,
         "r": dr,
-        "bias": np.bincount(distance.ravel(), da.sum(axis=0).ravel(), minlength=WINDOW).astype(w["bias"].dtype),
-        "u": np.matmul(h.transpose(0, 2, 1), e).sum(axis=0),
-        "u0": e.sum(axis=(0, 1)),
+        "bias": np.bincount(distance.ravel(), dbias.ravel(), minlength=WINDOW).astype(w["bias"].dtype),
+        "u": du[:d],
+        "u0": du[d],
     }
 
 
@@ -359,7 +404,8 @@ class _Words(dict):
     def __init__(self, logs_of: dict[bytes, float], path: str):
         super().__init__()
         self.logs_of = logs_of
-        self.others = Remembered(lambda w: (encoder(path).one(w), None), 50_000)
+        one = encoder(path).one
+        self.others = Remembered(lambda w: (one(w), None), 50_000)
 
     def __missing__(self, word: bytes):
         log = self.logs_of.get(word)
@@ -389,14 +435,27 @@ def _word_counts(texts: DataFrame) -> DataFrame:
     """(word, n) over all given texts, summed in the workers before the shuffle."""
 
     def work(batches) -> Iterator[dict]:
-        counts: Counter = Counter()
+        tokens, parts = [], []
+
+        def count():
+            found = pa.array(tokens, pa.binary()).value_counts()
+            parts.append(pa.table([found.field("values"), found.field("counts")], names=["word", "n"]))
+            tokens.clear()
+
+        def summed() -> dict:
+            found = pa.concat_tables(parts).group_by("word", use_threads=False).aggregate([("n", "sum")])
+            parts.clear()
+            return {"word": found.column("word").combine_chunks(), "n": found.column("n_sum").combine_chunks()}
+
         for _, bodies in batches:
             for t in bodies:
-                counts.update(t.lower().split())
-            if len(counts) > 300_000:
-                yield {"word": list(counts.keys()), "n": list(counts.values())}
-                counts.clear()
-        yield {"word": list(counts.keys()), "n": list(counts.values())}
+                tokens += t.lower().split()
+                if len(tokens) >= TOKENS:
+                    count()
+            if sum(map(len, parts)) >= PARTIAL:
+                yield summed()
+        count()
+        yield summed()
 
     return per_text(texts, work, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -429,8 +488,7 @@ def _neighbour_counts(codes: DataFrame, kind: str, counts: np.ndarray) -> tuple[
         total, held, volume = np.zeros(cells, np.int32), [], 0
 
         def add():
-            cell, n = _neighbours(held, row, column)
-            total[cell] += n.astype(np.int32)
+            np.add.at(total, _cells(held, row, column), np.int32(1))
             held.clear()
 
         for _, bodies in batches:
@@ -439,8 +497,7 @@ def _neighbour_counts(codes: DataFrame, kind: str, counts: np.ndarray) -> tuple[
                 for i in range(0, len(text), PIECE):  # a piece begins with the id before it, so that no pair is lost
                     part = text[max(0, i - 1) : i + PIECE]
                     if i:
-                        edge = _neighbours([part[:2]], row, column)
-                        total[edge[0]] += edge[1].astype(np.int32)
+                        np.add.at(total, _cells([part[:2]], row, column), np.int32(1))
                         part = part[1:]
                     held.append(part)
                     volume += len(part)

@@ -13,6 +13,7 @@ import re
 import sys
 import unicodedata
 from array import array
+from codecs import charmap_decode
 
 from riskrules.llm.common import Remembered
 
@@ -39,18 +40,17 @@ class Encoder:
         self.kind = "<u2" if self.size <= 1 << 16 else "<u4"
         self.code = "H" if self.kind == "<u2" else "I"
         self.chunks = Remembered(self.one)
-        self.letters = _byte_letters()
+        letters = _byte_letters()
+        self.letters = "".join(chr(letters[b]) for b in range(256))
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         # Both hold for lower-casing byte-level tokenizers with letter runs as words; else all goes the long way.
         probe = "Zürich straße façade the"
-        self.short = self.tokenizer.encode(probe, add_special_tokens=False).ids == [i for w in probe.lower().split() for i in self._merged(w)]
+        self.short = self.tokenizer.encode(probe, add_special_tokens=False).ids == [i for w in probe.lower().encode().split() for i in self._merged(w)]
         closed = [self.tokenizer.encode(f"word{a}{_CLOSING.decode()}", add_special_tokens=False).ids for a in ("", " ")]
         self.short = self.short and closed[0] == closed[1]
 
-    def _merged(self, word: str) -> list[int]:
-        if not word.isascii():
-            word = word.encode().decode("latin-1").translate(self.letters)
-        return [t.id for t in self.model.tokenize(word)]
+    def _merged(self, word: bytes) -> list[int]:
+        return [t.id for t in self.model.tokenize(charmap_decode(word, "strict", self.letters)[0])]
 
     def _bytes(self, ids: list[int]) -> bytes:
         out = array(self.code, ids)
@@ -58,30 +58,32 @@ class Encoder:
             out.byteswap()
         return out.tobytes()
 
-    def _piece(self, piece: str) -> bytes:
-        """Ids of a run or chunk; runs of Latin letters are composed, as their chunk is."""
-        if self.short and piece.isalpha() and (piece.isascii() or max(piece) < "ɐ" and unicodedata.is_normalized("NFC", piece)):
-            low = piece.lower()
-            if low.isalpha():  # one capital becomes a letter and a mark
-                return self._bytes(self._merged(low))
-        return self._bytes(self.tokenizer.encode(piece, add_special_tokens=False).ids)
+    def _run(self, data: bytes) -> bytes | None:
+        """Ids of a run of composed Latin letters; None for other chunks."""
+        if not data.isalpha():  # ASCII letters
+            text = data.decode(errors="replace")
+            if not (text.isalpha() and max(text) < "ɐ" and unicodedata.is_normalized("NFC", text)):
+                return None
+            low = text.lower()
+            if not low.isalpha():  # one capital becomes a letter and a mark
+                return None
+            data = low.encode()
+        return self._bytes(self._merged(data.lower()))
 
     def one(self, data: bytes) -> bytes:
         """The ids of one blank-free chunk, worked out anew."""
-        if self.short and data.isascii():
-            if data.isalpha():
-                return self._bytes(self._merged(data.decode().lower()))
+        if self.short:
             word = data.rstrip(_CLOSING)
-            if word.isalpha():
-                return self.chunks[word] + self.chunks[data[len(word) :]]
+            found = self._run(word)
+            if found is not None:
+                return found if len(word) == len(data) else found + self.chunks[data[len(word) :]]
         text = data.decode(errors="replace")  # bytes that are not UTF-8 become the replacement mark
-        if text.isalpha():
-            return self._piece(text)
         # The lower case of a dotted capital I ends in a mark, which may join what follows.
-        if not self.short or "'" in text or "\u0130" in text or not unicodedata.is_normalized("NFC", text) or any(s in text for s in self.special):
-            return self._piece(text)
-        runs = _RUNS.findall(text)
-        return b"".join([self.chunks[r.encode()] for r in runs]) if len(runs) > 1 else self._piece(text)
+        if self.short and not ("'" in text or "\u0130" in text or not unicodedata.is_normalized("NFC", text) or any(s in text for s in self.special)):
+            runs = _RUNS.findall(text)
+            if len(runs) > 1:
+                return b"".join([self.chunks[r.encode()] for r in runs])
+        return self._bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def encode(self, text: bytes) -> bytes:
         # A special token's text must not arise by lower-casing.
