@@ -9,7 +9,7 @@ the driver. The trees of all segments and days of life grow in the same passes.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -21,8 +21,9 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import _parse_datatype_string
 
 from riskrules.functions.measures import fill_gaps
+from riskrules.operators import large_nodes
 from riskrules.operators.binning import edge_counts, quantile_edges
-from riskrules.operators.quantiles import edge_table
+from riskrules.operators.large_nodes import Nodes, between
 from riskrules.session import cut, small
 
 CONDITIONS = "array<struct<feature:string,op:string,threshold:double>>"
@@ -138,46 +139,62 @@ def _one_level_down(rows: DataFrame, by: list[str], splits: list) -> DataFrame:
 
 # Rows of a node that one task orders by itself (about 0.5 GB with four features).
 LOCAL_ROWS = 3_000_000
+# Rows from which a segment's rows travel in blocks; the driver holds a number for each such segment.
+PACKED_ROWS = 50_000
 _TOLD = "node_id int, conditions {0}, is_leaf boolean, n long, positives long"
 
 
+def _rated(criterion: str, n, p):
+    with np.errstate(divide="ignore", invalid="ignore"):
+        if criterion == "gini":
+            return np.where(n > 0, 2 * p * (n - p) / n, 0.0)
+        return sum(np.where(k > 0, -k * np.log(k / n), 0.0) for k in (p, n - p))
+
+
 def _own_edges(values: np.ndarray, bins: int) -> np.ndarray:
     """Distinct edges of equal-share bins of sorted values, the highest left out."""
     place = (len(values) - 1) * (np.arange(bins + 1) / bins)
     low, high = values[np.floor(place).astype(int)], values[np.ceil(place).astype(int)]
-    edges = np.where(low == high, low, (np.ceil(place) - place) * low + (place - np.floor(place)) * high)
-    return np.unique(edges)[:-1]
+    return np.unique(between(low, high, place))[:-1]
 
 
-def _rated(criterion: str, n, p):
-    with np.errstate(divide="ignore", invalid="ignore"):
-        if criterion == "gini":
-            return np.where(n > 0, 2 * p * (n - p) / n, 0.0)
-        return sum(np.where(k > 0, -k * np.log(k / n), 0.0) for k in (p, n - p))
+def _divisible(n: int, p: int, leaf_size: int) -> bool:
+    return n >= 2 * leaf_size and 0 < p < n
+
+
+def _best_edge(edges: Iterable[tuple[np.ndarray, np.ndarray, np.ndarray]], n: int, p: int, criterion: str, leaf_size: int) -> tuple[int, float, int, int] | None:
+    """(feature, edge, rows and positives up to it) of the best split, from all edges of every feature."""
+    best = None
+    for f, (limits, ln, lp) in enumerate(edges):
+        gain = np.round(_rated(criterion, float(n), float(p)) - _rated(criterion, ln, lp) - _rated(criterion, n - ln, p - lp), 9)
+        gain = np.where((ln >= leaf_size) & (n - ln >= leaf_size), gain, 0.0)
+        if len(gain) and gain.max() > (best[0] if best else 0.0):
+            k = gain.argmax()
+            best = gain[k], f, float(limits[k]), int(ln[k]), int(lp[k])
+    return best and best[1:]
 
 
 def _grown_here(x: np.ndarray, y: np.ndarray, features: list[str], root: int, criterion: str, depth: int, leaf_size: int, bins: int) -> list[tuple]:
-    """(node, conditions below the root, is_leaf, n, positives) of a subtree whose rows are all here."""
+    """(node, conditions below the root, is_leaf, n, positives) of a subtree whose rows, (feature, row), are all here."""
     out = []
 
+    def edges(rows: np.ndarray) -> Iterable[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        hits = y[rows]
+        for of_feature in x:
+            values = of_feature[rows]
+            positive = np.repeat(values, hits)
+            values.sort()
+            positive.sort()
+            limits = _own_edges(values, bins)
+            yield limits, values.searchsorted(limits, "right"), positive.searchsorted(limits, "right")
+
     def down(rows: np.ndarray, node: int, path: list) -> None:
         n, p = len(rows), int(y[rows].sum())
-        best = None
-        if node.bit_length() - 1 < depth and n >= 2 * leaf_size and 0 < p < n:
-            for f in range(len(features)):
-                order = rows[x[rows, f].argsort(kind="stable")]
-                values, hits = x[order, f], y[order].cumsum()
-                limits = _own_edges(values, bins)
-                ln = np.searchsorted(values, limits, side="right")
-                lp = hits[ln - 1]
-                gain = np.round(_rated(criterion, float(n), float(p)) - _rated(criterion, ln, lp) - _rated(criterion, n - ln, p - lp), 9)
-                gain = np.where((ln >= leaf_size) & (n - ln >= leaf_size), gain, 0.0)
-                if len(gain) and gain.max() > (best[0] if best else 0.0):
-                    best = gain.max(), f, float(limits[gain.argmax()])
+        best = _best_edge(edges(rows), n, p, criterion, leaf_size) if node.bit_length() - 1 < depth and _divisible(n, p, leaf_size) else None
         out.append((node, path, best is None, n, p))
         if best:
-            _, f, limit = best
-            low = x[rows, f] <= limit
+            f, limit, *_ = best
+            low = x[f][rows] <= limit
             for child, part, op in ((2 * node, rows[low], "<="), (2 * node + 1, rows[~low], ">")):
                 down(part, child, [*path, {"feature": features[f], "op": op, "threshold": limit}])
 
@@ -191,91 +208,97 @@ def by_segment(
     """The trees of all segments as a table: (*by, node_id, conditions, is_leaf, n, positives, rate). An action.
 
     Every node tries the quantile edges of its own rows, so a segment finds its own thresholds, and finer
-    ones the smaller a node is. Large nodes are split by grouped counts, level by level, each level written;
-    a node of at most ``local_rows`` rows is grown to the end by one task, by the same rules. Unknown
-    values count as 0, segments with a null key are left out, ties go to the earlier feature and the lower
-    threshold. Nothing comes to the driver.
+    ones the smaller a node is. A node of at most ``local_rows`` rows is grown to the end by one task, larger
+    ones are split level by level from counts, by the same rules (``large_nodes``). Unknown values count as 0,
+    null labels are no positives, segments with a null key are left out, ties go to the earlier feature and
+    the lower threshold. ``df`` is read up to three times; a caller with a costly one cuts it first. The
+    driver holds the nodes that come of segments of more than ``PACKED_ROWS`` rows.
     """
     features, by = list(features), list(by)
-    known = df.select(*by, *[F.col(f).cast("double").alias(f) for f in features], F.col(label).cast("int").alias("_y"))
+    known = df.select(*by, *[F.col(f).cast("double").alias(f) for f in features], F.coalesce(F.col(label).cast("int"), F.lit(0)).alias("_y"))
     for k in by:
         known = known.filter(F.col(k).isNotNull())
-    at = [*by, "node"]
-    none = F.expr(f"CAST(array() AS {CONDITIONS})")
-    rows = cut(fill_gaps(known, features).withColumn("node", F.lit(1)))
-    paths = rows.select(*by).distinct().select(*by, F.lit(1).alias("node"), none.alias("path"))
-    small_rows, small_paths, told = [], [], []
-    for level in range(depth + 1):
-        sizes = cut(rows.groupBy(*at).agg(F.count("*").alias("n"), F.sum("_y").alias("p")))
-        if level == depth:
-            # Nothing is split here: the nodes are told from their counts, however many rows they have.
-            told.append(_told(paths.join(sizes, at), F.lit(True), by))
-            rows, paths = rows.limit(0), paths.limit(0)
-            break
-        large = sizes.filter(F.col("n") > local_rows)
-        nodes = large.count()
-        if not nodes:
-            break
-        keys = large.select(*at)
-        small_rows.append(rows.join(small(keys, nodes, len(at)), at, "left_anti"))
-        small_paths.append(paths.join(keys, at, "left_anti"))
-        rows, paths, ended = _large_split(rows.join(small(keys, nodes, len(at)), at, "left_semi"), paths.join(keys, at, "left_semi"), large, nodes, features, at, CRITERIA[criterion], leaf_size, bins)
-        told.append(ended)
-    small_rows.append(rows)
-    small_paths.append(paths)
-    here = reduce(DataFrame.unionByName, small_rows)
-    root_paths = reduce(DataFrame.unionByName, small_paths)
-
-    schema = ", ".join([*(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in by), "node int", _TOLD.format(CONDITIONS)])
+    sizes = cut(known.groupBy(*by).agg(F.count("*").alias("n"), F.sum("_y").alias("p")))
+    if depth == 0:
+        none = F.expr(f"CAST(array() AS {CONDITIONS})")
+        return _with_rate(sizes.select(*by, F.lit(1).alias("node_id"), none.alias("conditions"), F.lit(True).alias("is_leaf"), "n", F.col("p").alias("positives")))
+    rows, how = fill_gaps(known, features), (criterion, depth, leaf_size, bins)
+    number = (F.row_number().over(Window.orderBy(*by)) - 1).alias("_s")
+    held = cut(sizes.filter(F.col("n") > min(local_rows, PACKED_ROWS)).select(*by, number, "n", "p"))
+    roots = held.select("_s", "n", "p").orderBy("_s").collect()
+    keys, found = small(held.select(*by, "_s"), len(roots), len(by) + 1), []
+    with large_nodes.small_batches(df.sparkSession):
+        if roots:
+            found.append(_grown_from_blocks(rows.join(keys, by), features, roots, local_rows, *how).join(keys, "_s").select(*by, *_NODE))
+        if not roots or len(roots) < sizes.count():
+            few = rows.join(keys, by, "left_anti") if roots else rows
+            schema = ", ".join([*(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in by), _TOLD.format(CONDITIONS)])
+            arrow = to_arrow_schema(_parse_datatype_string(schema))
+
+            def grow_here(group: pa.Table) -> pa.Table:
+                x = np.stack([group.column(f).to_numpy() for f in features])
+                told = _grown_here(x, group.column("_y").to_numpy().astype(np.int64), features, 1, *how)
+                same = {k: [group.column(k)[0].as_py()] * len(told) for k in by}
+                return pa.table({**same, **dict(zip(_NODE, map(list, zip(*told))))}, schema=arrow)
+
+            found.append(few.groupBy(*by).applyInArrow(grow_here, schema))
+        return _with_rate(reduce(DataFrame.unionByName, found))
+
+
+_NODE = ["node_id", "conditions", "is_leaf", "n", "positives"]
+
+
+def _with_rate(nodes: DataFrame) -> DataFrame:
+    return cut(nodes.withColumn("rate", F.col("positives") / F.col("n")))
+
+
+def _grown_from_blocks(rows: DataFrame, features: list[str], roots: list, local_rows: int, criterion: str, depth: int, leaf_size: int, bins: int) -> DataFrame:
+    """(_s, node_id, conditions, is_leaf, n, positives) of the trees of the numbered segments ``_s``."""
+    nodes = Nodes()
+    for r in roots:
+        nodes.add(r["_s"], 1, (), r["n"], r["p"])
+
+    def to_split(some: Iterable[int]) -> list[int]:
+        return [i for i in some if nodes.node_id[i].bit_length() - 1 < depth and _divisible(nodes.n[i], nodes.p[i], leaf_size)]
+
+    large = [i for i in to_split(range(len(roots))) if nodes.n[i] > local_rows]
+    blocks = large_nodes.packed(rows, features, {i: min(1.0, large_nodes.SAMPLE_ROWS / len(large) / nodes.n[i]) for i in large})
+    if large:
+        blocks = cut(blocks, large_nodes.FILE_BLOCKS)
+        samples = large_nodes.sample(blocks, len(features))
+    while large:
+        children = []
+        for i, edges in large_nodes.edge_counts(blocks, nodes, large, samples, len(features), bins):
+            some = samples.pop(i, None)
+            if best := _best_edge(edges, nodes.n[i], nodes.p[i], criterion, leaf_size):
+                f, limit, ln, lp = best
+                low, high = nodes.split(i, f, features[f], limit, ln, lp)
+                children += [low, high]
+                if some is not None:
+                    below = some[f] <= limit
+                    samples[low], samples[high] = some[:, below], some[:, ~below]
+        large = [i for i in to_split(children) if nodes.n[i] > local_rows]
+    here = {i: (nodes.segment[i], nodes.node_id[i], _conditions(nodes.path[i])) for i in to_split(range(len(nodes.n))) if nodes.child[i] < 0 and nodes.n[i] <= local_rows}
+
+    told = [(nodes.segment[i], nodes.node_id[i], list(nodes.path[i]), nodes.child[i] < 0, int(nodes.n[i]), int(nodes.p[i])) for i in range(len(nodes.n)) if i not in here]
+    schema = f"_s int, {_TOLD.format(CONDITIONS)}"
+    whole = rows.sparkSession.createDataFrame(told, schema)
+    if not here:
+        return whole
     arrow = to_arrow_schema(_parse_datatype_string(schema))
 
-    def grow_here(group: pa.Table) -> pa.Table:
-        first = group.slice(0, 1)
-        x = np.stack([group.column(f).to_numpy() for f in features], axis=1)
-        found = _grown_here(x, group.column("_y").to_numpy().astype(np.int64), features, first.column("node")[0].as_py(), criterion, depth, leaf_size, bins)
-        same = {k: [first.column(k)[0].as_py()] * len(found) for k in at}
-        return pa.table({**same, **dict(zip(("node_id", "conditions", "is_leaf", "n", "positives"), map(list, zip(*found))))}, schema=arrow)
-
-    local = here.groupBy(*at).applyInArrow(grow_here, schema)
-    whole = local.join(root_paths, at).select(*by, "node_id", F.concat("path", "conditions").alias("conditions"), "is_leaf", "n", "positives")
-    return cut(reduce(DataFrame.unionByName, [whole, *told]).withColumn("rate", F.col("positives") / F.col("n")))
-
-
-def _told(nodes: DataFrame, is_leaf: Column, by: list[str]) -> DataFrame:
-    return nodes.select(*by, F.col("node").alias("node_id"), F.col("path").alias("conditions"), is_leaf.alias("is_leaf"), "n", F.col("p").alias("positives"))
-
-
-def _large_split(rows, paths, large, nodes: int, features: list[str], at: list[str], impurity, leaf_size: int, bins: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """One level of large nodes: (rows in their children, the children's paths, the nodes themselves)."""
-    edges = edge_table(rows, features, bins, at)
-    wide = cut(edges.groupBy(*at).agg(F.map_from_entries(F.collect_list(F.struct("column", "edges"))).alias("_e")))  # as many as features
-    placed = rows.join(small(wide, nodes, len(features) * (bins + 1)), at)
-
-    def below(f: str) -> Column:
-        return F.size(F.filter(F.col("_e")[f], lambda t: t < F.col(f)))
-
-    items = [F.struct(F.lit(i).alias("f"), F.least(below(f), F.size(F.col("_e")[f]) - 1).alias("bucket")) for i, f in enumerate(features)]
-    cells = placed.select(*at, "_y", F.inline(F.array(*items))).groupBy(*at, "f", "bucket").agg(F.count("*").alias("cn"), F.sum("_y").alias("cp"))
-    upto = Window.partitionBy(*at, "f").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-    options = cells.select(*at, "f", "bucket", F.sum("cn").over(upto).alias("ln"), F.sum("cp").over(upto).alias("lp")).join(large, at)
-    ln, lp, n, p = (F.col(c) for c in ("ln", "lp", "n", "p"))
-    gain = F.round(impurity(n, p) - impurity(ln, lp) - impurity(n - ln, p - lp), 9)
-    rated = options.filter((ln >= leaf_size) & (n - ln >= leaf_size)).withColumn("gain", gain).filter("gain > 0")
-    best = F.max_by(F.struct("f", "bucket"), F.struct(F.col("gain"), -F.col("f"), -F.col("bucket")))
-    names = F.array(*[F.lit(f) for f in features])
-    splits = rated.groupBy(*at).agg(best.alias("s")).join(wide, at)
-    feature = F.get(names, F.col("s.f"))
-    splits = cut(splits.select(*at, "s.f", feature.alias("feature"), F.get(F.element_at("_e", feature), F.col("s.bucket")).alias("threshold")))
-
-    children = splits.select(*at, "feature", "threshold", F.inline(F.array(F.struct(F.lit("<=").alias("op"), F.lit(0).alias("side")), F.struct(F.lit(">").alias("op"), F.lit(1).alias("side")))))
-    condition = F.array(F.struct("feature", "op", "threshold"))
-    deeper = paths.join(children, at).select(*at[:-1], (F.col("node") * 2 + F.col("side")).alias("node"), F.concat("path", condition).alias("path"))
-    told = paths.join(large, at).join(splits.select(*at, F.lit(False).alias("is_leaf")), at, "left")
-    told = _told(told, F.coalesce("is_leaf", F.lit(True)), at[:-1])
-    moved = rows.join(small(splits, nodes, len(at) + 3), at)
-    value = F.get(F.array(*features), F.col("f"))
-    child = (F.col("node") * 2 + (value > F.col("threshold")).cast("int")).alias("node")
-    return cut(moved.select(*at[:-1], *features, "_y", child)), cut(deeper), cut(told)
+    def grow_node(group: pa.Table) -> pa.Table:
+        segment, node, path = here[group.column("node")[0].as_py()]
+        found = _grown_here(*large_nodes.rows_of(group, len(features)), features, node, criterion, depth, leaf_size, bins)
+        columns = dict(zip(_NODE, map(list, zip(*found))))
+        columns["conditions"] = [path + c for c in columns["conditions"]]
+        return pa.table({"_s": [segment] * len(found), **columns}, schema=arrow)
+
+    return whole.unionByName(large_nodes.rows_by_node(blocks, nodes.ways(here)).groupBy("node").applyInArrow(grow_node, schema))
+
+
+def _conditions(path: Iterable[tuple[str, str, float]]) -> list[dict]:
+    return [{"feature": f, "op": op, "threshold": limit} for f, op, limit in path]
 
 
 def node_table(df: DataFrame, nodes: Sequence[Node], by: Sequence[str] = ()) -> DataFrame:
