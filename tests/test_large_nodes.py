@@ -1,10 +1,14 @@
 """Nodes too large for one task: two passes a level over rows that are written once."""
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
+from riskrules import session
 from riskrules.operators import large_nodes, trees
 from riskrules.operators.trees import _own_edges
+from riskrules.plans.catalog import REGISTRY
 
 SCHEMA = "g string, x double, y double, z double, label int"
 
@@ -73,3 +77,22 @@ def test_batches_are_small_only_within(spark):
         assert int(spark.conf.get(key).rstrip("b")) == large_nodes.BATCH_BYTES
         raise RuntimeError
     assert spark.conf.get(key) == before
+
+
+def test_the_query_by_segment_writes_its_rows_once(spark, tmp_path):
+    """Segments beyond the query's 20,000 rows: four tables are written, and the leaves hold every row once."""
+    rng = np.random.default_rng(6)
+    n = 50_000
+    made = dict(l_orderkey=np.arange(n), l_quantity=rng.integers(1, 51, n) * 1.0, l_discount=rng.integers(0, 11, n) / 100, l_tax=rng.integers(0, 9, n) / 100, l_extendedprice=rng.uniform(900, 100_000, n), l_returnflag=rng.choice(["R", "A", "N"], n), l_linestatus=np.where(np.arange(n) < 26_000, "F", "O"))
+    pq.write_table(pa.table(made), tmp_path / "lineitem.parquet")
+    before = len(session._WRITTEN)
+    found = REGISTRY["tree_rules_by_segment"](spark, str(tmp_path))
+    assert len(session._WRITTEN) - before == 4
+    leaves = {}
+    for r in found.collect():
+        leaves.setdefault(r.l_linestatus, []).append((r.n, r.positives))
+    hit = (made["l_returnflag"] == "R") & (made["l_quantity"] * made["l_discount"] > 1.5)
+    for status, told_leaves in leaves.items():
+        mine = made["l_linestatus"] == status
+        assert 2 <= len(told_leaves) <= 4 and [sum(c) for c in zip(*told_leaves)] == [mine.sum(), hit[mine].sum()]
+    assert set(leaves) == {"F", "O"}
