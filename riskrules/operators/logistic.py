@@ -87,7 +87,7 @@ def _scales(rows: DataFrame, names: Sequence[str], folds: int) -> list[_Scale]:
 
 
 def _laid(rows: DataFrame, names: Sequence[str]) -> DataFrame:
-    """The rows as a written table of blocks of about ``BLOCK_ROWS``: labels, folds and features after one another."""
+    """The rows as a written table of blocks of ``BLOCK_ROWS``, however many a batch has: labels, folds and features after one another."""
     columns = [("y", "<f8"), ("fold", "<i4"), *((n, "<f8") for n in names)]
 
     def work(batches):
@@ -99,10 +99,10 @@ def _laid(rows: DataFrame, names: Sequence[str]) -> DataFrame:
             return pa.record_batch([pa.array([v], pa.binary()) for v in (y, fold, b"".join(x))], names=["y", "fold", "x"])
 
         for batch in batches:
-            for i in range(0, len(batch), BLOCK_ROWS):
-                held.append(batch.slice(i, BLOCK_ROWS))
-                n += len(held[-1])
-                if n >= BLOCK_ROWS:
+            while len(batch):
+                held.append(batch.slice(0, BLOCK_ROWS - n))
+                batch, n = batch.slice(len(held[-1])), n + len(held[-1])
+                if n == BLOCK_ROWS:
                     yield block()
                     held, n = [], 0
         if held:
